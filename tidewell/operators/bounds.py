@@ -1,55 +1,62 @@
-"""Splitting an ordered column at its quantiles, as plain column expressions."""
+"""Splitting ordered columns at their quantiles."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MAX_SIDE = 64
+# sketches of this many groups of input partitions are merged in parallel
+_SKETCH_GROUPS = 64
 
 
-def grid_side(spark: SparkSession) -> int:
-    """Side k of a grid of k * k bounds: about one interval per shuffle partition."""
+def bound_bits(spark: SparkSession) -> int:
+    """Bits b so that 2**b - 1 bounds make about one interval per shuffle partition."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(_MAX_SIDE, max(3, math.isqrt(partitions - 1) + 1 if partitions > 1 else 1))
+    return min(12, max(4, partitions.bit_length()))
 
 
-def quantile_bounds(value: Column, side: int) -> Column:
-    """Aggregate giving ``side * side`` ascending bounds of ``value``, NULLs ignored.
+def quantile_bounds(df: DataFrame, columns: Mapping[str, Column], bits: int) -> Column:
+    """``2**bits - 1`` ascending bounds per column, as a struct of arrays from a subquery.
 
-    The bounds only steer how rows are spread over tasks. Every caller is exact
-    for any bounds, so the sketch may be approximate.
+    The bounds only steer how rows are spread over tasks, every caller is exact
+    whatever they are. So they are approximate, and quantiles of the quantiles of groups
+    of partitions: a single merge of the sketches of all tasks would be one slow task.
     """
-    n = side * side
+    n = 2**bits - 1
     points = [(i + 0.5) / n for i in range(n)]
-    return F.percentile_approx(value, points, max(1000, 8 * n))
 
+    def sketch(c: Column) -> Column:
+        return F.percentile_approx(c, points, max(1000, 2 * n))
 
-def bounds_below(value: Column, bounds: Column, side: int) -> Column:
-    """How many of the ascending ``bounds`` are less than ``value``.
+    lane = (F.spark_partition_id() % _SKETCH_GROUPS).alias("__lane")
+    grouped = df.select(lane, *[c.alias(name) for name, c in columns.items()]).groupBy("__lane")
+    parts = grouped.agg(*[sketch(F.col(c)).alias(c) for c in columns])
+    # a group without any value has no array; padding is NULL, which sketches ignore
+    values = F.arrays_zip(*[F.coalesce(F.col(c), F.array()).alias(c) for c in columns])
+    merged = parts.select(F.inline(values)).toDF(*columns)
+    return merged.agg(F.struct(*[sketch(F.col(c)).alias(c) for c in columns])).scalar()
 
-    Looks at the first bound of each of ``side`` blocks and then inside one
-    block: 2 * side comparisons in generated code, no lambda and no join.
-    """
-
-    def below(index: Column) -> Column:
-        return F.coalesce(F.get(bounds, index) < value, F.lit(False)).cast("int")
-
-    def total(terms: list[Column]) -> Column:
-        out = terms[0]
-        for t in terms[1:]:
-            out = out + t
-        return out
 
-    blocks = total([below(F.lit(i * side)) for i in range(side)])
-    first = (blocks - 1) * side
-    inside = total([below(first + i) for i in range(side)])
-    return F.when(blocks == 0, F.lit(0)).otherwise(first + inside)
+def bounds_below(
+    df: DataFrame, columns: Mapping[str, Column], bounds: Column, bits: int
+) -> DataFrame:
+    """Add how many bounds are less than a row's value, as ``__below_<name>``, and the
+    bounds as ``__bounds``. No bound counts as less than NULL.
 
-
-def scalar_bounds(df: DataFrame, **columns: Column) -> dict[str, Column]:
-    """One pass over ``df`` for the aggregates ``columns``, each as a scalar subquery."""
-    row = df.agg(F.struct(*[c.alias(n) for n, c in columns.items()]).alias("b")).scalar()
-    return {n: row[n] for n in columns}
+    A binary search with one projection per step, so each step is a single comparison
+    in generated code. Written as one expression it would double with every step.
+    """
+    df = df.withColumn("__bounds", bounds)
+    df = df.withColumns({f"__below_{name}": F.lit(0) for name in columns})
+    for bit in reversed(range(bits)):
+        step = 2**bit
+
+        def moved(name: str, value: Column, step: int = step) -> Column:
+            at = F.col(f"__below_{name}")
+            less = F.get(F.col("__bounds")[name], at + (step - 1)) < value
+            return at + F.when(less, step).otherwise(0)
+
+        df = df.withColumns({f"__below_{name}": moved(name, v) for name, v in columns.items()})
+    return df

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.bounds import bounds_below, grid_side, quantile_bounds, scalar_bounds
+from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
 
 # a key below this many rows is never split: one task sorts it in about a second
 SPLIT_FLOOR = 1_000_000
@@ -81,14 +81,14 @@ class KeyedOrder:
         if hot is None:
             return cls.bounded(df, keys, order)
 
-        side = grid_side(df.sparkSession)
-        cut = F.col(order[0])
+        bits = bound_bits(df.sparkSession)
+        cut = {"cut": F.col(order[0])}
         hot_rows = join_same(df, F.broadcast(hot), keys, "left_semi")
-        bounds = scalar_bounds(hot_rows, at=quantile_bounds(cut, side))["at"]
         marked = join_same(df, F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+        marked = bounds_below(marked, cut, quantile_bounds(hot_rows, cut, bits), bits)
         # chunk 0 is the whole of a key that is not split
-        chunk = F.when(F.col("__hot"), bounds_below(cut, bounds, side) + 1).otherwise(F.lit(0))
-        return cls(marked.withColumn(_CHUNK, chunk).drop("__hot"), keys, order, split=True)
+        chunk = F.when(F.col("__hot"), F.col("__below_cut") + 1).otherwise(F.lit(0))
+        return cls(marked.select(*df.columns, chunk.alias(_CHUNK)), keys, order, split=True)
 
     def _group(self) -> list[str]:
         return [*self.keys, _CHUNK] if self.split else self.keys
@@ -101,7 +101,7 @@ class KeyedOrder:
         edges = (
             self.df.filter(F.col(_CHUNK) > 0).groupBy(*self._group()).agg(per_chunk.alias("__edge"))
         )
-        # at most side * side + 1 rows per key
+        # at most one row per bound and key
         by_chunk = Window.partitionBy(*self.keys).orderBy(_CHUNK)
         return edges.select(*self._group(), across(F.col("__edge"), by_chunk).alias("__carry"))
 

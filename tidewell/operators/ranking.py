@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.bounds import bounds_below, grid_side, quantile_bounds, scalar_bounds
+from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
 
 
 @dataclass(frozen=True)
@@ -19,7 +19,7 @@ class RankBy:
     nulls: str = "first"
 
 
-def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], side: int | None = None) -> DataFrame:
+def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None = None) -> DataFrame:
     """Add a ``rank()`` over the whole table for each entry of ``ranks``.
 
     ``rank() over (order by v)`` needs all rows in one task. Here each value falls
@@ -29,49 +29,41 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], side: int | None =
     its bucket holds that one value only, where every row has rank 1: such a
     bucket is spread over tasks freely. NULLs are a single-value bucket as well.
     """
-    side = side or grid_side(df.sparkSession)
-    bounds = scalar_bounds(
-        df, **{n: quantile_bounds(F.col(r.column), side) for n, r in ranks.items()}
-    )
-
+    bits = bits or bound_bits(df.sparkSession)
+    values = {name: F.col(r.column) for name, r in ranks.items()}
+    bucketed = bounds_below(df, values, quantile_bounds(df, values, bits), bits)
+    # bucket numbers of different ranks do not overlap, so one table shifts them all
+    width = 2 * (2**bits - 1) + 3
     buckets, single = {}, {}
-    for name, r in ranks.items():
-        value = F.col(r.column)
-        below = bounds_below(value, bounds[name], side)
-        on_bound = F.coalesce(F.get(bounds[name], below) == value, F.lit(False))
-        # descending: the bucket of the highest values has the lowest number
-        number = -(below * 2 + on_bound.cast("int"))
-        edge = F.lit(-2 * side * side - 1 if r.nulls == "first" else 1)
-        buckets[f"__bucket_{name}"] = F.when(value.isNull(), edge).otherwise(number)
+    for i, (name, r) in enumerate(ranks.items()):
+        value, below = F.col(r.column), F.col(f"__below_{name}")
+        on_bound = F.coalesce(F.get(F.col("__bounds")[name], below) == value, F.lit(False))
+        # the gap above the highest bound comes first, the one below the lowest last
+        number = F.lit(width - 2) - (below * 2 + on_bound.cast("int"))
+        edge = F.lit(0 if r.nulls == "first" else width - 1)
+        buckets[f"__bucket_{name}"] = F.when(value.isNull(), edge).otherwise(number) + i * width
         single[name] = value.isNull() | on_bound
-    bucketed = df.withColumns(buckets)
+    single = {f"__single_{n}": c for n, c in single.items()}
+    bucketed = bucketed.withColumns(buckets | single).select(*df.columns, *buckets, *single)
 
-    tagged = F.explode(
-        F.array(
-            *[F.struct(F.lit(n).alias("rank"), F.col(f"__bucket_{n}").alias("bucket")) for n in ranks]
-        )
-    )
-    counts = bucketed.select(tagged.alias("t")).groupBy("t.rank", "t.bucket").count()
-    # at most 2 * side * side + 2 rows per rank
-    earlier = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "rank", "bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("offset")
-    )
+    counts = bucketed.select(F.explode(F.array(*buckets)).alias("bucket")).groupBy("bucket").count()
+    # at most ``width`` rows per rank
+    earlier = Window.partitionBy(F.floor(F.col("bucket") / width)).orderBy("bucket")
+    before = F.sum("count").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    shifts = F.broadcast(counts.select("bucket", F.coalesce(before, F.lit(0)).alias("shift")))
 
-    # the task a row comes from: keeps the parts of a one-value bucket even without
-    # sending identical rows to the same place
+    # rows of a one-value bucket stay apart by the task they come from: identical rows
+    # could not be told apart by their content
     lane = F.spark_partition_id()
     out = bucketed
     for name, r in ranks.items():
-        bucket, here, shift = f"__bucket_{name}", f"__lane_{name}", f"__offset_{name}"
-        shifts = offsets.filter(F.col("rank") == name).select(
-            F.col("bucket").alias(bucket), F.col("offset").alias(shift)
-        )
-        out = out.withColumn(here, F.when(single[name], lane).otherwise(F.lit(-1)))
+        bucket = f"__bucket_{name}"
+        out = out.withColumn("__lane", F.when(F.col(f"__single_{name}"), lane).otherwise(-1))
         order = F.col(r.column).desc_nulls_first()
-        out = out.withColumn(name, F.rank().over(Window.partitionBy(bucket, here).orderBy(order)))
-        out = out.join(F.broadcast(shifts), bucket, "left")
-        out = out.withColumn(name, F.col(name) + F.col(shift))
+        inside = F.rank().over(Window.partitionBy(bucket, "__lane").orderBy(order))
+        out = out.withColumn(name, inside).drop("__lane")
+        out = out.join(shifts, F.col(bucket) == F.col("bucket"), "left")
+        out = out.withColumn(name, F.col(name) + F.col("shift")).drop("bucket", "shift")
     return out.select(*df.columns, *ranks)
 
 
