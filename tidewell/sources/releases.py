@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,16 @@ class ReleaseError(RuntimeError):
     pass
 
 
-def _fingerprint() -> list[Column]:
+def _measures() -> list[Column]:
     hashes = F.xxhash64(F.struct("*")).cast("decimal(38,0)")
     return [F.count("*").alias("rows"), F.coalesce(F.sum(hashes), F.lit(0)).alias("checksum")]
 
 
+def fingerprint(df: DataFrame) -> dict[str, object]:
+    """Row count and order-independent content hash."""
+    return df.agg(*_measures()).first().asDict()
+
+
 def _manifest(spark: SparkSession, root: str) -> DataFrame:
     schema = T.StructType.fromDDL(_MANIFEST)
     if not _exists(spark, f"{root}/manifest"):
@@ -42,24 +47,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def write_release(
-    tables: Mapping[str, DataFrame], root: str, name: str, check: bool = True
-) -> None:
+def write_release(tables: Mapping[str, DataFrame], root: str, name: str) -> None:
     """Write ``tables`` as release ``name``; it counts only once everything is written.
 
-    ``check`` reads every table back and compares row count and content hash with
-    what was to be written. Names must sort by age, such as a date and time.
+    Count and content hash are observed while a table is written; it is then read back
+    and must show the same. Names must sort by age, such as a date and time.
     """
     spark = next(iter(tables.values())).sparkSession
     entries = []
     for table, df in tables.items():
         path = f"{root}/data/{name}/{table}"
-        df.write.mode("overwrite").parquet(path)
-        found = spark.read.schema(df.schema).parquet(path).agg(*_fingerprint()).first()
-        if check:
-            wanted = df.agg(*_fingerprint()).first()
-            if tuple(found) != tuple(wanted):
-                raise ReleaseError(f"{table}: wrote {tuple(wanted)}, read back {tuple(found)}")
+        observed = Observation()
+        df.observe(observed, *_measures()).write.mode("overwrite").parquet(path)
+        found = fingerprint(spark.read.schema(df.schema).parquet(path))
+        if found != observed.get:
+            raise ReleaseError(f"{table}: wrote {observed.get}, read back {found}")
         entries.append((name, table, path, found["rows"], found["checksum"]))
     manifest = spark.createDataFrame(entries, T.StructType.fromDDL(_MANIFEST))
     manifest.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
