@@ -202,6 +202,8 @@ def test_release_is_published_as_a_whole(spark, tmp_path):
     assert releases.release_names(spark, root) == ["2026-10-01"]
     found = releases.read_release(spark, root)
     assert (found["a"].count(), found["b"].count()) == (5, 2)
+    with pytest.raises(releases.ReleaseError, match="already published"):
+        releases.write_release(one, root, "2026-10-01")
 
 
 def test_release_that_reads_back_differently_is_rejected(spark, tmp_path, monkeypatch):

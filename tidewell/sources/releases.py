@@ -51,9 +51,12 @@ def write_release(tables: Mapping[str, DataFrame], root: str, name: str) -> None
     """Write ``tables`` as release ``name``; it counts only once everything is written.
 
     Count and content hash are observed while a table is written; it is then read back
-    and must show the same. Names must sort by age, such as a date and time.
+    and must show the same. Names must sort by age, such as a date and time, and are used
+    once: a published release may have readers.
     """
     spark = next(iter(tables.values())).sparkSession
+    if name in release_names(spark, root):
+        raise ReleaseError(f"release {name!r} is already published in {root}")
     entries = []
     for table, df in tables.items():
         path = f"{root}/data/{name}/{table}"
