@@ -100,6 +100,11 @@ def test_hours_ignore_clock_changes(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_hours_of_a_century(spark):
+    row = (ts("2000-01-01T00:00:00"), ts("2100-01-01T00:00:00"))
+    assert value(spark, hours_between("a", "b"), "a timestamp_ntz, b timestamp_ntz", row) == 876600
+
+
 def test_inclusive_days(spark):
     row = (ts("2026-10-01T00:00:00").date(), ts("2026-10-03T00:00:00").date())
     assert value(spark, inclusive_days("a", "b"), "a date, b date", row) == 3

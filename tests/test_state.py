@@ -226,6 +226,30 @@ def test_only_the_newest_releases_are_kept(spark, tmp_path):
         releases.read_release(spark, root, "2026-10-01")
 
 
+def test_appended_tables_refer_to_earlier_files(spark, tmp_path):
+    root = str(tmp_path)
+    for day in range(1, 5):
+        new = {"log": spark.range(day).selectExpr(f"{day} as day", "id")}
+        releases.write_release({"a": spark.range(day)}, root, f"2026-10-0{day}", appended=new)
+    assert [releases.read_release(spark, root, f"2026-10-0{n}")["log"].count() for n in (1, 2, 3, 4)] == [1, 3, 6, 10]
+    assert releases.prune_releases(spark, root, keep=1) == ["2026-10-01", "2026-10-02", "2026-10-03"]
+    # the kept release still has the rows that older ones wrote
+    found = releases.read_release(spark, root)
+    assert (found["log"].count(), found["a"].count()) == (10, 4)
+    assert not (tmp_path / "data" / "2026-10-02" / "a").exists()
+    with pytest.raises(releases.ReleaseError, match="does not come after"):
+        releases.write_release({"a": spark.range(1)}, root, "2026-10-03x")
+
+
+def test_export_is_a_checked_copy(spark, tmp_path):
+    root, target = f"{tmp_path}/root", f"{tmp_path}/target"
+    releases.write_release({"a": spark.range(3)}, root, "r1", appended={"b": spark.range(2)})
+    releases.write_release({"a": spark.range(4)}, root, "r2", appended={"b": spark.range(5)})
+    assert releases.copy_release(spark, root, target) == "r2"
+    found = releases.read_release(spark, target)
+    assert (found["a"].count(), found["b"].count()) == (4, 7)
+
+
 def test_nothing_published_yet(spark, tmp_path):
     assert releases.release_names(spark, f"{tmp_path}/none") == []
     with pytest.raises(releases.ReleaseError):

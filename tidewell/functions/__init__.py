@@ -11,6 +11,7 @@ from tidewell.functions.scalars import (
     range_bound,
     redact_param,
     safe_ratio,
+    seconds_between,
     tail_parts,
     tier,
     zero_to_null,
@@ -27,6 +28,7 @@ __all__ = [
     "range_bound",
     "redact_param",
     "safe_ratio",
+    "seconds_between",
     "tail_parts",
     "tier",
     "zero_to_null",

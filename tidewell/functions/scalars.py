@@ -79,20 +79,24 @@ def tier(
     return label.otherwise(top)
 
 
-def hours_between(start: Column | str, end: Column | str, digits: int = 2) -> Column:
-    """Elapsed hours between two zone-less timestamps.
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Elapsed seconds between two zone-less timestamps, exact to the microsecond.
 
     Built from the parts of the interval: subtracting zone-less timestamps is the
     wall-clock difference whatever the session time zone is.
     """
     elapsed = _col(end) - _col(start)
     seconds = (
-        F.extract(F.lit("DAY"), elapsed).cast("decimal(20,0)") * 86400
-        + F.extract(F.lit("HOUR"), elapsed).cast("decimal(10,0)") * 3600
-        + F.extract(F.lit("MINUTE"), elapsed).cast("decimal(10,0)") * 60
-        + F.extract(F.lit("SECOND"), elapsed).cast("decimal(10,6)")
+        F.extract(F.lit("DAY"), elapsed).cast("decimal(12,0)") * 86400
+        + F.extract(F.lit("HOUR"), elapsed) * 3600
+        + F.extract(F.lit("MINUTE"), elapsed) * 60
+        + F.extract(F.lit("SECOND"), elapsed)
     )
-    return F.round(seconds.cast("decimal(20,6)") / F.lit(3600).cast("decimal(4,0)"), digits)
+    return seconds.cast("decimal(20,6)")
+
+
+def hours_between(start: Column | str, end: Column | str, digits: int = 2) -> Column:
+    return F.round(seconds_between(start, end) / F.lit(3600).cast("decimal(4,0)"), digits)
 
 
 def inclusive_days(first: Column | str, last: Column | str) -> Column:

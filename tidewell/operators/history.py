@@ -20,7 +20,7 @@ STRATEGIES = ("timestamp", "check")
 
 def _scd_id(keys: Sequence[str], valid_from: Column) -> Column:
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.date_format(valid_from, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    return F.md5(F.concat_ws("|", *parts, valid_from.cast("timestamp_ntz").cast("string")))
 
 
 def _differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
@@ -42,9 +42,8 @@ def versions_from_log(
     rows of the same key and stamp, of which the last one counts; leave it out if
     there are none, which saves a shuffle.
     """
-    if tie is not None:
-        log = last_per_group(log, [*keys, stamp], [tie])
-    rows = KeyedOrder.of(log, keys, [stamp], floor)
+    single = log if tie is None else last_per_group(log, [*keys, stamp], [tie])
+    rows = KeyedOrder.of(single, keys, [stamp], floor, sized_by=log)
     if check:
         was = {f"__was_{c}": c for c in check}
         # an all-NULL first row is still a version, so look at the stamp as well
@@ -72,34 +71,61 @@ def apply_snapshot(
     the check strategy: a new version when a checked column differs, stamped with the
     time of the snapshot. Unchanged data adds nothing.
 
-    Closed versions pass through untouched; only open ones meet the source, in one
-    outer join on the key, each side having a key at most once.
+    Closed versions pass through untouched; only open ones meet the source.
     """
+    if history is None:
+        return _first_versions(source, keys, updated_at, check, taken_at)
+    closed = history.filter(F.col("valid_to").isNotNull())
+    still_open = history.filter(F.col("valid_to").isNull())
+    touched = snapshot_step(
+        still_open, source, keys, updated_at=updated_at, check=check, taken_at=taken_at
+    )
+    return closed.select(*touched.columns).unionByName(touched)
+
+
+def _first_versions(
+    source: DataFrame,
+    keys: Sequence[str],
+    updated_at: str | None,
+    check: Sequence[str],
+    taken_at: Column | None,
+) -> DataFrame:
     if (updated_at is None) == (not check):
         raise ValueError("give either updated_at or check columns")
     if check and taken_at is None:
         raise ValueError("the check strategy needs taken_at")
-
     stamp = F.col(updated_at) if updated_at else taken_at
-    fresh = (
+    return (
         source.withColumn("valid_from", stamp.cast("timestamp_ntz"))
         .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
         .withColumn("scd_id", _scd_id(keys, F.col("valid_from")))
     )
-    if history is None:
-        return fresh
 
+
+def snapshot_step(
+    still_open: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    updated_at: str | None = None,
+    check: Sequence[str] = (),
+    taken_at: Column | None = None,
+) -> DataFrame:
+    """Open versions after a snapshot, and the ones it closed.
+
+    Rows with ``valid_to`` are closed for good: a store can append them and rewrite only
+    the rest, so its work does not grow with the age of the history. Both sides hold
+    a key at most once, so the one outer join on the key has no hot spots.
+    """
+    fresh = _first_versions(source, keys, updated_at, check, taken_at)
     columns = fresh.columns
-    closed = history.filter(F.col("valid_to").isNotNull()).select(*columns)
-    still_open = history.filter(F.col("valid_to").isNull())
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], F.struct(*columns).alias(name))
+        named = [F.col(k).alias(f"__{name}_{k}") for k in keys]
+        return df.select(*named, F.struct(*columns).alias(name))
 
     old, new = packed(still_open, "old"), packed(fresh, "new")
-    on_key = reduce(
-        lambda a, b: a & b, [F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in keys]
-    )
+    on_key = reduce(lambda a, b: a & b, [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys])
     both = old.join(new, on_key, "full_outer")
 
     if updated_at:
@@ -117,7 +143,7 @@ def apply_snapshot(
         .when(F.col("new").isNull() | ~F.coalesce(moved, F.lit(False)), F.array(F.col("old")))
         .otherwise(F.array(ended, F.col("new")))
     )
-    return closed.unionByName(both.select(F.inline(versions)))
+    return both.select(F.inline(versions))
 
 
 def is_latest(valid_to: str = "valid_to") -> Column:

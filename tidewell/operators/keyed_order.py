@@ -75,9 +75,14 @@ class KeyedOrder:
         keys: Sequence[str],
         order: Sequence[str],
         floor: int = SPLIT_FLOOR,
+        sized_by: DataFrame | None = None,
     ) -> KeyedOrder:
-        """Looks for hot keys first and splits only those."""
-        hot = heavy_keys(df, keys, floor)
+        """Looks for hot keys first and splits only those.
+
+        ``sized_by`` is a cheaper table to count keys in, such as the one that ``df`` was
+        made of: what counts is that no hot key is missed.
+        """
+        hot = heavy_keys(df if sized_by is None else sized_by, keys, floor)
         if hot is None:
             return cls.bounded(df, keys, order)
 

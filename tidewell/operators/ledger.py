@@ -64,9 +64,11 @@ def run_ledger(
     """``runs`` brought up to date with the page log.
 
     Progress is recomputed from the committed pages, so a page that is replayed is
-    not counted twice. Open runs whose last page is in are finished at ``finished_at``.
+    not counted twice. Runs without pages in the log keep their row. Open runs whose
+    last page is in are finished at ``finished_at``.
     """
-    own = runs.select("run_id", "started_at", "finished_at", F.col("list_size").alias("__size"))
+    kept = ["last_page", "games_loaded", "list_size"]
+    own = runs.withColumnsRenamed({c: f"__{c}" for c in kept})
     progress = run_progress(pages, page_size)
     done = F.coalesce(F.col("is_complete"), F.lit(False))
     ended = F.when(done, finished_at.cast("timestamp_ntz"))
@@ -74,7 +76,7 @@ def run_ledger(
         "run_id",
         "started_at",
         F.coalesce("finished_at", ended).alias("finished_at"),
-        "last_page",
-        F.coalesce("games_loaded", F.lit(0)).alias("games_loaded"),
-        F.coalesce("__size", "list_size").alias("list_size"),
+        F.coalesce("last_page", "__last_page").alias("last_page"),
+        F.coalesce("games_loaded", "__games_loaded").alias("games_loaded"),
+        F.coalesce("__list_size", "list_size").alias("list_size"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions import name_part, tail_parts
+from tidewell.functions import name_part, seconds_between, tail_parts
 from tidewell.operators.keyed_order import SPLIT_FLOOR, KeyedOrder
 
 
@@ -144,13 +144,7 @@ def source_freshness(
             )
         )
     all_sources = reduce(DataFrame.unionByName, parts)
-    gap = as_of.cast("timestamp_ntz") - F.col("max_loaded_at")
-    age = (
-        F.extract(F.lit("DAY"), gap) * 86400
-        + F.extract(F.lit("HOUR"), gap) * 3600
-        + F.extract(F.lit("MINUTE"), gap) * 60
-        + F.extract(F.lit("SECOND"), gap)
-    ).cast("double")
+    age = seconds_between("max_loaded_at", as_of.cast("timestamp_ntz")).cast("double")
     aged = all_sources.withColumn("age_s", age)
     status = (
         F.when(F.col("age_s").isNull() | (F.col("age_s") > F.col("error_s")), "error")

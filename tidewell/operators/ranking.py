@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.functions import safe_ratio
 from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
 
 
@@ -73,12 +74,13 @@ def highest(value: str, by: str, tie: str) -> Column:
     return F.max_by(value, F.struct(F.col(by).isNull(), F.col(by), -F.col(tie)))
 
 
-def share_of_total(df: DataFrame, measure: str, digits: int = 4) -> Column:
-    """``measure`` over its sum across ``df``; the sum is a scalar subquery."""
-    from tidewell.functions import safe_ratio
+def share_of_total(measure: Column | str, total: DataFrame, digits: int = 4) -> Column:
+    """``measure`` over the single value of ``total``, which is a scalar subquery.
 
-    total = df.agg(F.sum(measure)).scalar()
-    return safe_ratio(F.col(measure), total, digits)
+    Take the total from the rows before grouping where that is possible: it then needs
+    no shuffle of its own.
+    """
+    return safe_ratio(measure, total.scalar(), digits)
 
 
 def last_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:

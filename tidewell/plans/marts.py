@@ -125,10 +125,11 @@ def catalog_owners_distribution(stg_catalog: DataFrame, stg_games: DataFrame) ->
             "top100_owners_estimate"
         ),
     )
+    # totals of the rows before grouping: partial sums only, no shuffle of groups
     return buckets.withColumns(
         {
-            "share_of_games": share_of_total(buckets, "game_count"),
-            "share_of_owners": share_of_total(buckets, "owners_estimate"),
+            "share_of_games": share_of_total("game_count", catalog.agg(F.count("*"))),
+            "share_of_owners": share_of_total("owners_estimate", catalog.agg(F.sum("estimate"))),
         }
     )
 

@@ -167,6 +167,18 @@ def recent_game_rows(
     return libraries.select(player, F.inline(_games(json, RECENT_GAMES)))
 
 
+def read_libraries(spark: SparkSession, path: str) -> DataFrame:
+    """Players' responses from JSON lines ``{"steamid": ..., "owned": {...}, "recent": {...}}``.
+
+    The two responses stay text: whether they have a key at all is part of their meaning.
+    """
+    lines = spark.read.text(path)
+    fields = F.from_json(
+        "value", T.StructType.fromDDL("steamid string, owned string, recent string"), {"mode": "FAILFAST"}
+    )
+    return lines.select(fields.alias("f")).select("f.*")
+
+
 def library_status(
     libraries: DataFrame, player: str = "steamid", owned: str = "owned", recent: str = "recent"
 ) -> DataFrame:

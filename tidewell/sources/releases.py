@@ -47,18 +47,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def write_release(tables: Mapping[str, DataFrame], root: str, name: str) -> None:
+def write_release(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    name: str,
+    appended: Mapping[str, DataFrame] | None = None,
+) -> None:
     """Write ``tables`` as release ``name``; it counts only once everything is written.
 
+    Rows of ``appended`` are added to what the release before holds of that table,
+    whose files are referred to rather than copied.
+
     Count and content hash are observed while a table is written; it is then read back
     and must show the same. Names must sort by age, such as a date and time, and are used
     once: a published release may have readers.
     """
-    spark = next(iter(tables.values())).sparkSession
-    if name in release_names(spark, root):
+    appended = appended or {}
+    spark = next(iter({**tables, **appended}.values())).sparkSession
+    names = release_names(spark, root)
+    if name in names:
         raise ReleaseError(f"release {name!r} is already published in {root}")
+    if names and name < names[-1]:
+        raise ReleaseError(f"release {name!r} does not come after {names[-1]!r} in {root}")
+
     entries = []
-    for table, df in tables.items():
+    if names and appended:
+        before = _manifest(spark, root).filter(F.col("release") == names[-1])
+        kept = before.filter(F.col("table").isin(*appended))
+        entries += [(name, *tuple(r)[1:]) for r in kept.toLocalIterator()]
+    for table, df in {**tables, **appended}.items():
         path = f"{root}/data/{name}/{table}"
         observed = Observation()
         df.observe(observed, *_measures()).write.mode("overwrite").parquet(path)
@@ -67,13 +84,16 @@ def write_release(tables: Mapping[str, DataFrame], root: str, name: str) -> None
             raise ReleaseError(f"{table}: wrote {observed.get}, read back {found}")
         entries.append((name, table, path, found["rows"], found["checksum"]))
     manifest = spark.createDataFrame(entries, T.StructType.fromDDL(_MANIFEST))
+    # one file, so the release appears at once
     manifest.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
 def release_names(spark: SparkSession, root: str) -> list[str]:
-    """Published releases whose data is still there, oldest first."""
-    names = _manifest(spark, root).select("release").distinct().orderBy("release")
-    return [r[0] for r in names.toLocalIterator() if _exists(spark, f"{root}/data/{r[0]}")]
+    """Published releases that were not pruned, oldest first."""
+    manifest = _manifest(spark, root)
+    pruned = manifest.filter("path is null").select("release")
+    names = manifest.select("release").distinct().join(pruned, "release", "left_anti")
+    return sorted(r[0] for r in names.toLocalIterator())
 
 
 def read_release(spark: SparkSession, root: str, name: str | None = None) -> dict[str, DataFrame]:
@@ -82,14 +102,40 @@ def read_release(spark: SparkSession, root: str, name: str | None = None) -> dic
     name = name or (names[-1] if names else None)
     if name not in names:
         raise ReleaseError(f"no release {name!r} in {root}")
-    entries = _manifest(spark, root).filter(F.col("release") == name).select("table", "path")
-    return {r["table"]: spark.read.parquet(r["path"]) for r in entries.distinct().toLocalIterator()}
+    entries = _manifest(spark, root).filter(F.col("release") == name)
+    paths: dict[str, list[str]] = {}
+    for r in entries.orderBy("path").toLocalIterator():
+        paths.setdefault(r["table"], []).append(r["path"])
+    return {table: spark.read.parquet(*found) for table, found in paths.items()}
+
+
+def copy_release(spark: SparkSession, root: str, target: str, name: str | None = None) -> str:
+    """Export a release to another root, checked like any release; returns its name."""
+    name = name or release_names(spark, root)[-1]
+    write_release(read_release(spark, root, name), target, name)
+    return name
 
 
 def prune_releases(spark: SparkSession, root: str, keep: int = 14) -> list[str]:
-    """Delete the data of all but the newest ``keep`` releases; returns their names."""
-    old = release_names(spark, root)[:-keep] if keep else release_names(spark, root)
-    for name in old:
-        fs, path = _path(spark, f"{root}/data/{name}")
-        fs.delete(path, True)
+    """Delete all but the newest ``keep`` releases; returns their names.
+
+    They are marked in the manifest first, so nobody is sent to a half-deleted release.
+    Files that a kept release refers to stay.
+    """
+    names = release_names(spark, root)
+    old = names[: max(0, len(names) - keep)]
+    if not old:
+        return []
+    entries = _manifest(spark, root).filter("path is not null").select("release", "path").distinct()
+    paths: dict[str, set[str]] = {}
+    for r in entries.toLocalIterator():
+        paths.setdefault(r["release"], set()).add(r["path"])
+    marks = spark.createDataFrame(
+        [(n, None, None, None, None) for n in old], T.StructType.fromDDL(_MANIFEST)
+    )
+    marks.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    needed = set().union(*[paths[n] for n in names if n not in old])
+    for path in set().union(*[paths[n] for n in old]) - needed:
+        fs, hadoop = _path(spark, path)
+        fs.delete(hadoop, True)
     return old

@@ -337,8 +337,10 @@ def membership_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def share_of_total_orders(spark: SparkSession, sf: str) -> DataFrame:
-    orders = t.read(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("orders"))
-    return plain(orders.withColumn("share", share_of_total(orders, "orders")))
+    orders = t.read(spark, sf, "orders")
+    share = share_of_total("orders", orders.agg(F.count("*")))
+    counts = orders.groupBy("o_custkey").agg(F.count("*").alias("orders"))
+    return plain(counts.withColumn("share", share))
 
 
 @query
