@@ -5,6 +5,8 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from tidewell.plans import marts, staging
+from tidewell.workload import tables
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
 
@@ -47,8 +49,10 @@ def test_ranking_reads_only_the_columns_it_uses(spark, sf):
 
 
 def test_streaks_use_one_shuffle_after_the_daily_rows(spark, sf):
+    history = tables.game_log(spark, sf).withColumnRenamed("loaded_at", "valid_from")
+    daily = marts.game_daily_stats(staging.stg_games_history(history))
     # the plan is a line of nodes; a subquery hangs off it on the left
-    main = re.findall(r"^\s*\+- .*", plan(queries()["game_freshness"](spark, sf)), re.M)
+    main = re.findall(r"^\s*\+- .*", plan(marts.game_freshness(daily)), re.M)
     # by (game, day) for the daily rows, then by game for all windows and groups
     assert sum("Exchange hashpartitioning" in line for line in main) == 2
 
