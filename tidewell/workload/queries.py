@@ -50,7 +50,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the name of the function; ``_query`` sets it apart from the operator."""
+    QUERIES[fn.__name__.removesuffix("_query")] = fn
     return fn
 
 
@@ -81,7 +82,7 @@ def game_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def optional_int_text(spark: SparkSession, sf: str) -> DataFrame:
+def optional_int_query(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     text = F.when(kind == "click", "").when(
         kind != "error", F.floor("value").cast("int").cast("string")
@@ -208,7 +209,7 @@ def _base_and_batch(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 
 
 @query
-def upsert_rows(spark: SparkSession, sf: str) -> DataFrame:
+def upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     base, batch = _base_and_batch(spark, sf)
     once = batch.filter("seq = 0")
     return upsert(base, once, ["o_orderkey"], load_ts=t.ntz(t.LATEST_LOAD))
@@ -273,14 +274,14 @@ def review_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def zero_to_null_values(spark: SparkSession, sf: str) -> DataFrame:
+def zero_to_null_query(spark: SparkSession, sf: str) -> DataFrame:
     names = ["average_playtime_forever", "average_playtime_2weeks"]
     lines = t.games(spark, sf).select("appid", *[zero_to_null(c).alias(c) for c in names])
     return lines
 
 
 @query
-def cents_to_dollars_values(spark: SparkSession, sf: str) -> DataFrame:
+def cents_to_dollars_query(spark: SparkSession, sf: str) -> DataFrame:
     games = t.games(spark, sf)
     return plain(games.select("appid", cents_to_dollars("price_cents").alias("price_usd")))
 
@@ -292,7 +293,7 @@ def code_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def price_tier_labels(spark: SparkSession, sf: str) -> DataFrame:
+def price_tier_query(spark: SparkSession, sf: str) -> DataFrame:
     games = t.games(spark, sf).select(
         "appid",
         cents_to_dollars("price_cents").alias("price_usd"),
@@ -314,7 +315,7 @@ def duration_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def latest_load(spark: SparkSession, sf: str) -> DataFrame:
+def latest_load_flag_query(spark: SparkSession, sf: str) -> DataFrame:
     flagged = latest_load_flag(t.read(spark, sf, "orders"), "o_orderdate", "is_latest")
     return flagged.select("o_orderkey", "is_latest")
 
@@ -336,7 +337,7 @@ def membership_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def share_of_total_orders(spark: SparkSession, sf: str) -> DataFrame:
+def share_of_total_query(spark: SparkSession, sf: str) -> DataFrame:
     orders = t.read(spark, sf, "orders")
     share = share_of_total("orders", orders.agg(F.count("*")))
     counts = orders.groupBy("o_custkey").agg(F.count("*").alias("orders"))
@@ -485,8 +486,16 @@ def _card_query(name: str) -> Query:
     return run
 
 
+# shorter names of some models
+_SHORT = {
+    "stg_games_history": "stg_history",
+    "game_daily_stats": "daily_stats",
+    "catalog_owners_distribution": "owners_distribution",
+    "catalog_coverage": "coverage",
+}
+
 for _name in MODELS:
-    QUERIES[_name] = _model_query(_name)
+    QUERIES[_SHORT.get(_name, _name)] = _model_query(_name)
 for _name in CARDS:
     QUERIES[f"card_{_name}"] = _card_query(_name)
 
