@@ -34,7 +34,7 @@ def load(spark, landing):
 
 
 def log(stored):
-    return rows(ledger.page_log(stored))
+    return rows(pages.committed_pages(stored))
 
 
 def test_pages_are_loaded_once_and_later_ones_are_picked_up(spark, landing):
@@ -42,13 +42,13 @@ def test_pages_are_loaded_once_and_later_ones_are_picked_up(spark, landing):
     land(landing, 1, [4, 5, 6])
     stored = load(spark, landing)
     assert log(stored) == [(1, 0, 3), (1, 1, 3)]
-    progress = ledger.run_progress(ledger.page_log(stored), page_size=3)
+    progress = ledger.run_progress(pages.committed_pages(stored), page_size=3)
     assert rows(progress) == [(1, 1, 6, False, None)]
 
     land(landing, 2, [7])
     stored = load(spark, landing)
     assert log(stored) == [(1, 0, 3), (1, 1, 3), (1, 2, 1)]
-    progress = ledger.run_progress(ledger.page_log(stored), page_size=3)
+    progress = ledger.run_progress(pages.committed_pages(stored), page_size=3)
     assert rows(progress) == [(1, 2, 7, True, 7)]
     # nothing new: nothing loaded
     assert log(load(spark, landing)) == log(stored)
@@ -95,3 +95,21 @@ def test_replayed_batch_counts_its_rows_once(spark, landing):
     for name in ("0", ".0.crc"):
         os.remove(landing / "check" / "commits" / name)
     assert rows(load(spark, landing)) == before
+
+
+def test_empty_page_ends_a_list_of_full_pages(spark, landing):
+    land(landing, 0, [1, 2, 3])
+    land(landing, 1, [4, 5, 6])
+    land(landing, 2, [])
+    stored = load(spark, landing)
+    assert log(stored) == [(1, 0, 3), (1, 1, 3), (1, 2, 0)]
+    progress = ledger.run_progress(pages.committed_pages(stored), page_size=3)
+    assert rows(progress) == [(1, 1, 6, True, 6)]
+    assert pages.current_catalog(stored).count() == 6
+
+
+def test_list_without_games_has_no_size(spark, landing):
+    land(landing, 0, [])
+    stored = load(spark, landing)
+    progress = ledger.run_progress(pages.committed_pages(stored), page_size=3)
+    assert rows(progress) == [(1, None, 0, True, None)]

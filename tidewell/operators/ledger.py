@@ -8,23 +8,34 @@ from pyspark.sql import functions as F
 PAGE_SIZE = 1000
 
 
-def page_log(rows: DataFrame) -> DataFrame:
-    """One row per committed page from the loaded rows (``run_id``, ``page``, ...)."""
-    return rows.groupBy("run_id", "page").agg(F.count("*").cast("int").alias("n"))
+def page_log(rows: DataFrame, item: str | None = None) -> DataFrame:
+    """One row per committed page from the loaded rows (``run_id``, ``page``, ...).
+
+    Name an ``item`` column if a row without item marks a page that was empty.
+    """
+    return rows.groupBy("run_id", "page").agg(F.count(item or "*").cast("int").alias("n"))
 
 
 def run_progress(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Last page, rows loaded and, once the short last page is in, the list size.
 
-    Every page before the last is full, so the last page decides the size of the
-    list. It is NULL while the last committed page is a full one.
+    Every page before the last is full, so the last page with rows decides the size of
+    the list. It is NULL while the last committed page is a full one, and for a list
+    without rows.
     """
-    last_n = F.max_by("n", "page")
-    return pages.groupBy("run_id").agg(
-        F.max("page").alias("last_page"),
+    filled = F.max(F.when(F.col("n") > 0, F.struct("page", "n")))
+    progress = pages.groupBy("run_id").agg(
+        filled.alias("filled"),
         F.sum("n").cast("int").alias("games_loaded"),
-        (last_n < page_size).alias("is_complete"),
-        F.when(last_n < page_size, F.max("page") * page_size + last_n).alias("list_size"),
+        (F.max_by("n", "page") < page_size).alias("is_complete"),
+    )
+    size = F.col("filled.page") * page_size + F.col("filled.n")
+    return progress.select(
+        "run_id",
+        F.col("filled.page").alias("last_page"),
+        "games_loaded",
+        "is_complete",
+        F.when(F.col("is_complete"), size).alias("list_size"),
     )
 
 

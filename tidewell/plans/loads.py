@@ -74,13 +74,16 @@ def load_catalog(
 ) -> dict[str, DataFrame]:
     """Fold the page store of the stream into the catalogue and the run ledger.
 
-    Rows keep the stamp of their own page. A game seen on two pages keeps the later one.
+    Only pages of open runs are read: finished ones were folded in before. Rows keep the
+    stamp of their own page. A game seen on two pages keeps the later one.
     """
-    position = ("run_id", "page", "seq")
     runs = conform(tables["catalog_runs"], "catalog_runs")
+    oldest_open = runs.filter("finished_at is null").agg(F.min("run_id")).scalar()
+    fresh = stored.filter(F.col("run_id") >= oldest_open)
+    games = fresh.filter(F.col("appid").isNotNull())
     return {
-        "games_catalog": _load(tables, "games_catalog", stored, None, position),
-        "catalog_runs": run_ledger(runs, page_log(stored), finished_at, page_size),
+        "games_catalog": _load(tables, "games_catalog", games, None, ("run_id", "page", "seq")),
+        "catalog_runs": run_ledger(runs, page_log(fresh, "appid"), finished_at, page_size),
     }
 
 

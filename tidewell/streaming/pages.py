@@ -3,7 +3,8 @@
 Pages land as ``<landing>/run-<id>/page-<n>.json``. The stream appends the rows of each
 micro-batch to a page store, with run, page and position in the page. Both the current
 catalogue and the run ledger are derived from that store, so a page and its
-progress are committed by the same write.
+progress are committed by the same write. A page without games leaves one row that has
+no ``appid``.
 """
 
 from __future__ import annotations
@@ -44,9 +45,13 @@ def stream_pages(
     ).withColumns(page_position("file"))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        rows = game_rows(batch, keep=["run_id", "page", "modified"])
+        position = ["run_id", "page", "modified"]
+        games = game_rows(batch, keep=position)
+        empty = batch.filter(F.json_object_keys("value") == F.array()).select(*position)
+        rows = games.unionByName(empty, allowMissingColumns=True)
         rows = rows.withColumnRenamed("modified", "loaded_at")
-        rows.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        # by run, so that work on the open run does not read the finished ones
+        rows.write.mode("overwrite").partitionBy("run_id").parquet(f"{store}/batch={batch_id}")
 
     return (
         documents.writeStream.foreachBatch(commit)
@@ -57,20 +62,16 @@ def stream_pages(
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(store).drop("batch")
+    stored = spark.read.parquet(store).drop("batch")
+    return stored.withColumn("run_id", F.col("run_id").cast("bigint"))
 
 
 def current_catalog(stored: DataFrame) -> DataFrame:
     """The latest row of each game: a game seen on two pages keeps the later one."""
     spec = RAW_TABLES["games_catalog"]
-    latest = last_per_group(stored, spec.keys, _POSITION)
-    return latest.select(*spec.columns)
+    games = stored.filter(F.col("appid").isNotNull())
+    return last_per_group(games, spec.keys, _POSITION).select(*spec.columns)
 
 
 def committed_pages(stored: DataFrame) -> DataFrame:
-    return page_log(stored)
-
-
-def landed_progress(stored: DataFrame) -> DataFrame:
-    """When each run's last page landed, usable as its finishing time."""
-    return stored.groupBy("run_id").agg(F.max("loaded_at").alias("last_landed_at"))
+    return page_log(stored, item="appid")
