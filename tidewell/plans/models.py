@@ -73,8 +73,8 @@ def materialize(
             path = f"{root}/{name}"
             writer = df.write.mode("overwrite")
             if name == "game_daily_stats":
-                # rows of a day meet in few tasks, so a day gets few files
-                writer = df.repartition("snapshot_date").write.mode("overwrite")
+                # few files per day, while a day too large for one task is still split
+                writer = df.hint("rebalance", "snapshot_date").write.mode("overwrite")
                 writer = writer.partitionBy("snapshot_date")
             writer.parquet(path)
             df = spark.read.schema(df.schema).parquet(path)
