@@ -31,21 +31,31 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
     bucket is spread over tasks freely. NULLs are a single-value bucket as well.
     """
     bits = bits or bound_bits(df.sparkSession)
-    values = {name: F.col(r.column) for name, r in ranks.items()}
+    values = {r.column: F.col(r.column) for r in ranks.values()}
     bucketed = bounds_below(df, values, quantile_bounds(df, values, bits), bits)
+    # rows of a one-value bucket stay apart by the task they come from: identical rows
+    # could not be told apart by their content
+    lanes = {}
+    for c, value in values.items():
+        on_bound = F.get(F.col("__bounds")[c], F.col(f"__below_{c}")) == value
+        lanes[f"__on_{c}"] = F.coalesce(on_bound, F.lit(False))
+        single = F.col(c).isNull() | F.col(f"__on_{c}")
+        lanes[f"__lane_{c}"] = F.when(single, F.spark_partition_id()).otherwise(-1)
+
     # bucket numbers of different ranks do not overlap, so one table shifts them all
     width = 2 * (2**bits - 1) + 3
-    buckets, single = {}, {}
+    buckets = {}
     for i, (name, r) in enumerate(ranks.items()):
-        value, below = F.col(r.column), F.col(f"__below_{name}")
-        on_bound = F.coalesce(F.get(F.col("__bounds")[name], below) == value, F.lit(False))
         # the gap above the highest bound comes first, the one below the lowest last
-        number = F.lit(width - 2) - (below * 2 + on_bound.cast("int"))
+        number = F.lit(width - 2) - F.col(f"__below_{r.column}") * 2
+        number = number - F.col(f"__on_{r.column}").cast("int")
         edge = F.lit(0 if r.nulls == "first" else width - 1)
-        buckets[f"__bucket_{name}"] = F.when(value.isNull(), edge).otherwise(number) + i * width
-        single[name] = value.isNull() | on_bound
-    single = {f"__single_{n}": c for n, c in single.items()}
-    bucketed = bucketed.withColumns(buckets | single).select(*df.columns, *buckets, *single)
+        number = F.when(F.col(r.column).isNull(), edge).otherwise(number)
+        buckets[f"__bucket_{name}"] = number + i * width
+    for name, lane in lanes.items():
+        bucketed = bucketed.withColumn(name, lane)
+    kept = [*df.columns, *[f"__lane_{c}" for c in values], *buckets]
+    bucketed = bucketed.withColumns(buckets).select(*kept)
 
     counts = bucketed.select(F.explode(F.array(*buckets)).alias("bucket")).groupBy("bucket").count()
     # at most ``width`` rows per rank
@@ -53,18 +63,16 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
     before = F.sum("count").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
     shifts = F.broadcast(counts.select("bucket", F.coalesce(before, F.lit(0)).alias("shift")))
 
-    # rows of a one-value bucket stay apart by the task they come from: identical rows
-    # could not be told apart by their content
-    lane = F.spark_partition_id()
     out = bucketed
-    for name, r in ranks.items():
-        bucket = f"__bucket_{name}"
-        out = out.withColumn("__lane", F.when(F.col(f"__single_{name}"), lane).otherwise(-1))
-        order = F.col(r.column).desc_nulls_first()
-        inside = F.rank().over(Window.partitionBy(bucket, "__lane").orderBy(order))
-        out = out.withColumn(name, inside).drop("__lane")
-        out = out.join(shifts, F.col(bucket) == F.col("bucket"), "left")
-        out = out.withColumn(name, F.col(name) + F.col("shift")).drop("bucket", "shift")
+    for c in values:
+        # ranks of the same column differ in their shifts only
+        names = [n for n, r in ranks.items() if r.column == c]
+        window = Window.partitionBy(f"__bucket_{names[0]}", f"__lane_{c}")
+        out = out.withColumn("__inside", F.rank().over(window.orderBy(F.col(c).desc_nulls_first())))
+        for name in names:
+            out = out.join(shifts, F.col(f"__bucket_{name}") == F.col("bucket"), "left")
+            out = out.withColumn(name, F.col("__inside") + F.col("shift")).drop("bucket", "shift")
+        out = out.drop("__inside")
     return out.select(*df.columns, *ranks)
 
 
