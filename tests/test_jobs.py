@@ -117,6 +117,13 @@ def test_build_report_export_and_restore(spark, place):
     assert {n: rows(t) for n, t in before.items()} == {n: rows(after[n]) for n in before}
 
 
+def test_load_of_one_table_writes_no_other(spark, place):
+    names = releases.release_names(spark, str(place / "root" / "tables"))
+    written = {p.name for p in (place / "root" / "tables" / "data" / names[1]).iterdir()}
+    assert "games_catalog" not in written and "friends" not in written
+    assert {"games", "games_snapshot_open", "games_snapshot_closed"} <= written
+
+
 def test_repeating_a_load_adds_no_version(spark, place, tables):
     root = str(place / "root")
     before = rows(tables["player_games_snapshot"]), tables["games_snapshot"].count()

@@ -241,6 +241,19 @@ def test_appended_tables_refer_to_earlier_files(spark, tmp_path):
         releases.write_release({"a": spark.range(1)}, root, "2026-10-03x")
 
 
+def test_unchanged_tables_are_carried_over(spark, tmp_path):
+    root = str(tmp_path)
+    releases.write_release({"a": spark.range(3), "b": spark.range(2)}, root, "r1")
+    releases.write_release({"a": spark.range(4)}, root, "r2")
+    found = releases.read_release(spark, root)
+    assert (found["a"].count(), found["b"].count()) == (4, 2)
+    assert not (tmp_path / "data" / "r2" / "b").exists()
+    assert releases.prune_releases(spark, root, keep=1) == ["r1"]
+    assert releases.read_release(spark, root)["b"].count() == 2
+    releases.write_release({"a": spark.range(5)}, root, "r3", carry=False)
+    assert set(releases.read_release(spark, root)) == {"a"}
+
+
 def test_export_is_a_checked_copy(spark, tmp_path):
     root, target = f"{tmp_path}/root", f"{tmp_path}/target"
     releases.write_release({"a": spark.range(3)}, root, "r1", appended={"b": spark.range(2)})

@@ -106,7 +106,8 @@ def restore(
     spark: SparkSession, root: str, now: datetime, source: str, name: str | None = None
 ) -> None:
     """Publish an exported release as the newest one; build the marts again afterwards."""
-    releases.write_release(releases.read_release(spark, source, name), _tables(root), _name(now))
+    exported = releases.read_release(spark, source, name)
+    releases.write_release(exported, _tables(root), _name(now), carry=False)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -5,7 +5,7 @@ Functions take the current raw tables by name and return the tables they changed
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from tidewell.operators.history import snapshot_step
 from tidewell.operators.ledger import PAGE_SIZE, page_log, run_ledger
 from tidewell.operators.upsert import upsert
 from tidewell.schemas import RAW_TABLES, conform
+from tidewell.session import reusable
 from tidewell.sources import landed, releases
 
 Tables = Mapping[str, DataFrame]
@@ -88,17 +89,18 @@ def load_catalog(
 
 
 def take_snapshots(
-    tables: Tables, taken_at: Column
+    tables: Tables, taken_at: Column, sources: Collection[str] = tuple(RAW_TABLES)
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Open versions of every history, and those that this snapshot closed."""
+    """Open versions of the histories of ``sources``, and those that this snapshot closed."""
     still_open, closed = {}, {}
     for name, (source, strategy) in SNAPSHOTS.items():
-        extra = {"taken_at": taken_at} if "check" in strategy else {}
-        step = snapshot_step(
-            tables[f"{name}_open"], tables[source], RAW_TABLES[source].keys, **strategy, **extra
-        )
-        still_open[f"{name}_open"] = step.filter("valid_to is null")
-        closed[f"{name}_closed"] = step.filter("valid_to is not null")
+        if source in sources:
+            extra = {"taken_at": taken_at} if "check" in strategy else {}
+            open_before, keys = tables[f"{name}_open"], RAW_TABLES[source].keys
+            step = snapshot_step(open_before, tables[source], keys, **strategy, **extra)
+            step = reusable(step)
+            still_open[f"{name}_open"] = step.filter("valid_to is null")
+            closed[f"{name}_closed"] = step.filter("valid_to is not null")
     return still_open, closed
 
 
@@ -119,12 +121,12 @@ def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def publish(
     spark: SparkSession, root: str, name: str, changed: Tables, taken_at: Column
 ) -> dict[str, DataFrame]:
-    """Publish the raw tables with their snapshots as one release.
+    """Publish the changed raw tables with their snapshots as one release.
 
-    Of the histories only the open versions are rewritten, closed ones are appended.
+    Tables that did not change are referred to. Of the histories only the open versions are
+    rewritten, closed ones are appended.
     """
     tables = {**current_tables(spark, root), **changed}
-    still_open, closed = take_snapshots(tables, taken_at)
-    raw = {n: tables[n] for n in RAW_TABLES}
-    releases.write_release({**raw, **still_open}, root, name, appended=closed)
+    still_open, closed = take_snapshots(tables, taken_at, changed)
+    releases.write_release({**changed, **still_open}, root, name, appended=closed)
     return current_tables(spark, root)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "tidewell") -> SparkSession:
@@ -16,3 +16,13 @@ def session(app: str = "tidewell") -> SparkSession:
         .config("spark.sql.ansi.enabled", "true")
         .getOrCreate()
     )
+
+
+def reusable(df: DataFrame) -> DataFrame:
+    """``df`` for more than one use: written once to the cluster's checkpoint folder.
+
+    Without ``spark.checkpoint.dir`` it is computed again for every use.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint()

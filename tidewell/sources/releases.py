@@ -52,11 +52,13 @@ def write_release(
     root: str,
     name: str,
     appended: Mapping[str, DataFrame] | None = None,
+    carry: bool = True,
 ) -> None:
     """Write ``tables`` as release ``name``; it counts only once everything is written.
 
-    Rows of ``appended`` are added to what the release before holds of that table,
-    whose files are referred to rather than copied.
+    Rows of ``appended`` are added to what the release before holds of that table. With
+    ``carry`` its other tables belong to this release as well. Files written
+    before are referred to and not copied, so a release costs what has changed.
 
     Count and content hash are observed while a table is written; it is then read back
     and must show the same. Names must sort by age, such as a date and time, and are used
@@ -71,10 +73,11 @@ def write_release(
         raise ReleaseError(f"release {name!r} does not come after {names[-1]!r} in {root}")
 
     entries = []
-    if names and appended:
+    if names:
         before = _manifest(spark, root).filter(F.col("release") == names[-1])
-        kept = before.filter(F.col("table").isin(*appended))
-        entries += [(name, *tuple(r)[1:]) for r in kept.toLocalIterator()]
+        for r in before.toLocalIterator():
+            if r["table"] in appended or (carry and r["table"] not in tables):
+                entries.append((name, *tuple(r)[1:]))
     for table, df in {**tables, **appended}.items():
         path = f"{root}/data/{name}/{table}"
         observed = Observation()
@@ -112,7 +115,7 @@ def read_release(spark: SparkSession, root: str, name: str | None = None) -> dic
 def copy_release(spark: SparkSession, root: str, target: str, name: str | None = None) -> str:
     """Export a release to another root, checked like any release; returns its name."""
     name = name or release_names(spark, root)[-1]
-    write_release(read_release(spark, root, name), target, name)
+    write_release(read_release(spark, root, name), target, name, carry=False)
     return name
 
 
