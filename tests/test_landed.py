@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidewell.sources import landed
 
@@ -69,19 +70,30 @@ def test_missing_null_and_empty_prices_are_null(spark):
 
 def test_missing_required_field_fails(spark):
     bad = page(game(GAMES[0], ccu=...))
-    with pytest.raises(Exception, match="required field ccu is missing"):
+    with pytest.raises(Exception, match="required field missing: ccu"):
         landed.game_rows(documents(spark, bad)).collect()
 
 
 def test_quarantine_names_the_missing_fields(spark):
-    docs = documents(spark, page(game(GAMES[0], ccu=..., name=None), game(GAMES[1])))
+    docs = documents(spark, page(game(GAMES[0], ccu=..., name=...), game(GAMES[1])))
     required = list(landed.GAME_REQUIRED.values())
-    entries = landed.map_entries(docs, "value", landed.GAME_FIELDS)
-    good, bad = landed.split_required(entries, required)
+    entries = landed.map_entries(docs, "value", landed.GAME_FIELDS, required=required)
+    good, bad = landed.split_required(entries)
     assert [r.appid for r in good.collect()] == [1172470]
     assert [(r.appid, r.missing_fields) for r in bad.collect()] == [(730, ["name", "ccu"])]
 
 
+def test_required_field_may_be_null(spark):
+    [row] = landed.game_rows(documents(spark, page(game(GAMES[0], developer=None)))).collect()
+    assert (row.appid, row.developer) == (730, None)
+
+
+def test_check_does_not_depend_on_the_columns_used(spark):
+    bad = page(game(GAMES[0], ccu=...))
+    with pytest.raises(Exception, match="required field missing: ccu"):
+        landed.game_rows(documents(spark, bad)).select("appid").collect()
+
+
 def test_broken_document_fails(spark):
     with pytest.raises(Exception, match="MALFORMED|Malformed|BAD"):
         landed.game_rows(documents(spark, '{"1": {"appid": ')).collect()
@@ -140,6 +152,15 @@ def test_owned_and_recent_games_with_defaults(spark):
     assert rows(landed.recent_game_rows(libraries(spark))) == [("1", 730, "Counter-Strike 2", 312, 5423)]
 
 
+def test_given_null_is_not_a_missing_key(spark):
+    text = '{"game_count": 1, "games": [{"appid": 1, "playtime_forever": 2, "rtime_last_played": null}]}'
+    df = spark.createDataFrame([("1", text)], "steamid string, owned string")
+    assert rows(landed.owned_game_rows(df)) == [("1", 1, None, 2, None)]
+    with pytest.raises(Exception, match="required field missing: playtime_forever"):
+        broken = df.withColumn("owned", F.replace("owned", F.lit("playtime_f"), F.lit("p")))
+        landed.owned_game_rows(broken).collect()
+
+
 def test_hidden_is_not_empty_and_all_players_have_a_status(spark):
     status = landed.library_status(libraries(spark))
     assert rows(status) == [

@@ -6,7 +6,7 @@ items or one player's list, so a whole document per row is small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,19 +44,12 @@ GAME_OPTIONAL = {
     "discount_pct": "discount",
 }
 
-PLAYERS_DOCUMENT = (
-    "response struct<players: array<struct<steamid: string, personaname: string, "
-    "profileurl: string, personastate: int>>>"
-)
+PLAYER_FIELDS = "steamid string, personaname string, profileurl string, personastate int"
 FRIENDS_DOCUMENT = "friendslist struct<friends: array<struct<steamid: string>>>"
-OWNED_GAMES = (
-    "game_count int, games array<struct<appid: int, name: string, "
-    "playtime_forever: int, rtime_last_played: bigint>>"
-)
-RECENT_GAMES = (
-    "total_count int, games array<struct<appid: int, name: string, "
-    "playtime_2weeks: int, playtime_forever: int>>"
-)
+OWNED_FIELDS = "appid int, name string, playtime_forever int, rtime_last_played bigint"
+RECENT_FIELDS = "appid int, name string, playtime_2weeks int, playtime_forever int"
+
+_STRICT = {"mode": "FAILFAST"}
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -81,90 +74,124 @@ def page_position(file: Column | str) -> dict[str, Column]:
     }
 
 
+def _parse(json: Column | str, fields: str) -> Column:
+    return F.from_json(json, T.StructType.fromDDL(fields), _STRICT)
+
+
+def has_key(json: Column | str, key: str) -> Column:
+    """Whether an object has a key at all, which a NULL value would not tell."""
+    c = F.col(json) if isinstance(json, str) else json
+    return F.coalesce(F.array_contains(F.json_object_keys(c), key), F.lit(False))
+
+
+def _typed(
+    objects: DataFrame,
+    keep: Sequence[str],
+    fields: str,
+    required: Sequence[str],
+    defaults: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Fields of the objects in ``__json`` and the names of required keys they lack.
+
+    A key may be there with the value null. So keys are only looked at where a value is NULL,
+    which keeps the second look at the text to the few rows that need it.
+    """
+    typed = objects.withColumn("__value", _parse("__json", fields))
+    value = F.col("__value")
+    absent = F.array_except(F.array(*[F.lit(c) for c in required]), F.json_object_keys("__json"))
+    some_null = F.lit(False)
+    for c in required:
+        some_null = some_null | value[c].isNull()
+    missing = F.when(some_null, absent).otherwise(F.array().cast("array<string>"))
+    columns = {c: value[c] for c in T.StructType.fromDDL(fields).fieldNames()}
+    for c, default in (defaults or {}).items():
+        not_given = value[c].isNull() & ~has_key("__json", c)
+        columns[c] = F.when(not_given, F.lit(default)).otherwise(value[c])
+    return typed.select(
+        *keep, *[v.alias(c) for c, v in columns.items()], missing.alias("missing_fields")
+    )
+
+
 def map_entries(
-    docs: DataFrame, json: str, fields: str, keep: Sequence[str] = (), value: str | None = None
+    docs: DataFrame,
+    json: str,
+    fields: str,
+    keep: Sequence[str] = (),
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows of documents that map ids to objects: ``keep`` columns, ``seq``, ``entry``, fields.
+    """Rows of documents that map ids to objects: ``keep``, ``seq``, ``entry``, fields.
 
-    ``seq`` is the position in the document. A document that is not such a map
-    fails the job. For maps to plain values give their type as ``fields`` and the name
-    of the output column as ``value``.
+    ``seq`` is the position in the document and ``missing_fields`` names the ``required``
+    keys that an object lacks. A document that is not such a map fails the job.
     """
-    dtype = T.DataType.fromDDL(fields) if value else T.StructType.fromDDL(fields)
-    parsed = F.from_json(F.col(json), T.MapType(T.StringType(), dtype), {"mode": "FAILFAST"})
-    entries = docs.select(*keep, F.posexplode(parsed).alias("seq", "entry", "__value"))
-    unpacked = F.col("__value").alias(value) if value else F.col("__value.*")
-    return entries.select(*keep, "seq", "entry", unpacked)
+    objects = map_values(docs, json, "string", keep, value="__json")
+    return _typed(objects, [*keep, "seq", "entry"], fields, required)
 
 
-def split_required(rows: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that have all required fields, and the rest with the names they lack."""
-    lacking = F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull()
-    )
-    checked = rows.withColumn("missing_fields", lacking)
-    good = checked.filter(F.size("missing_fields") == 0).drop("missing_fields")
-    return good, checked.filter(F.size("missing_fields") > 0)
-
-
-def require(rows: DataFrame, required: Sequence[str]) -> DataFrame:
-    """``rows``, failing the job on the first row that lacks a required field."""
-    checked = {
-        c: F.when(F.col(c).isNotNull(), F.col(c)).otherwise(
-            F.raise_error(F.lit(f"required field {c} is missing"))
-        )
-        for c in required
-    }
-    return rows.withColumns(checked)
+def map_values(
+    docs: DataFrame, json: str, dtype: str, keep: Sequence[str] = (), value: str = "value"
+) -> DataFrame:
+    """Rows of documents that map names to plain values of one type."""
+    map_type = T.MapType(T.StringType(), T.DataType.fromDDL(dtype))
+    parsed = F.from_json(F.col(json), map_type, _STRICT)
+    return docs.select(*keep, F.posexplode(parsed).alias("seq", "entry", value))
 
 
-def game_rows(docs: DataFrame, keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
-    """Raw game columns from page documents; unused fields are dropped.
+def split_required(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that have all required keys, and the rest with the names they lack."""
+    complete = F.size("missing_fields") == 0
+    return rows.filter(complete).drop("missing_fields"), rows.filter(~complete)
 
-    ``strict`` fails on a game without a required field; otherwise use
-    ``split_required`` on the result.
-    """
-    entries = map_entries(docs, "value", GAME_FIELDS, keep)
-    if strict:
-        entries = require(entries, list(GAME_REQUIRED.values()))
+
+def require(rows: DataFrame) -> DataFrame:
+    """``rows``, failing the job on the first one that lacks a required key."""
+    names = F.array_join("missing_fields", ", ")
+    failure = F.raise_error(F.concat(F.lit("required field missing: "), names)).cast("boolean")
+    # a filter, because an unused column would be pruned together with its check
+    return rows.filter(F.when(F.size("missing_fields") == 0, True).otherwise(failure)).drop(
+        "missing_fields"
+    )
+
+
+def game_rows(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw game columns from page documents; unused fields are dropped."""
+    entries = require(map_entries(docs, "value", GAME_FIELDS, keep, list(GAME_REQUIRED.values())))
     out = {raw: F.col(name) for raw, name in GAME_REQUIRED.items()}
     out |= {raw: optional_int(name) for raw, name in GAME_OPTIONAL.items()}
     return entries.select(*keep, "seq", *[c.alias(raw) for raw, c in out.items()])
 
 
 def friend_ids(docs: DataFrame, json: str = "value") -> DataFrame:
-    parsed = F.from_json(F.col(json), T.StructType.fromDDL(FRIENDS_DOCUMENT), {"mode": "FAILFAST"})
-    return docs.select(F.inline(parsed["friendslist"]["friends"])).select("steamid")
+    return docs.select(F.inline(_parse(json, FRIENDS_DOCUMENT)["friendslist"]["friends"]))
 
 
 def player_rows(docs: DataFrame, self_id: str | None = None, json: str = "value") -> DataFrame:
     """Profiles, flagging the configured user's own one; no ``self_id`` flags nobody."""
-    parsed = F.from_json(F.col(json), T.StructType.fromDDL(PLAYERS_DOCUMENT), {"mode": "FAILFAST"})
+    response = _parse(json, "response struct<players: array<string>>")["response"]
+    objects = docs.select(F.explode(response["players"]).alias("__json"))
+    required = ["steamid", "personaname", "profileurl", "personastate"]
+    players = require(_typed(objects, [], PLAYER_FIELDS, required))
     is_self = F.coalesce(F.col("steamid") == F.lit(self_id).cast("string"), F.lit(False))
-    return docs.select(F.inline(parsed["response"]["players"])).select(
-        "steamid", "personaname", "profileurl", "personastate", is_self.alias("is_self")
-    )
-
-
-def has_key(json: Column | str, key: str) -> Column:
-    """Whether an object has a key at all, which a NULL value would not tell."""
-    c = F.col(json) if isinstance(json, str) else json
-    return F.coalesce(F.array_contains(F.json_object_keys(c), key), F.lit(False))
+    return players.withColumn("is_self", is_self)
 
 
-def _games(json: str, fields: str) -> Column:
-    return F.from_json(F.col(json), T.StructType.fromDDL(fields), {"mode": "FAILFAST"})["games"]
+def _games(json: str) -> Column:
+    return _parse(json, "games array<string>")["games"]
 
 
 def owned_game_rows(libraries: DataFrame, player: str = "steamid", json: str = "owned") -> DataFrame:
-    rows = libraries.select(player, F.inline(_games(json, OWNED_GAMES)))
-    return rows.withColumn("rtime_last_played", F.coalesce("rtime_last_played", F.lit(0)))
+    """Owned games; the time last played is 0 where the API does not give it."""
+    objects = libraries.select(player, F.explode(_games(json)).alias("__json"))
+    required = ["appid", "playtime_forever"]
+    return require(_typed(objects, [player], OWNED_FIELDS, required, {"rtime_last_played": 0}))
 
 
 def recent_game_rows(
     libraries: DataFrame, player: str = "steamid", json: str = "recent"
 ) -> DataFrame:
-    return libraries.select(player, F.inline(_games(json, RECENT_GAMES)))
+    objects = libraries.select(player, F.explode(_games(json)).alias("__json"))
+    required = ["appid", "playtime_2weeks", "playtime_forever"]
+    return require(_typed(objects, [player], RECENT_FIELDS, required))
 
 
 def read_libraries(spark: SparkSession, path: str) -> DataFrame:
@@ -172,11 +199,8 @@ def read_libraries(spark: SparkSession, path: str) -> DataFrame:
 
     The two responses stay text: whether they have a key at all is part of their meaning.
     """
-    lines = spark.read.text(path)
-    fields = F.from_json(
-        "value", T.StructType.fromDDL("steamid string, owned string, recent string"), {"mode": "FAILFAST"}
-    )
-    return lines.select(fields.alias("f")).select("f.*")
+    fields = _parse("value", "steamid string, owned string, recent string")
+    return spark.read.text(path).select(fields.alias("f")).select("f.*")
 
 
 def library_status(
@@ -188,15 +212,15 @@ def library_status(
     count of 0. The counts are array sizes of the same row: no join, no shuffle.
     """
 
-    def size(json: str, fields: str) -> Column:
-        return F.coalesce(F.array_size(_games(json, fields)), F.lit(0))
+    def size(json: str) -> Column:
+        return F.coalesce(F.array_size(_games(json)), F.lit(0))
 
     return libraries.select(
         player,
         has_key(owned, "game_count").alias("owned_visible"),
-        size(owned, OWNED_GAMES).alias("owned_game_count"),
+        size(owned).alias("owned_game_count"),
         has_key(recent, "total_count").alias("recent_visible"),
-        size(recent, RECENT_GAMES).alias("recent_game_count"),
+        size(recent).alias("recent_game_count"),
     )
 
 

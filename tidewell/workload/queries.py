@@ -73,7 +73,7 @@ def plain(df: DataFrame) -> DataFrame:
 @query
 def json_map_explode(spark: SparkSession, sf: str) -> DataFrame:
     events = t.read(spark, sf, "events")
-    return landed.map_entries(events, "props", "int", ["event_id"], value="amount")
+    return landed.map_values(events, "props", "int", ["event_id"], value="amount")
 
 
 @query
@@ -104,8 +104,9 @@ def required_keys_quarantine(spark: SparkSession, sf: str) -> DataFrame:
             F.create_map(F.lit("x"), F.struct("event_id", name.alias("name"), owner.alias("owner")))
         ).alias("value")
     )
-    rows = landed.map_entries(docs, "value", "event_id bigint, name string, owner bigint")
-    good, bad = landed.split_required(rows, ["name", "owner"])
+    fields = "event_id bigint, name string, owner bigint"
+    rows = landed.map_entries(docs, "value", fields, required=["name", "owner"])
+    good, bad = landed.split_required(rows)
     return good.select("event_id", F.lit("").alias("missing")).unionByName(
         bad.select("event_id", F.array_join("missing_fields", ",").alias("missing"))
     )
