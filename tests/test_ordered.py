@@ -125,3 +125,9 @@ def test_highest_takes_null_first_and_the_lowest_tie(spark):
 def test_last_per_group_keeps_one_whole_row(spark):
     df = spark.createDataFrame([("x", 1, "a"), ("x", 3, None), ("y", None, "c")], "g string, o int, v string")
     assert rows(last_per_group(df, ["g"], ["o"])) == [("x", 3, None), ("y", None, "c")]
+
+
+def test_ranks_leave_columns_of_any_name_alone(spark):
+    df = spark.createDataFrame([(1, 5, 7), (2, 6, 7)], "bucket int, shift int, n int")
+    got = global_ranks(df, {"r": RankBy("shift"), "count": RankBy("n")})
+    assert rows(got) == [(1, 5, 7, 2, 1), (2, 6, 7, 1, 1)]

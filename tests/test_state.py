@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import history, ledger
 from tidewell.operators.upsert import upsert
 from tidewell.schemas import RAW_TABLES, conform
+from tidewell.session import reusable
 from tidewell.sources import releases
 
 T0 = datetime(2026, 10, 1, 9)
@@ -267,3 +268,13 @@ def test_nothing_published_yet(spark, tmp_path):
     assert releases.release_names(spark, f"{tmp_path}/none") == []
     with pytest.raises(releases.ReleaseError):
         releases.read_release(spark, f"{tmp_path}/none")
+
+
+def test_reused_table_is_cut_off_where_a_checkpoint_folder_is_named(spark, tmp_path):
+    df = spark.range(5).withColumn("x", F.col("id") * 2)
+    if spark.sparkContext.getCheckpointDir() is None:
+        assert reusable(df) is df
+        spark.sparkContext.setCheckpointDir(str(tmp_path))
+    kept = reusable(df)
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(kept) == rows(df)

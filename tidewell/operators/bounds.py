@@ -45,18 +45,25 @@ def bounds_below(
     """Add how many bounds are less than a row's value, as ``__below_<name>``, and the
     bounds as ``__bounds``. No bound counts as less than NULL.
 
-    A binary search with one projection per step, so each step is a single comparison
-    in generated code. Written as one expression it would double with every step.
+    A binary search that settles two bits per projection, so each step is two comparisons in
+    generated code. Written as one expression it would double with every step.
     """
-    df = df.withColumn("__bounds", bounds)
-    df = df.withColumns({f"__below_{name}": F.lit(0) for name in columns})
-    for bit in reversed(range(bits)):
-        step = 2**bit
+    df = df.withColumns({"__bounds": bounds, **{f"__below_{c}": F.lit(0) for c in columns}})
+    for low in reversed(range(0, bits, 2)):
+        step = 2**low
+        pair = low + 1 < bits
 
-        def moved(name: str, value: Column, step: int = step) -> Column:
+        def moved(name: str, value: Column, step: int = step, pair: bool = pair) -> Column:
             at = F.col(f"__below_{name}")
-            less = F.get(F.col("__bounds")[name], at + (step - 1)) < value
-            return at + F.when(less, step).otherwise(0)
+
+            def less(steps: int) -> Column:
+                return F.get(F.col("__bounds")[name], at + (steps * step - 1)) < value
+
+            near = F.when(less(1), step).otherwise(0)
+            if not pair:
+                return at + near
+            far = F.when(less(3), 3 * step).otherwise(2 * step)
+            return at + F.when(less(2), far).otherwise(near)
 
         df = df.withColumns({f"__below_{name}": moved(name, v) for name, v in columns.items()})
     return df

@@ -33,14 +33,17 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
     bits = bits or bound_bits(df.sparkSession)
     values = {r.column: F.col(r.column) for r in ranks.values()}
     bucketed = bounds_below(df, values, quantile_bounds(df, values, bits), bits)
+    on_bound = {
+        f"__on_{c}": F.coalesce(
+            F.get(F.col("__bounds")[c], F.col(f"__below_{c}")) == value, F.lit(False)
+        )
+        for c, value in values.items()
+    }
+    bucketed = bucketed.withColumns(on_bound)
     # rows of a one-value bucket stay apart by the task they come from: identical rows
     # could not be told apart by their content
-    lanes = {}
-    for c, value in values.items():
-        on_bound = F.get(F.col("__bounds")[c], F.col(f"__below_{c}")) == value
-        lanes[f"__on_{c}"] = F.coalesce(on_bound, F.lit(False))
-        single = F.col(c).isNull() | F.col(f"__on_{c}")
-        lanes[f"__lane_{c}"] = F.when(single, F.spark_partition_id()).otherwise(-1)
+    single = {c: F.col(c).isNull() | F.col(f"__on_{c}") for c in values}
+    lanes = {f"__lane_{c}": F.when(single[c], F.spark_partition_id()).otherwise(-1) for c in values}
 
     # bucket numbers of different ranks do not overlap, so one table shifts them all
     width = 2 * (2**bits - 1) + 3
@@ -52,16 +55,16 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
         edge = F.lit(0 if r.nulls == "first" else width - 1)
         number = F.when(F.col(r.column).isNull(), edge).otherwise(number)
         buckets[f"__bucket_{name}"] = number + i * width
-    for name, lane in lanes.items():
-        bucketed = bucketed.withColumn(name, lane)
-    kept = [*df.columns, *[f"__lane_{c}" for c in values], *buckets]
-    bucketed = bucketed.withColumns(buckets).select(*kept)
+    bucketed = bucketed.select(
+        *df.columns, *[c.alias(name) for name, c in {**lanes, **buckets}.items()]
+    )
 
-    counts = bucketed.select(F.explode(F.array(*buckets)).alias("bucket")).groupBy("bucket").count()
+    each = bucketed.select(F.explode(F.array(*buckets)).alias("__bucket"))
+    counts = each.groupBy("__bucket").agg(F.count("*").alias("n"))
     # at most ``width`` rows per rank
-    earlier = Window.partitionBy(F.floor(F.col("bucket") / width)).orderBy("bucket")
-    before = F.sum("count").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    shifts = F.broadcast(counts.select("bucket", F.coalesce(before, F.lit(0)).alias("shift")))
+    earlier = Window.partitionBy(F.floor(F.col("__bucket") / width)).orderBy("__bucket")
+    before = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    shifts = F.broadcast(counts.select("__bucket", F.coalesce(before, F.lit(0)).alias("__shift")))
 
     out = bucketed
     for c in values:
@@ -70,8 +73,9 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
         window = Window.partitionBy(f"__bucket_{names[0]}", f"__lane_{c}")
         out = out.withColumn("__inside", F.rank().over(window.orderBy(F.col(c).desc_nulls_first())))
         for name in names:
-            out = out.join(shifts, F.col(f"__bucket_{name}") == F.col("bucket"), "left")
-            out = out.withColumn(name, F.col("__inside") + F.col("shift")).drop("bucket", "shift")
+            out = out.join(shifts, F.col(f"__bucket_{name}") == F.col("__bucket"), "left")
+            out = out.withColumn(name, F.col("__inside") + F.col("__shift"))
+            out = out.drop("__bucket", "__shift")
         out = out.drop("__inside")
     return out.select(*df.columns, *ranks)
 

@@ -127,7 +127,8 @@ def nested_array_inline(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     players = F.transform(F.sequence(F.lit(0), (F.col("turn") % 3).cast("int")), player)
-    docs = turns.select(F.to_json(F.struct(F.struct(players.alias("players")).alias("response"))).alias("value"))
+    response = F.struct(players.alias("players")).alias("response")
+    docs = turns.select(F.to_json(F.struct(response)).alias("value"))
     return landed.player_rows(docs, self_id="0-0-0")
 
 
