@@ -83,6 +83,14 @@ def test_streaks_and_decreases_on_hot_keys(skewed, floor):
     assert rows(decreases(df, ["k"], ["o"], "v", floor)) == rows(lower)
 
 
+@pytest.mark.parametrize("floor", [100, 10**6])
+def test_many_copies_of_a_lower_row_are_found_once(spark, floor):
+    data = [("hot", 1, 9)] + [("hot", 2, 5)] * 600 + [("hot", 3, 5), ("hot", 4, 2), ("k", 1, 3)]
+    df = spark.createDataFrame(data, "k string, o int, v int")
+    got = decreases(df, ["k"], ["o", "v"], "v", floor)
+    assert rows(got) == [("hot", 2, 5, 9), ("hot", 4, 2, 5)]
+
+
 @pytest.mark.parametrize("floor", [100, 10**6])
 def test_membership_of_hot_and_null_keys(spark, skewed, floor):
     members = spark.createDataFrame([("hot",), ("hot",), ("k1",), (None,)], "k string")

@@ -76,15 +76,20 @@ class KeyedOrder:
         order: Sequence[str],
         floor: int = SPLIT_FLOOR,
         sized_by: DataFrame | None = None,
+        merge_copies: bool = False,
     ) -> KeyedOrder:
         """Looks for hot keys first and splits only those.
 
         ``sized_by`` is a cheaper table to count keys in, such as the one that ``df`` was
-        made of: what counts is that no hot key is missed.
+        made of: what counts is that no hot key is missed. Say ``merge_copies`` if the
+        result is the same when identical rows are merged: a chunk cannot split them, so
+        they are then reduced before the shuffle.
         """
         hot = heavy_keys(df if sized_by is None else sized_by, keys, floor)
         if hot is None:
             return cls.bounded(df, keys, order)
+        if merge_copies:
+            df = df.distinct()
 
         bits = bound_bits(df.sparkSession)
         cut = {"cut": F.col(order[0])}

@@ -80,9 +80,14 @@ def decreases(
     measure: str,
     floor: int = SPLIT_FLOOR,
 ) -> DataFrame:
-    """Rows whose measure is lower than on the key's previous row."""
-    rows = KeyedOrder.of(df, keys, order, floor).previous(previous_value=measure)
-    return rows.filter(F.col(measure) < F.col("previous_value")).rows()
+    """Key, order and measure of rows whose measure is lower than on the key's previous row.
+
+    Of identical rows only the first can be lower than the one before.
+    """
+    columns = list(dict.fromkeys([*keys, *order, measure]))
+    rows = KeyedOrder.of(df.select(*columns), keys, order, floor, merge_copies=True)
+    lower = F.col(measure) < F.col("previous_value")
+    return rows.previous(previous_value=measure).filter(lower).rows()
 
 
 def inconsistent_history(

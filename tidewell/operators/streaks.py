@@ -37,7 +37,7 @@ def numbered_streaks(
     watched: Sequence[str],
     floor: int = SPLIT_FLOOR,
 ) -> DataFrame:
-    """``df`` with ``is_change`` and ``streak_id``; keys of any size."""
+    """``df`` with ``is_change`` and ``streak_id``; keys of any size, ``order`` unique in a key."""
     rows = _numbered(KeyedOrder.of(df, [key], order, floor), watched).rows()
     return rows.drop(*[f"__was_{c}" for c in watched])
 
