@@ -95,21 +95,26 @@ def _typed(
 
     A key may be there with the value null. So keys are only looked at where a value is NULL,
     which keeps the second look at the text to the few rows that need it.
+
+    An object is parsed inside a generator: projections and filters that were merged with
+    the parsing would repeat it for every field they use.
     """
-    typed = objects.withColumn("__value", _parse("__json", fields))
-    value = F.col("__value")
-    absent = F.array_except(F.array(*[F.lit(c) for c in required]), F.json_object_keys("__json"))
-    some_null = F.lit(False)
-    for c in required:
-        some_null = some_null | value[c].isNull()
-    missing = F.when(some_null, absent).otherwise(F.array().cast("array<string>"))
-    columns = {c: value[c] for c in T.StructType.fromDDL(fields).fieldNames()}
-    for c, default in (defaults or {}).items():
-        not_given = value[c].isNull() & ~has_key("__json", c)
-        columns[c] = F.when(not_given, F.lit(default)).otherwise(value[c])
-    return typed.select(
-        *keep, *[v.alias(c) for c, v in columns.items()], missing.alias("missing_fields")
-    )
+    names = F.array(*[F.lit(c) for c in required]).cast("array<string>")
+    absent = F.array_except(names, F.json_object_keys("__json"))
+
+    def row(value: Column) -> Column:
+        columns = {c: value[c] for c in T.StructType.fromDDL(fields).fieldNames()}
+        for c, default in (defaults or {}).items():
+            not_given = value[c].isNull() & ~has_key("__json", c)
+            columns[c] = F.when(not_given, F.lit(default)).otherwise(value[c])
+        some_null = F.lit(False)
+        for c in required:
+            some_null = some_null | value[c].isNull()
+        missing = F.when(some_null, absent).otherwise(F.array().cast("array<string>"))
+        named = [v.alias(c) for c, v in columns.items()]
+        return F.struct(*named, missing.alias("missing_fields"))
+
+    return objects.select(*keep, F.inline(F.transform(F.array(_parse("__json", fields)), row)))
 
 
 def map_entries(
