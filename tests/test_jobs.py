@@ -134,3 +134,21 @@ def test_repeating_a_load_adds_no_version(spark, place, tables):
         tables["player_games_snapshot"].drop("loaded_at")
     )
     assert (len(before[0]), before[1]) == (3, now["games_snapshot"].count())
+
+
+def test_command_line(spark, tmp_path, capsys):
+    root = ["--root", str(tmp_path / "root")]
+    jobs.main([*root, "start-run"])
+    assert capsys.readouterr().out == "1 0 False\n"
+    (tmp_path / "landing").mkdir()
+    # no page has landed: the run stays open
+    jobs.main([*root, "catalog", "--landing", str(tmp_path / "landing")])
+    jobs.main([*root, "start-run"])
+    assert capsys.readouterr().out == "1 0 True\n"
+
+    (tmp_path / "games.json").write_text(SAMPLE_PAGE)
+    jobs.main([*root, "daily", "--games", str(tmp_path / "games.json")])
+    at = ["--now", "2100-01-02T00:00:00"]
+    jobs.main([*root, *at, "build"])
+    jobs.main([*root, *at, "report"])
+    assert spark.table("game_rankings").count() == 5

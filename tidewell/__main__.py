@@ -12,7 +12,7 @@ from tidewell.operators import ledger, quality
 from tidewell.plans import checks, loads
 from tidewell.plans.models import materialize
 from tidewell.session import session
-from tidewell.sources import landed, releases
+from tidewell.sources import landed, paths, releases
 from tidewell.streaming import pages
 
 
@@ -58,6 +58,8 @@ def catalog(
     """Load new catalogue pages of the open run and bring its ledger up to date."""
     store, checkpoint = f"{root}/pages", f"{root}/checkpoints/pages"
     pages.stream_pages(spark, landing, store, checkpoint).awaitTermination()
+    if not paths.exists(spark, store):
+        return  # nothing has landed yet, the run stays open
     tables = loads.current_tables(spark, _tables(root))
     stored = pages.read_store(spark, store)
     changed = loads.load_catalog(tables, stored, _stamp(now), page_size)
@@ -134,8 +136,9 @@ def main(argv: list[str] | None = None) -> None:
 
     args = vars(parser.parse_args(argv))
     name, root = args.pop("job"), args.pop("root")
-    now = args.pop("now") or datetime.now()
     spark = session()
+    # the wall clock in the zone of the session, which also stamps landed files
+    now = args.pop("now") or spark.sql("select localtimestamp()").first()[0]
     if name == "export":
         print(export(spark, root, **args))
     elif name == "report":

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions import name_part, seconds_between, tail_parts
 from tidewell.operators.keyed_order import SPLIT_FLOOR, KeyedOrder
+from tidewell.sources import paths
 
 
 def duplicates(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
@@ -186,8 +187,7 @@ def warning_report(results: DataFrame, freshness: DataFrame) -> DataFrame:
 
 def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet at ``path``, or an empty table if nothing was written there."""
-    empty = spark.createDataFrame([], T.StructType.fromDDL(schema))
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        return empty
-    return spark.read.schema(empty.schema).parquet(path)
+    declared = T.StructType.fromDDL(schema)
+    if not paths.exists(spark, path):
+        return spark.createDataFrame([], declared)
+    return spark.read.schema(declared).parquet(path)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.sources import paths
+
 _MANIFEST = "release string, table string, path string, rows bigint, checksum decimal(38,0)"
 
 
@@ -32,21 +34,11 @@ def fingerprint(df: DataFrame) -> dict[str, object]:
 
 def _manifest(spark: SparkSession, root: str) -> DataFrame:
     schema = T.StructType.fromDDL(_MANIFEST)
-    if not _exists(spark, f"{root}/manifest"):
+    if not paths.exists(spark, f"{root}/manifest"):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/manifest")
 
 
-def _path(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop = _path(spark, path)
-    return fs.exists(hadoop)
-
-
 def write_release(
     tables: Mapping[str, DataFrame],
     root: str,
@@ -106,10 +98,10 @@ def read_release(spark: SparkSession, root: str, name: str | None = None) -> dic
     if name not in names:
         raise ReleaseError(f"no release {name!r} in {root}")
     entries = _manifest(spark, root).filter(F.col("release") == name)
-    paths: dict[str, list[str]] = {}
+    files: dict[str, list[str]] = {}
     for r in entries.orderBy("path").toLocalIterator():
-        paths.setdefault(r["table"], []).append(r["path"])
-    return {table: spark.read.parquet(*found) for table, found in paths.items()}
+        files.setdefault(r["table"], []).append(r["path"])
+    return {table: spark.read.parquet(*found) for table, found in files.items()}
 
 
 def copy_release(spark: SparkSession, root: str, target: str, name: str | None = None) -> str:
@@ -130,15 +122,14 @@ def prune_releases(spark: SparkSession, root: str, keep: int = 14) -> list[str]:
     if not old:
         return []
     entries = _manifest(spark, root).filter("path is not null").select("release", "path").distinct()
-    paths: dict[str, set[str]] = {}
+    files: dict[str, set[str]] = {}
     for r in entries.toLocalIterator():
-        paths.setdefault(r["release"], set()).add(r["path"])
+        files.setdefault(r["release"], set()).add(r["path"])
     marks = spark.createDataFrame(
         [(n, None, None, None, None) for n in old], T.StructType.fromDDL(_MANIFEST)
     )
     marks.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-    needed = set().union(*[paths[n] for n in names if n not in old])
-    for path in set().union(*[paths[n] for n in old]) - needed:
-        fs, hadoop = _path(spark, path)
-        fs.delete(hadoop, True)
+    needed = set().union(*[files[n] for n in names if n not in old])
+    for path in set().union(*[files[n] for n in old]) - needed:
+        paths.delete(spark, path)
     return old
