@@ -139,3 +139,37 @@ def test_ranks_leave_columns_of_any_name_alone(spark):
     df = spark.createDataFrame([(1, 5, 7), (2, 6, 7)], "bucket int, shift int, n int")
     got = global_ranks(df, {"r": RankBy("shift"), "count": RankBy("n")})
     assert rows(got) == [(1, 5, 7, 2, 1), (2, 6, 7, 1, 1)]
+
+
+@pytest.fixture
+def large_cluster(spark):
+    """Settings of a large cluster, failing where generated code does not compile."""
+    settings = {"spark.sql.shuffle.partitions": "4000", "spark.sql.codegen.fallback": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_thousands_of_chunks(skewed, large_cluster):
+    plain = KeyedOrder.bounded(skewed, ["k"], ["o"])
+    split = KeyedOrder.of(skewed, ["k"], ["o"], floor=100)
+
+    def steps(ordered):
+        changed = ordered.previous(was="v").filter(~F.col("was").eqNullSafe(F.col("v")))
+        return rows(changed.following(until="o").running_sum("total", "o").rows())
+
+    assert steps(split) == steps(plain)
+
+
+def test_ranks_over_thousands_of_buckets(spark, skewed, large_cluster):
+    got = global_ranks(skewed, {"a": RankBy("v"), "b": RankBy("o", "last")})
+    want = skewed.select(
+        "*",
+        F.rank().over(Window.orderBy(F.col("v").desc_nulls_first())).cast("bigint").alias("a"),
+        F.rank().over(Window.orderBy(F.col("o").desc_nulls_last())).cast("bigint").alias("b"),
+    )
+    assert rows(got) == rows(want)
+    assert got.filter("a <= 3 and k = 'hot'").count() == want.filter("a <= 3 and k = 'hot'").count()

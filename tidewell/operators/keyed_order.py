@@ -20,6 +20,7 @@ from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
 SPLIT_FLOOR = 1_000_000
 
 _CHUNK = "__chunk"
+_HOT = "__hot"
 
 
 def join_same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
@@ -94,11 +95,11 @@ class KeyedOrder:
         bits = bound_bits(df.sparkSession)
         cut = {"cut": F.col(order[0])}
         hot_rows = join_same(df, F.broadcast(hot), keys, "left_semi")
-        marked = join_same(df, F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+        marked = join_same(df, F.broadcast(hot.withColumn(_HOT, F.lit(True))), keys, "left")
         marked = bounds_below(marked, cut, quantile_bounds(hot_rows, cut, bits), bits)
         # chunk 0 is the whole of a key that is not split
-        chunk = F.when(F.col("__hot"), F.col("__below_cut") + 1).otherwise(F.lit(0))
-        return cls(marked.select(*df.columns, chunk.alias(_CHUNK)), keys, order, split=True)
+        chunk = F.when(F.col(_HOT), F.col("__below_cut") + 1).otherwise(F.lit(0))
+        return cls(marked.select(*df.columns, _HOT, chunk.alias(_CHUNK)), keys, order, split=True)
 
     def _group(self) -> list[str]:
         return [*self.keys, _CHUNK] if self.split else self.keys
@@ -108,9 +109,9 @@ class KeyedOrder:
 
     def _carry(self, per_chunk: Column, across) -> DataFrame:
         """One row per chunk of the split keys: ``across`` over ``per_chunk`` of its key."""
-        edges = (
-            self.df.filter(F.col(_CHUNK) > 0).groupBy(*self._group()).agg(per_chunk.alias("__edge"))
-        )
+        # by the flag, not by the chunk: a filter on the chunk would be pushed below the
+        # search that computes it, and repeat the search in every step
+        edges = self.df.filter(_HOT).groupBy(*self._group()).agg(per_chunk.alias("__edge"))
         # at most one row per bound and key
         by_chunk = Window.partitionBy(*self.keys).orderBy(_CHUNK)
         return edges.select(*self._group(), across(F.col("__edge"), by_chunk).alias("__carry"))
@@ -163,4 +164,4 @@ class KeyedOrder:
         return self._with(self.df.filter(condition))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_CHUNK)
+        return self.df.drop(_CHUNK, _HOT)
