@@ -130,7 +130,7 @@ with turns as (
   select conv_id, list(struct_pack(role := role, text := text) order by turn, role, text) t
   from conversations group by conv_id
 ), last_reply as (
-  select conv_id, t, list_max(list_filter(list_transform(range(1, len(t) + 1), i -> case when t[i].role = 'assistant' then i end), i -> i is not null)) k
+  select conv_id, t, list_max(list_filter(list_transform(range(1, len(t) + 1), lambda i: case when t[i].role = 'assistant' then i end), lambda i: i is not null)) k
   from turns
 ), pairs as (
   select a.conv_id, a.t chosen,
@@ -139,15 +139,15 @@ with turns as (
   from last_reply a left join last_reply b on b.conv_id = xor(a.conv_id, 1)
 ), common as (
   select *, coalesce(list_min(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
-    i -> chosen[i].role is distinct from rejected[i].role or chosen[i].text is distinct from rejected[i].text)) - 1,
+    lambda i: chosen[i].role is distinct from rejected[i].role or chosen[i].text is distinct from rejected[i].text)) - 1,
     least(len(chosen), len(rejected))) n
   from pairs
 ), parts as (
   select conv_id, n, chosen[1:n] p, chosen[n + 1:len(chosen)] c, rejected[n + 1:len(rejected)] r from common
 ), texts as (
   select conv_id, n,
-    list_transform(p, x -> {turn}) p, list_transform(c, x -> {turn}) c, list_transform(r, x -> {turn}) r,
-    list_transform(c, x -> x.role) c_role, list_transform(r, x -> x.role) r_role
+    list_transform(p, lambda x: {turn}) p, list_transform(c, lambda x: {turn}) c, list_transform(r, lambda x: {turn}) r,
+    list_transform(c, lambda x: x.role) c_role, list_transform(r, lambda x: x.role) r_role
   from parts
 )
 select conv_id, n::int as n_prompt_turns, coalesce(array_to_string(p, ''), '') as prompt,
@@ -162,11 +162,11 @@ _TURN = (
 
 
 def _mask(side: str) -> str:
-    upto = f"coalesce(list_sum(list_transform({side}[1:i], y -> length(y))), 0)"
-    begin = f"coalesce(list_sum(list_transform({side}[1:i - 1], y -> length(y))), 0)"
+    upto = f"coalesce(list_sum(list_transform({side}[1:i], lambda y: length(y))), 0)"
+    begin = f"coalesce(list_sum(list_transform({side}[1:i - 1], lambda y: length(y))), 0)"
     return (
-        f"coalesce(array_to_string(list_transform(list_filter(range(1, len({side}) + 1), i -> {side}_role[i] = 'assistant'), "
-        f"i -> ({begin} + 23)::bigint::varchar || ':' || ({upto} - 1)::bigint::varchar), ','), '')"
+        f"coalesce(array_to_string(list_transform(list_filter(range(1, len({side}) + 1), lambda i: {side}_role[i] = 'assistant'), "
+        f"lambda i: ({begin} + 22)::bigint::varchar || ':' || ({upto} - 1)::bigint::varchar), ','), '')"
     )
 
 
@@ -175,7 +175,7 @@ with recursive worded as (
   select row_number() over () as rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), {_WORD}) w from documents
 ), sets as (
   select rid, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) end s
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end s
   from worded
 ), sized as (select rid, doc_id, len(s) n, md5(array_to_string(list_sort(s), '|')) k, s from sets),
 tokens as (select rid, unnest(s) g from sized),
@@ -191,7 +191,7 @@ from sized join class on class.a = rid left join counted on counted.a = rid
 """
 
 _BASE32 = (
-    "array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
     "(((instr('0123456789abcdef', substr(h, (5 * k // 4)::int + 1, 1)) - 1) * 16 + "
     "greatest(instr('0123456789abcdef', substr(h || '0', (5 * k // 4)::int + 2, 1)) - 1, 0)) "
     ">> (3 - (5 * k) % 4)::int) % 32 + 1, 1)), '')"
@@ -210,9 +210,9 @@ with d as (
   select row_number() over () rid, doc_id, source, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), {_WORD}) w from documents
 ), windows as (
   select rid, i, count(*) over (partition by rid, x) c
-  from (select rid, unnest(range(1, len(w) - 1)) i, unnest(list_transform(range(1, len(w) - 1), i -> w[i:i + 2])) x from d)
+  from (select rid, unnest(range(1, len(w) - 1)) i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) x from d)
 ), repeated as (
-  select rid, count(distinct at) n from (select rid, unnest([i, i + 1, i + 2]) at from windows where c > 1) group by rid
+  select rid, count(distinct place) n from (select rid, unnest([i, i + 1, i + 2]) place from windows where c > 1) group by rid
 ), raw_lines as (select rid, source, t, unnest(string_split(t, chr(10))) line from d),
 lines as (select *, regexp_extract_all(lower(line), {_WORD}) w, array_to_string(regexp_extract_all(lower(line), {_WORD}), ' ') norm
   from raw_lines where regexp_matches(line, {_WORD})),
@@ -234,10 +234,10 @@ select *, not base_failed and words_left >= {line_quality.WORDS_LEFT}::double *
 
 _VECTORS = """
 with recursive v as (
-  select row_number() over () rid, vec_id, list_transform(embedding, x -> x::double) e from embeddings
+  select row_number() over () rid, vec_id, list_transform(embedding, lambda x: x::double) e from embeddings
 ), sound as (
-  select * from v where len(e) > 0 and list_bool_and(list_transform(e, x -> x is not null and isfinite(x)))
-    and list_bool_or(list_transform(e, x -> x <> 0))
+  select * from v where len(e) > 0 and list_bool_and(list_transform(e, lambda x: x is not null and isfinite(x)))
+    and list_bool_or(list_transform(e, lambda x: x <> 0))
 ), links as materialized (
   select a.rid a, b.rid b from sound a join sound b on a.rid <> b.rid and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.9
 ), reach(a, b) as (select rid, rid from v union select r.a, l.b from reach r join links l on l.a = r.b),

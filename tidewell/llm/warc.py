@@ -179,7 +179,7 @@ def _written(folder: str, dictionary: bytes):
             data = writer.bytes()
             # A second attempt of a task writes files of its own; only listed ones are read.
             name = f"{zlib.crc32(data):08x}-{uuid.uuid4().hex}.warc.zst"
-            with store.open_output_stream(f"{root}/{name}") as out:
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(data)
             return pd.DataFrame({"name": [name], "n_records": [n], "n_bytes": [len(data)]})
 
