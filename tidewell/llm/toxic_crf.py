@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.storage import ship, stored
+from tidewell.llm.storage import ship, some_rows, stored
 
 #: Labelled documents of each class, and chains of each kind, that the model is fitted on at most.
 SAMPLE_DOCS, SAMPLE_CHAINS = 4_000, 6_000
@@ -293,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     labelled = labelled.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = None
     for kind in (0, 1):
-        own = labelled.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+        own = some_rows(labelled.where(F.col("toxic") == kind), SAMPLE_DOCS, "doc_id")
         chosen = own if chosen is None else chosen.union(own)
     # SAMPLE_DOCS rows of two numbers for each class: a proven bound.
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -332,7 +332,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     )
     picked = []
     for found in (True, False):
-        own = chains.where(F.col("found") == found).orderBy("pick", "words").limit(SAMPLE_CHAINS)
+        own = some_rows(chains.where(F.col("found") == found), SAMPLE_CHAINS, "pick", "words")
         picked += [(list(r["words"]), list(r["marks"])) for r in own.collect()]
     model = Crf.fit(picked)
     seen = texts.mapInPandas(_features(model), "most double, expected double, toxic int").toPandas()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import components
-from tidewell.llm.storage import ship, stored
+from tidewell.llm.storage import ship, some_rows, stored
 
 #: Trees, vectors wanted in a leaf, and the share of a node's vectors that go to both sides.
 TREES, LEAF, SPILL = 12, 512, 0.12
@@ -227,7 +227,7 @@ def forest(sample: np.ndarray, rows: int, seed: int = 17) -> list[Tree]:
 
 def _links(distinct: DataFrame, threshold: float) -> DataFrame:
     n = distinct.count()
-    chosen = distinct.orderBy(F.xxhash64("key", F.lit(3)), "key").limit(SAMPLE).select("vector").toPandas()
+    chosen = some_rows(distinct, SAMPLE, "key").select("vector").toPandas()
     trees = forest(_unit(np.stack(chosen["vector"].to_list())), n)
     schema = _ROUTED.format(vector=distinct.schema["vector"].dataType.simpleString())
     routed = distinct.select("key", "vector", "copies").mapInPandas(_route(trees), schema)

@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.storage import new_path, ship, stored
+from tidewell.llm.storage import new_path, ship, some_rows, stored
 
 # Fixed values of the format: skippable frame that holds the dictionary, frame of a record,
 # frame of a dictionary, version line, profile of a revisit.
@@ -268,7 +268,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("sha1", F.sha1(F.encode("html", "UTF-8")))
-    sample = rows.orderBy(F.xxhash64("page_id"), "sha1").limit(SAMPLE).select(F.substring("html", 1, 16_384).alias("html"))
+    sample = some_rows(rows, SAMPLE, "page_id", "sha1").select(F.substring("html", 1, 16_384).alias("html"))
     dictionary = train([r["html"].encode() for r in sample.collect()])
     store, root = _open(folder)
     store.create_dir(root)
