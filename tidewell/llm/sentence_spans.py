@@ -20,7 +20,7 @@ LONG, CUT = 20, 8
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _WORD = re.compile(r"\S+\s*")
-_RUNS = "doc_id long, text_key long, starts array<int>, runs array<long>"
+_RUNS = "doc long, runs array<long>"
 
 
 def _pieces(sentence: str) -> Iterator[str]:
@@ -93,23 +93,19 @@ def runs(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [runs(sentences(text)) for text in batch["text"]]
-        yield pd.DataFrame(
-            {
-                "doc_id": batch["doc_id"],
-                "text_key": batch["text_key"],
-                "starts": [x[0].astype(np.int32) for x in found],
-                "runs": [x[2] for x in found],
-            }
-        )
+        found = [np.unique(runs(sentences(text))[2]) for text in batch["text"]]
+        yield pd.DataFrame({"doc": batch["doc"], "runs": found})
 
 
 def _without(text: str, repeated) -> tuple[str, int, int, list[tuple[int, int]]]:
     """The text without sentences of repeated runs; sentences, removed ones, removed spans."""
     parts = sentences(text)
     covered = np.zeros(len(parts) + 1, np.int64)
-    first, end, _ = runs(parts)
-    hit = np.isin(first, np.asarray(repeated))
+    first, end, key = runs(parts)
+    hit = np.isin(key, np.asarray(repeated, np.int64))
+    own = np.zeros(len(key), bool)  # the first place in this text
+    own[np.unique(key, return_index=True)[1]] = True
+    hit |= ~own
     np.add.at(covered, first[hit], 1)
     np.add.at(covered, end[hit], -1)
     gone = np.cumsum(covered)[:-1] > 0
@@ -130,10 +126,7 @@ def _removed(names: list[str]):
         for batch in batches:
             texts, parts, gone, spans = [], [], [], []
             for text, repeated in zip(batch["__text"], batch["__repeated"], strict=True):
-                if repeated is None or len(repeated) == 0:
-                    kept, n, k, found = text, len(sentences(text)), 0, []
-                else:
-                    kept, n, k, found = _without(text, repeated)
+                kept, n, k, found = _without(text, [] if repeated is None else repeated)
                 texts.append(kept)
                 parts.append(n)
                 gone.append(k)
@@ -149,61 +142,37 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """``docs`` and kept_text, n_sentences, n_removed, removed_spans (code points, end exclusive).
 
     A run is the shortest stretch of whole sentences, two at least, with twelve words or more,
-    from each sentence on. Of all places of a run in all texts, the first by (doc_id, text key,
-    position) stays; sentences covered by a run at any other place are removed, wherever the
-    run's first place is. Null ids come last. A passage of over 50 words holds several runs.
+    from each sentence on. Of all places of a run in all texts, the first by (doc_id, position)
+    stays; sentences covered by a run at any other place are removed, wherever the run's first
+    place is. A passage of over 50 words holds several runs.
 
-    The hash of every run is aggregated to its first place and the number of its places, which
-    is reduced before the shuffle; repeated runs are then joined back to their places.
+    Each text gives its different runs once; a later place in the same text is not the first
+    whatever other texts hold. Over all texts a run is aggregated to the number of documents and
+    the first one, which is reduced before the shuffle, and repeated runs are joined back.
 
     A null text counts as empty and gives an empty ``kept_text``. Texts of one sentence or of
-    fewer than twelve words have no runs and stay. Rows that repeat both id and text are one
-    document: what is first in one is first in all of them. Other columns are kept.
+    fewer than twelve words have no runs and stay. Rows that repeat an id are one document: what
+    they share stays in all of them. A row with a null id is a document by its text and comes after
+    those with ids. Other columns are kept.
     """
     ship(docs.sparkSession)
-    docs = docs.withColumn("__text", F.coalesce(F.col("text"), F.lit("")))
-    keyed = docs.withColumn("__key", F.xxhash64("__text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    by_text = F.lit(2**62) + F.pmod(F.xxhash64(text), F.lit(2**62))
+    keyed = docs.withColumn("__text", text).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
     spans = stored(
-        keyed.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("__key").alias("text_key"),
-            F.col("__text").alias("text"),
-        ).mapInPandas(_run_batches, _RUNS),
+        keyed.select(F.col("__id").alias("doc"), F.col("__text").alias("text")).mapInPandas(_run_batches, _RUNS),
         "runs",
     )
-    # The place within a text and 32 bits of its key in one number, to shuffle less.
-    places = spans.select("doc_id", "text_key", F.explode(F.arrays_zip("starts", "runs")).alias("x")).select(
-        F.col("x.runs").alias("run"),
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"),
-        (
-            F.shiftleft(F.col("text_key").bitwiseAND(F.lit(2**31 - 1)), 32)
-            + F.col("x.starts").cast("long")
-        ).alias("place"),
-    )
+    places = spans.select("doc", F.explode("runs").alias("run"))
     repeated = places.groupBy("run").agg(F.count("*").alias("n"), F.min("doc").alias("first_doc"))
     repeated = stored(repeated.where("n > 1").select("run", "first_doc"), "repeated")
-    hits = places.join(repeated, "run")
-    # Within the first document, the first place is settled by a second, small aggregate.
-    inside = hits.where("doc = first_doc").groupBy("run", "first_doc").agg(F.min("place").alias("first_place"))
-    again = hits.where("doc != first_doc").select("doc", "place").union(
-        hits.where("doc = first_doc")
-        .join(inside, ["run", "first_doc"])
-        .where("place != first_place")
-        .select("doc", "place")
-    )
     flagged = stored(
-        again.groupBy(
-            F.col("doc").alias("__doc"), F.shiftright("place", 32).alias("__part")
-        ).agg(F.collect_set(F.col("place").bitwiseAND(F.lit(2**32 - 1)).cast("int")).alias("__repeated")),
+        places.join(repeated, "run").where("doc != first_doc")
+        .groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("run").alias("__repeated")),
         "flagged",
     )
-    names = [f.name for f in keyed.schema if f.name not in ("__text", "__key")]
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    joined = keyed.join(
-        flagged,
-        (id_ == F.col("__doc")) & (F.col("__key").bitwiseAND(F.lit(2**31 - 1)) == F.col("__part")),
-        "left",
-    ).drop("__doc", "__part", "__key")
+    names = [f.name for f in docs.schema if f.name != "__text"]
+    joined = keyed.join(flagged, F.col("__id") == F.col("__doc"), "left").drop("__doc", "__id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     out = joined.mapInPandas(
         _removed(names),
