@@ -25,7 +25,7 @@ GROUP = 100_000
 #: Rounds of the local search, and bins that give in a round or are looked at for two members.
 ROUNDS, LOOK = 20, 200
 #: Pieces of text whose ids a worker remembers; a full memory is dropped.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 # How the tokenizer splits words, and white space as Unicode has it.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

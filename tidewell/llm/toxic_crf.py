@@ -158,7 +158,7 @@ class Scorer:
 
     def tokens(self, texts: list[str]) -> list[np.ndarray]:
         """The probability of "toxic" for every word of each text."""
-        if len(self._parts) > 400_000:
+        if len(self._parts) > 200_000:
             self._index.clear()
             self._parts.clear()
         known, index = self._known, self._index
