@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import canonical, column_types
+from tidewell.workload.oracles import ORACLES
+from tidewell.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,13 +22,15 @@ def duck(sf):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= queries().items()
+    assert ORACLES.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf, duck, name):
-    got = queries()[name](spark, sf).toArrow()
-    want = duck.sql(oracle_sql()[name]).to_arrow_table()
+    got = QUERIES[name](spark, sf).toArrow()
+    want = duck.sql(ORACLES[name]).to_arrow_table()
     assert column_types(got) == column_types(want)
     assert canonical(got.to_pandas()) == canonical(want.to_pandas())
 

@@ -113,6 +113,25 @@ def test_run_without_its_last_page_stays_open(spark):
     assert rows(ledger.resume_point(got.filter("run_id = 9"))) == [(9, 2, True)]
 
 
+def test_run_with_a_gap_stays_open_and_goes_on_there(spark):
+    runs = spark.createDataFrame([(9, T0, None, None, 0, None), (10, T0, None, None, 0, None)], RUNS)
+    loaded = [(9, 0, i) for i in range(3)] + [(9, 2, 7)] + [(10, 1, i) for i in range(2)]
+    log = ledger.page_log(spark.createDataFrame(loaded, "run_id bigint, page int, item int"))
+    got = ledger.run_ledger(runs, log, ntz(T0), page_size=3)
+    assert rows(got) == sorted([(9, T0, None, 0, 4, None), (10, T0, None, None, 2, None)], key=repr)
+    assert rows(ledger.resume_point(got.filter("run_id = 9"))) == [(9, 1, True)]
+    assert rows(ledger.resume_point(got.filter("run_id = 10"))) == [(10, 0, True)]
+
+
+def test_batch_that_repeats_a_key_is_refused(spark):
+    base = spark.createDataFrame([(1, 5)], "k int, v int")
+    batch = spark.createDataFrame([(2, 1), (2, 2)], "k int, v int")
+    with pytest.raises(Exception, match="key repeated in a batch: 2"):
+        upsert(base, batch, ["k"]).collect()
+    assert rows(upsert(base, batch.limit(1), ["k"])) == [(1, 5), (2, 1)]
+    assert rows(upsert(base, batch.limit(0), ["k"])) == [(1, 5)]
+
+
 # ---------------------------------------------------------------- history
 
 LOG = "id int, v int, at timestamp_ntz"

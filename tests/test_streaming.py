@@ -113,3 +113,13 @@ def test_list_without_games_has_no_size(spark, landing):
     stored = load(spark, landing)
     progress = ledger.run_progress(pages.committed_pages(stored), page_size=3)
     assert rows(progress) == [(1, None, 0, True, None)]
+
+
+def test_pages_with_old_time_stamps_are_loaded(spark, landing):
+    land(landing, 1, [4, 5, 6])
+    load(spark, landing)
+    land(landing, 0, [1, 2, 3])
+    path = landing / "landing" / "run-1" / "page-00000.json"
+    old = os.stat(path).st_mtime - 100 * 86_400
+    os.utime(path, (old, old))
+    assert log(load(spark, landing)) == [(1, 0, 3), (1, 1, 3)]

@@ -17,17 +17,28 @@ def page_log(rows: DataFrame, item: str | None = None) -> DataFrame:
 
 
 def run_progress(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Last page, rows loaded and, once the short last page is in, the list size.
+    """Last page, rows loaded and, once the list is whole, its size.
 
-    Every page before the last is full, so the last page with rows decides the size of
-    the list. It is NULL while the last committed page is a full one, and for a list
-    without rows.
+    ``last_page`` is the last one with rows before the first page that is missing, so the page
+    behind it is where a run goes on. A run is complete if no page is missing and its last
+    one is short; every page before is full, so the last page with rows decides the size of the
+    list. The size is NULL for other runs, and for a list without rows.
+
+    The pages of a run meet in one row: one number pair for each ``page_size`` games.
     """
-    filled = F.max(F.when(F.col("n") > 0, F.struct("page", "n")))
-    progress = pages.groupBy("run_id").agg(
-        filled.alias("filled"),
-        F.sum("n").cast("int").alias("games_loaded"),
-        (F.max_by("n", "page") < page_size).alias("is_complete"),
+    in_order = F.sort_array(F.collect_list(F.struct("page", "n")))
+    runs = pages.groupBy("run_id").agg(
+        in_order.alias("pages"), F.sum("n").cast("int").alias("games_loaded")
+    )
+    # Pages are distinct, so one stands at its own number only if none before it is missing.
+    whole = F.filter("pages", lambda x, k: x["page"] == k)
+    filled = F.element_at(F.filter(whole, lambda x: x["n"] > 0), -1)
+    short = F.element_at("pages", -1)["n"] < page_size
+    progress = runs.select(
+        "run_id",
+        F.when(F.exists(whole, lambda x: x["n"] > 0), filled).alias("filled"),
+        "games_loaded",
+        ((F.size(whole) == F.size("pages")) & short).alias("is_complete"),
     )
     size = F.col("filled.page") * page_size + F.col("filled.n")
     return progress.select(
@@ -75,8 +86,8 @@ def run_ledger(
     """``runs`` brought up to date with the page log.
 
     Progress is recomputed from the committed pages, so a page that is replayed is
-    not counted twice. Runs without pages in the log keep their row. Open runs whose
-    last page is in are finished at ``finished_at``.
+    not counted twice. Runs without pages in the log keep their row. Open runs are finished at
+    ``finished_at`` once all their pages are in.
     """
     kept = ["last_page", "games_loaded", "list_size"]
     own = runs.withColumnsRenamed({c: f"__{c}" for c in kept})
@@ -87,7 +98,9 @@ def run_ledger(
         "run_id",
         "started_at",
         F.coalesce("finished_at", ended).alias("finished_at"),
-        F.coalesce("last_page", "__last_page").alias("last_page"),
+        F.when(F.col("is_complete").isNull(), F.col("__last_page"))
+        .otherwise(F.col("last_page"))
+        .alias("last_page"),
         F.coalesce("games_loaded", "__games_loaded").alias("games_loaded"),
         F.coalesce("__list_size", "list_size").alias("list_size"),
     )

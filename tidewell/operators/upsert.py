@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidewell.operators.ranking import last_per_group
 
@@ -19,8 +20,8 @@ def upsert(
 ) -> DataFrame:
     """``base`` after ``batch`` was loaded: batch rows replace or add, nothing is deleted.
 
-    ``seq`` orders duplicate keys inside the batch, the last one wins; leave it out if
-    the batch has none. ``load_ts`` is one stamp for all rows of the batch.
+    ``seq`` orders duplicate keys inside the batch, the last one wins. Without it a key that the
+    batch repeats fails the job. ``load_ts`` is one stamp for all rows of the batch.
 
     Kept base rows come from an anti join on the batch's keys. A batch that is
     small by Spark's own measure is broadcast and then the base is not shuffled at
@@ -28,8 +29,19 @@ def upsert(
     """
     if seq:
         batch = last_per_group(batch, keys, seq)
+    else:
+        batch = _once(batch, keys)
     if load_ts is not None:
         batch = batch.withColumn(stamp, load_ts)
     batch = batch.select(*base.columns)
     kept = base.join(batch.select(*keys).distinct(), list(keys), "left_anti")
     return kept.unionByName(batch)
+
+
+def _once(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``batch``, or a failure when it runs if a key is repeated."""
+    repeated = batch.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    key = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+    failure = F.raise_error(F.concat(F.lit("key repeated in a batch: "), F.min(key))).cast("boolean")
+    checked = repeated.agg(F.when(F.count("*") > 0, failure).otherwise(F.lit(True)))
+    return batch.filter(checked.scalar())

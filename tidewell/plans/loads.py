@@ -75,12 +75,16 @@ def load_catalog(
 ) -> dict[str, DataFrame]:
     """Fold the page store of the stream into the catalogue and the run ledger.
 
-    Only pages of open runs are read: finished ones were folded in before. Rows keep the
-    stamp of their own page. A game seen on two pages keeps the later one.
+    Only pages of open runs are read: finished ones were folded in before. A page of a run that
+    the ledger does not have fails the load. Rows keep the stamp of their own page. A game seen
+    on two pages keeps the later one.
     """
     runs = conform(tables["catalog_runs"], "catalog_runs")
-    oldest_open = runs.filter("finished_at is null").agg(F.min("run_id")).scalar()
-    fresh = stored.filter(F.col("run_id") >= oldest_open)
+    unknown = stored.select("run_id").distinct().join(runs, "run_id", "left_anti")
+    first = unknown.orderBy("run_id").first()
+    if first is not None:
+        raise ValueError(f"pages of run {first['run_id']} have landed, which the ledger does not have")
+    fresh = stored.join(runs.filter("finished_at is null").select("run_id"), "run_id", "left_semi")
     games = fresh.filter(F.col("appid").isNotNull())
     return {
         "games_catalog": _load(tables, "games_catalog", games, None, ("run_id", "page", "seq")),

@@ -41,6 +41,8 @@ def stream_pages(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "page-*.json")
         .option("maxFilesPerTrigger", files_per_batch)
+        # Copied or resumed pages may carry any time stamp; none is too old to load.
+        .option("maxFileAge", "36500d")
         .load(landing)
     ).withColumns(page_position("file"))
 
