@@ -152,3 +152,28 @@ def test_command_line(spark, tmp_path, capsys):
     jobs.main([*root, *at, "build"])
     jobs.main([*root, *at, "report"])
     assert spark.table("game_rankings").count() == 5
+
+
+def test_last_row_of_a_key_wins_in_profiles_and_libraries(spark, tmp_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tidewell.plans import loads
+    from tidewell.sources import landed
+
+    def profile(name):
+        return {"steamid": "7", "personaname": name, "profileurl": "u", "personastate": 1}
+
+    (tmp_path / "profiles.json").write_text(json.dumps({"response": {"players": [profile("old"), profile("new")]}}))
+    lines = [
+        {"steamid": "7", "owned": {"game_count": 1, "games": [{"appid": 1, "name": "G", "playtime_forever": n}]}, "recent": {}}
+        for n in (10, 20)
+    ]
+    (tmp_path / "libraries.json").write_text("\n".join(map(json.dumps, lines)))
+    tables, stamp = loads.empty_tables(spark), F.lit("2026-01-05 09:00:00").cast("timestamp_ntz")
+    got = loads.load_profiles(tables, landed.read_documents(spark, str(tmp_path / "profiles.json")), None, stamp)
+    assert [r.personaname for r in got["friends"].collect()] == ["new"]
+    got = loads.load_libraries(tables, landed.read_libraries(spark, str(tmp_path / "libraries.json")), stamp)
+    assert [r.playtime_forever for r in got["player_owned_games"].collect()] == [20]
+    assert got["player_library_status"].count() == 1

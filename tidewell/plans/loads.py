@@ -50,24 +50,32 @@ def _load(
 
 
 def load_top_list(tables: Tables, documents: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
-    return {"games": _load(tables, "games", landed.game_rows(documents), load_ts, ("seq",))}
+    rows = landed.game_rows(documents, keep=["file"])
+    return {"games": _load(tables, "games", rows, load_ts, ("file", "seq"))}
 
 
 def load_profiles(
     tables: Tables, documents: DataFrame, self_id: str | None, load_ts: Column
 ) -> dict[str, DataFrame]:
-    rows = landed.player_rows(documents, self_id)
-    return {"friends": _load(tables, "friends", rows, load_ts)}
+    """A profile that comes again, in the same or a later file by name, keeps its last row."""
+    rows = landed.player_rows(documents, self_id, position=["file"])
+    return {"friends": _load(tables, "friends", rows, load_ts, ("file", "seq"))}
 
 
 def load_libraries(tables: Tables, libraries: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
-    """Status, owned and recent games of all players, sharing one stamp."""
-    parsed = {
-        "player_library_status": landed.library_status(libraries),
-        "player_owned_games": landed.owned_game_rows(libraries),
-        "player_recent_games": landed.recent_game_rows(libraries),
+    """Status, owned and recent games of all players, sharing one stamp.
+
+    Of rows with the same key the last one in reading order stays.
+    """
+    at = landed.LINE_POSITION
+    status = landed.library_status(libraries, position=at)
+    owned = landed.owned_game_rows(libraries, position=at)
+    recent = landed.recent_game_rows(libraries, position=at)
+    return {
+        "player_library_status": _load(tables, "player_library_status", status, load_ts, at),
+        "player_owned_games": _load(tables, "player_owned_games", owned, load_ts, (*at, "seq")),
+        "player_recent_games": _load(tables, "player_recent_games", recent, load_ts, (*at, "seq")),
     }
-    return {name: _load(tables, name, rows, load_ts) for name, rows in parsed.items()}
 
 
 def load_catalog(

@@ -170,46 +170,87 @@ def friend_ids(docs: DataFrame, json: str = "value") -> DataFrame:
     return docs.select(F.inline(_parse(json, FRIENDS_DOCUMENT)["friendslist"]["friends"]))
 
 
-def player_rows(docs: DataFrame, self_id: str | None = None, json: str = "value") -> DataFrame:
-    """Profiles, flagging the configured user's own one; no ``self_id`` flags nobody."""
+def _each(df: DataFrame, keep: Sequence[str], position: Sequence[str], objects: Column) -> DataFrame:
+    """A row per object in ``__json``; with ``position`` also that, and its place as ``seq``."""
+    if not position:
+        return df.select(*keep, F.explode(objects).alias("__json"))
+    return df.select(*keep, *position, F.posexplode(objects).alias("seq", "__json"))
+
+
+def _placed(position: Sequence[str]) -> list[str]:
+    return [*position, "seq"] if position else []
+
+
+def player_rows(
+    docs: DataFrame,
+    self_id: str | None = None,
+    json: str = "value",
+    position: Sequence[str] = (),
+) -> DataFrame:
+    """Profiles, flagging the configured user's own one; no ``self_id`` flags nobody.
+
+    ``position`` names columns that order the documents; they and the place in the document
+    (``seq``) are kept, so that the last of equal keys can be told.
+    """
     response = _parse(json, "response struct<players: array<string>>")["response"]
-    objects = docs.select(F.explode(response["players"]).alias("__json"))
+    objects = _each(docs, [], position, response["players"])
     required = ["steamid", "personaname", "profileurl", "personastate"]
-    players = require(_typed(objects, [], PLAYER_FIELDS, required))
+    players = require(_typed(objects, _placed(position), PLAYER_FIELDS, required))
     is_self = F.coalesce(F.col("steamid") == F.lit(self_id).cast("string"), F.lit(False))
     return players.withColumn("is_self", is_self)
 
 
+LINE_POSITION = ("file", "block", "line")
+
+
 def _games(json: str) -> Column:
     return _parse(json, "games array<string>")["games"]
 
 
-def owned_game_rows(libraries: DataFrame, player: str = "steamid", json: str = "owned") -> DataFrame:
+def owned_game_rows(
+    libraries: DataFrame,
+    player: str = "steamid",
+    json: str = "owned",
+    position: Sequence[str] = (),
+) -> DataFrame:
     """Owned games; the time last played is 0 where the API does not give it."""
-    objects = libraries.select(player, F.explode(_games(json)).alias("__json"))
-    required = ["appid", "playtime_forever"]
-    return require(_typed(objects, [player], OWNED_FIELDS, required, {"rtime_last_played": 0}))
+    objects = _each(libraries, [player], position, _games(json))
+    required, keep = ["appid", "playtime_forever"], [player, *_placed(position)]
+    return require(_typed(objects, keep, OWNED_FIELDS, required, {"rtime_last_played": 0}))
 
 
 def recent_game_rows(
-    libraries: DataFrame, player: str = "steamid", json: str = "recent"
+    libraries: DataFrame,
+    player: str = "steamid",
+    json: str = "recent",
+    position: Sequence[str] = (),
 ) -> DataFrame:
-    objects = libraries.select(player, F.explode(_games(json)).alias("__json"))
+    objects = _each(libraries, [player], position, _games(json))
     required = ["appid", "playtime_2weeks", "playtime_forever"]
-    return require(_typed(objects, [player], RECENT_FIELDS, required))
+    return require(_typed(objects, [player, *_placed(position)], RECENT_FIELDS, required))
 
 
 def read_libraries(spark: SparkSession, path: str) -> DataFrame:
     """Players' responses from JSON lines ``{"steamid": ..., "owned": {...}, "recent": {...}}``.
 
     The two responses stay text: whether they have a key at all is part of their meaning.
+    ``file``, ``block`` and ``line`` order the lines: a task reads a block of one file in order.
     """
     fields = _parse("value", "steamid string, owned string, recent string")
-    return spark.read.text(path).select(fields.alias("f")).select("f.*")
+    return spark.read.text(path).select(
+        fields.alias("f"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ).select("f.*", *LINE_POSITION)
 
 
 def library_status(
-    libraries: DataFrame, player: str = "steamid", owned: str = "owned", recent: str = "recent"
+    libraries: DataFrame,
+    player: str = "steamid",
+    owned: str = "owned",
+    recent: str = "recent",
+    position: Sequence[str] = (),
 ) -> DataFrame:
     """Visibility and number of games of both lists for every player, also hidden ones.
 
@@ -222,6 +263,7 @@ def library_status(
 
     return libraries.select(
         player,
+        *position,
         has_key(owned, "game_count").alias("owned_visible"),
         size(owned).alias("owned_game_count"),
         has_key(recent, "total_count").alias("recent_visible"),
