@@ -41,7 +41,7 @@ def place(spark, tmp_path_factory):
     games = [game(g) for g in GAMES[:4]]
     games[0]["ccu"] = 99
     (place / "games2.json").write_text(page(*games))
-    (place / "libraries2.jsonl").write_text("\n".join(lines).replace("5423", "5500"))
+    (place / "libraries2.jsonl").write_text("\n".join(lines).replace("6402", "6500"))
     jobs.daily(
         spark, root, day(2), str(place / "games2.json"), None, str(place / "libraries2.jsonl")
     )
@@ -63,8 +63,8 @@ def tables(spark, place):
 
 def test_raw_tables_after_two_days(tables):
     stamps = {r.appid: (r.concurrent_users, r.loaded_at) for r in tables["games"].collect()}
-    assert stamps[730] == (99, day(2))
-    assert stamps[413150] == (50662, day(1))
+    assert stamps[11] == (99, day(2))
+    assert stamps[55] == (700, day(1))
     assert rows(tables["friends"].select("steamid", "is_self")) == [
         ("1", True), ("2", False), ("3", False)
     ]
@@ -74,18 +74,18 @@ def test_raw_tables_after_two_days(tables):
 
 
 def test_history_of_both_strategies(tables):
-    games = tables["games_snapshot"].filter("appid in (730, 413150)")
+    games = tables["games_snapshot"].filter("appid in (11, 55)")
     assert rows(games.select("appid", "concurrent_users", "valid_from", "valid_to")) == sorted(
         [
-            (730, 1013936, day(1), day(2)),
-            (730, 99, day(2), None),
-            (413150, 50662, day(1), None),
+            (11, 5000, day(1), day(2)),
+            (11, 99, day(2), None),
+            (55, 700, day(1), None),
         ],
         key=repr,
     )
     played = tables["player_games_snapshot"]
     assert rows(played.select("appid", "playtime_forever", "valid_to")) == sorted(
-        [(570, 0, None), (730, 5423, day(2)), (730, 5500, None)], key=repr
+        [(77, 0, None), (11, 6402, day(2)), (11, 6500, None)], key=repr
     )
 
 

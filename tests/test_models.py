@@ -1,7 +1,8 @@
-"""Models, cards and checks on the five recorded games and on hand-made rows."""
+"""Models, cards and checks on five made-up games and on hand-made rows."""
 
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from itertools import product, takewhile
 
 import pytest
 from conftest import rows
@@ -34,11 +35,11 @@ def raw(spark):
         [(1, T0 - timedelta(hours=1), T0, 0, 5, 5)], RAW_TABLES["catalog_runs"].schema()
     )
     friends = spark.createDataFrame(
-        [(f"7656119000000000{i}", f"p{i}", f"u{i}", state, T0, i == 1) for i, state in [(1, 0), (2, 1), (3, 3)]],
+        [(f"{i}", f"p{i}", f"u{i}", state, T0, i == 1) for i, state in [(1, 0), (2, 1), (3, 3)]],
         RAW_TABLES["friends"].schema(),
     )
     owned = spark.createDataFrame(
-        [("1", 730, "Counter-Strike 2", 5423, 1790500000, T0), ("1", 570, "Dota 2", 0, 0, T0)],
+        [("1", 11, "Harbor Lights", 6402, 1767225600, T0), ("1", 77, "Salt Road", 0, 0, T0)],
         RAW_TABLES["player_owned_games"].schema(),
     )
     return {
@@ -66,18 +67,19 @@ def test_game_rankings(models):
         "ccu_rank", "review_score_rank",
     )
     assert {r[0]: tuple(r[1:]) for r in got.collect()} == {
-        730: (100000000, 200000000, 150000000, 8815087, d("0.8669"), d("0.00"), d("0.00"), 0, "free", 1, 4),
-        252490: (20000000, 50000000, 35000000, 1227784, d("0.8724"), d("19.99"), d("39.99"), 50, "$10 to $30", 2, 3),
-        1172470: (100000000, 200000000, 150000000, 994979, d("0.6714"), d("0.00"), d("0.00"), 0, "free", 3, 5),
-        1086940: (20000000, 50000000, 35000000, 760662, d("0.9685"), d("44.99"), d("59.99"), 25, "$30 and up", 4, 2),
-        413150: (20000000, 50000000, 35000000, 886195, d("0.9844"), d("14.99"), d("14.99"), 0, "$10 to $30", 5, 1),
+        11: (200000, 500000, 350000, 1000, d("0.9000"), d("0.00"), d("0.00"), 0, "free", 1, 1),
+        22: (20000, 50000, 35000, 40, d("0.7500"), d("7.99"), d("15.99"), 50, "under $10", 4, 3),
+        33: (200000, 500000, 350000, 500, d("0.9000"), d("35.00"), d("35.00"), 0, "$30 and up", 2, 1),
+        44: (0, 20000, 10000, 4, d("0.2500"), d("10.00"), d("12.50"), 20, "$10 to $30", 5, 5),
+        55: (0, 20000, 10000, 3, d("0.6667"), d("2.50"), d("10.00"), 75, "under $10", 2, 4),
     }
 
 
 def test_owners_distribution(models):
     assert rows(models["catalog_owners_distribution"]) == [
-        ("100,000,000 .. 200,000,000", 100000000, 200000000, 2, 2, 300000000, 300000000, d("0.4000"), d("0.7407")),
-        ("20,000,000 .. 50,000,000", 20000000, 50000000, 3, 3, 105000000, 105000000, d("0.6000"), d("0.2593")),
+        ("0 .. 20,000", 0, 20000, 2, 2, 20000, 20000, d("0.4000"), d("0.0265")),
+        ("20,000 .. 50,000", 20000, 50000, 1, 1, 35000, 35000, d("0.2000"), d("0.0464")),
+        ("200,000 .. 500,000", 200000, 500000, 2, 2, 700000, 700000, d("0.4000"), d("0.9272")),
     ]
 
 
@@ -85,11 +87,10 @@ def test_publishers_and_coverage(models):
     publishers = models["publisher_summary"].select("publisher", "game_count", "free_game_count", "ccu_rank")
     assert rows(publishers) == sorted(
         [
-            ("Valve", 1, 1, 1),
-            ("Facepunch Studios", 1, 0, 2),
-            ("Electronic Arts", 1, 1, 3),
-            ("Larian Studios", 1, 0, 4),
-            ("ConcernedApe", 1, 0, 5),
+            ("Tern House", 2, 1, 1),
+            ("Quay Works", 1, 0, 2),
+            ("Fen Studio", 1, 0, 3),
+            ("Ola North", 1, 0, 4),
         ]
     )
     coverage = models["catalog_coverage"].first()
@@ -103,21 +104,26 @@ def card(models, name):
 
 
 def test_cards(models):
-    assert card(models, "players_online") == [(1387501,)]
-    assert card(models, "free_share") == [(d("40.0"),)]
-    assert card(models, "discounted") == [(2,)]
+    assert card(models, "players_online") == [(6520,)]
+    assert card(models, "free_share") == [(d("20.0"),)]
+    assert card(models, "discounted") == [(3,)]
     assert card(models, "review_by_tier") == [
-        ("free", d("76.9")),
-        ("$10 to $30", d("92.8")),
-        ("$30 and up", d("96.9")),
+        ("free", d("90.0")),
+        ("under $10", d("70.8")),
+        ("$10 to $30", d("25.0")),
+        ("$30 and up", d("90.0")),
     ]
-    assert sorted(card(models, "games_by_tier")) == [("$10 to $30", 2), ("$30 and up", 1), ("free", 2)]
-    assert [r[0] for r in card(models, "top10_games")][:2] == ["Counter-Strike: Global Offensive", "Rust"]
-    assert [r[0] for r in card(models, "best_reviewed")] == [1, 2, 3, 4, 5]
+    assert sorted(card(models, "games_by_tier")) == [
+        ("$10 to $30", 1), ("$30 and up", 1), ("free", 1), ("under $10", 2)
+    ]
+    assert [r[0] for r in card(models, "top10_games")][:1] == ["Harbor Lights"]
+    assert [r[0] for r in card(models, "best_reviewed")] == [1, 1, 3, 4, 5]
     assert card(models, "top_share") == [(d("100.0"),)]
-    assert [r[1:] for r in card(models, "share_by_bucket")] == [(d("60.0"), d("25.9")), (d("40.0"), d("74.1"))]
+    assert [r[1:] for r in card(models, "share_by_bucket")] == [
+        (d("40.0"), d("2.7")), (d("20.0"), d("4.6")), (d("40.0"), d("92.7"))
+    ]
     assert len(card(models, "ccu_trend")) == 5
-    assert len(card(models, "top10_publishers")) == 5
+    assert len(card(models, "top10_publishers")) == 4
 
 
 def test_shares_of_an_empty_mart_are_null(models):
@@ -129,7 +135,7 @@ def test_staged_friends_and_playtime(models):
     friends = models["stg_friends"].select("persona_state", "is_current_friend")
     assert rows(friends) == [("away", True), ("offline", True), ("online", True)]
     playtime = models["stg_playtime_history"].select("appid", "playtime_forever_minutes", "is_latest_version")
-    assert rows(playtime) == [(570, 0, True), (730, 5423, True)]
+    assert rows(playtime) == [(11, 6402, True), (77, 0, True)]
 
 
 def test_dropped_games_lose_their_flag(raw):
@@ -164,21 +170,20 @@ def test_marts_are_stored_and_staging_is_a_view(spark, models, raw):
 DAILY = "appid int, game_name string, snapshot_date date, concurrent_users int, total_reviews int"
 
 
-def test_streaks_of_unchanged_numbers(spark):
-    day = lambda n: date(2026, 10, n)
-    daily = [
-        (1, "a", day(1), 10, 5), (1, "a", day(2), 20, 5), (1, "a", day(3), 10, 5),
-        (2, "b", day(1), 30, 7), (2, "b", day(3), 30, 7),
-        (3, "c", day(1), 40, 9), (3, "c", day(2), 40, 9),
-        (4, "d", day(2), 50, 11), (4, "d", day(3), 50, 12),
-    ]
+def test_streaks_of_all_short_series(spark):
+    """Every series of four days, each of them missing or with one of three pairs of numbers."""
+    days = [date(2026, 3, n) for n in range(1, 5)]
+    every = [s for s in product([None, (7, 3), (8, 3), (7, 4)], repeat=4) if any(s)]
+    daily, want = [], []
+    for i, series in enumerate(every):
+        seen = [(day, pair) for day, pair in zip(days, series, strict=True) if pair]
+        daily += [(i, "g", day, *pair) for day, pair in seen]
+        last, numbers = seen[-1]
+        same = list(takewhile(lambda s, n=numbers: s[1] == n, reversed(seen)))
+        since = same[-1][0]
+        want.append((i, since, last, last == days[-1], len(same), (last - since).days + 1))
     got = marts.game_freshness(spark.createDataFrame(daily, DAILY)).drop("game_name")
-    assert rows(got) == [
-        (1, day(3), day(3), True, 1, 1),
-        (2, day(1), day(3), True, 2, 3),
-        (3, day(1), day(2), False, 2, 2),
-        (4, day(3), day(3), True, 1, 1),
-    ]
+    assert rows(got) == sorted(want, key=repr)
 
 
 def test_streaks_of_unknown_numbers(spark):
@@ -255,27 +260,24 @@ def test_freshness_limits(raw):
 
 
 def test_report_has_only_warnings(spark):
-    found = spark.createDataFrame(
-        [
-            ("model.a.game_rankings", "success", None, None),
-            ("test.a.unique_x.a1b2", "pass", 0, None),
-            ("test.a.assert_catalog_coverage", "warn", 1, None),
-            ("test.a.assert_y", "warn", None, "odd"),
-            ("test.a.assert_z", "warn", None, ""),
-            ("test.a.assert_owners_range_valid", "fail", 3, None),
-        ],
-        quality.RESULT_SCHEMA,
-    )
-    ages = spark.createDataFrame(
-        [("source.a.raw.games", "pass", 600.0), ("source.a.raw.catalog_runs", "warn", 9.0 * 24 * 3600)],
-        quality.FRESHNESS_SCHEMA,
-    )
-    assert rows(quality.warning_report(found, ages)) == [
-        ("source raw.catalog_runs: last loaded 216 hours ago",),
-        ("test assert_catalog_coverage: 1 rows",),
-        ("test assert_y: odd",),
-        ("test assert_z: warning",),
+    """The number of rows goes before the message, a blank message counts as none."""
+    states, counts, messages = ["pass", "warn", "fail"], [None, 0, 4], [None, "", "see log"]
+    every = [
+        (f"test.t.c{i}.x{i}", *case) for i, case in enumerate(product(states, counts, messages))
     ]
+    hours = [1.2, 2.5, 3.5, 50.0]
+    ages = [(f"source.t.raw.s{i}", "warn", h * 3600) for i, h in enumerate(hours)]
+    ages.append(("source.t.raw.fresh", "pass", 60.0))
+    want = [
+        f"test {name.split('.')[2]}: " + (f"{n} rows" if n is not None else message or "warning")
+        for name, state, n, message in every
+        if state == "warn"
+    ] + [f"source raw.s{i}: last loaded {round(h)} hours ago" for i, h in enumerate(hours)]
+    got = quality.warning_report(
+        spark.createDataFrame(every, quality.RESULT_SCHEMA),
+        spark.createDataFrame(ages, quality.FRESHNESS_SCHEMA),
+    )
+    assert rows(got) == sorted([(w,) for w in want], key=repr)
 
 
 def test_report_without_result_files(spark, tmp_path):
