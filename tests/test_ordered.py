@@ -135,6 +135,22 @@ def test_last_per_group_keeps_one_whole_row(spark):
     assert rows(last_per_group(df, ["g"], ["o"])) == [("x", 3, None), ("y", None, "c")]
 
 
+def test_null_stamps_lose_or_win(spark):
+    data = [("x", 1, 1, "a"), ("x", None, 1, "b"), ("x", None, 2, "c"), ("x", None, None, "d")]
+    df = spark.createDataFrame(data, "g string, o int, tie int, v string")
+    assert rows(last_per_group(df, ["g"], ["o", "tie"])) == [("x", 1, 1, "a")]
+    assert rows(last_per_group(df, ["g"], ["o", "tie"], nulls="highest")) == [("x", None, None, "d")]
+
+
+@pytest.mark.parametrize("floor", [1, 10**6])
+def test_texts_are_refused_at_any_size(spark, floor):
+    df = spark.createDataFrame([("a", "9"), ("a", "10")], "k string, o string")
+    with pytest.raises(TypeError, match="o is string"):
+        KeyedOrder.of(df, ["k"], ["o"], floor)
+    with pytest.raises(TypeError, match="o is string"):
+        global_ranks(df, {"r": RankBy("o")})
+
+
 def test_ranks_leave_columns_of_any_name_alone(spark):
     df = spark.createDataFrame([(1, 5, 7), (2, 6, 7)], "bucket int, shift int, n int")
     got = global_ranks(df, {"r": RankBy("shift"), "count": RankBy("n")})

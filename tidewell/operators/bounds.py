@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # sketches of this many groups of input partitions are merged in parallel
 _SKETCH_GROUPS = 64
 
 
+_ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def require_quantiles(df: DataFrame, columns: Iterable[str]) -> None:
+    """Refuse columns that quantiles would order differently from a sort, such as texts."""
+    for c in columns:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, _ORDERED):
+            raise TypeError(f"column {c} is {kind.simpleString()}; it has to be a number, date or timestamp")
+
+
 def bound_bits(spark: SparkSession) -> int:
     """Bits b so that 2**b - 1 bounds make about one interval per shuffle partition."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
+from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds, require_quantiles
 
 # a key below this many rows is never split: one task sorts it in about a second
 SPLIT_FLOOR = 1_000_000
@@ -86,6 +86,8 @@ class KeyedOrder:
         result is the same when identical rows are merged: a chunk cannot split them, so
         they are then reduced before the shuffle.
         """
+        # at any size, so that growing data does not change what is accepted
+        require_quantiles(df, order[:1])
         hot = heavy_keys(df if sized_by is None else sized_by, keys, floor)
         if hot is None:
             return cls.bounded(df, keys, order)

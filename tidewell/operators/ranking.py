@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import safe_ratio
-from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds
+from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds, require_quantiles
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,9 @@ def global_ranks(df: DataFrame, ranks: Mapping[str, RankBy], bits: int | None =
     in the buckets before it. A value frequent enough to matter is a bound, so
     its bucket holds that one value only, where every row has rank 1: such a
     bucket is spread over tasks freely. NULLs are a single-value bucket as well.
+    Ranked columns have to be numbers, dates or timestamps.
     """
+    require_quantiles(df, {r.column for r in ranks.values()})
     bits = bits or bound_bits(df.sparkSession)
     values = {r.column: F.col(r.column) for r in ranks.values()}
     bucketed = bounds_below(df, values, quantile_bounds(df, values, bits), bits)
@@ -95,14 +97,18 @@ def share_of_total(measure: Column | str, total: DataFrame, digits: int = 4) ->
     return safe_ratio(measure, total.scalar(), digits)
 
 
-def last_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the highest ``order`` of each group, NULLs lowest.
+def last_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], nulls: str = "lowest"
+) -> DataFrame:
+    """The row with the highest ``order`` of each group; ``nulls`` is "lowest" or "highest".
 
     An aggregate rather than ``row_number() = 1``: rows are reduced to one per group
     before the shuffle, so the size of a group does not matter.
     """
     rest = [c for c in df.columns if c not in group]
-    best = F.max_by(F.struct(*rest), F.struct(*order))
+    # NULLs in a struct compare lowest
+    by = order if nulls == "lowest" else [c for o in order for c in (F.isnull(o), F.col(o))]
+    best = F.max_by(F.struct(*rest), F.struct(*by))
     return df.groupBy(*group).agg(best.alias("__row")).select(
         *[F.col(c) if c in group else F.col("__row")[c].alias(c) for c in df.columns]
     )

@@ -80,7 +80,7 @@ def publisher_summary(stg_games: DataFrame) -> DataFrame:
 
 def game_daily_stats(stg_games_history: DataFrame) -> DataFrame:
     """The last load of each game and day."""
-    last = last_per_group(stg_games_history, ["appid", "snapshot_date"], ["loaded_at"])
+    last = last_per_group(stg_games_history, ["appid", "snapshot_date"], ["loaded_at"], nulls="highest")
     reviews = F.col("positive_reviews").cast("bigint") + F.col("negative_reviews")
     return last.select(
         "appid",
@@ -136,7 +136,8 @@ def catalog_owners_distribution(stg_catalog: DataFrame, stg_games: DataFrame) ->
 
 def catalog_coverage(stg_runs: DataFrame, stg_catalog: DataFrame) -> DataFrame:
     """How much of its list the latest finished run saw; no row before one finished."""
-    latest = stg_runs.filter("is_finished").orderBy(F.col("started_at").desc()).limit(1)
+    newest = [F.col("started_at").desc_nulls_first(), F.col("run_id").desc()]
+    latest = stg_runs.filter("is_finished").orderBy(*newest).limit(1)
     seen = stg_catalog.filter("is_in_latest_catalog").agg(F.count("*")).scalar()
     with_count = latest.withColumn("distinct_games", seen)
     return with_count.select(
