@@ -56,6 +56,31 @@ def test_split_key_is_spread_over_chunks(skewed):
     assert max(sizes) < 300
 
 
+@pytest.mark.parametrize("stamp", [3, None, 2.5])
+def test_key_with_one_stamp_is_cut_by_the_tie_break(spark, stamp):
+    kind = "double" if isinstance(stamp, float) else "int"
+    data = [("hot", stamp, (i * 37) % 1000, i % 3) for i in range(1000)]
+    data += [("hot", 1, 5, 1), ("hot", 9, 5, 1), ("hot", 9, None, 2), ("cold", 1, 1, 1)]
+    data = [(k, None if o is None else type(stamp or 0)(o), t, v) for k, o, t, v in data]
+    df = spark.createDataFrame(data, f"k string, o {kind}, t int, v int").repartition(5)
+    split = KeyedOrder.of(df, ["k"], ["o", "t"], floor=100)
+    sizes = [r["count"] for r in split.df.groupBy("k", "__chunk").count().collect()]
+    assert max(sizes) < 300
+
+    def steps(ordered):
+        return rows(ordered.previous(was="v").running_sum("total", "v").following(then="t").rows())
+
+    assert steps(split) == steps(KeyedOrder.bounded(df, ["k"], ["o", "t"]))
+
+
+def test_large_keys_are_heavy_on_any_number_of_rows(skewed, monkeypatch):
+    from tidewell.operators import keyed_order
+
+    monkeypatch.setattr(keyed_order, "SPLIT_CEILING", 6)
+    heavy = {r.k for r in heavy_keys(skewed, ["k"], floor=1).collect()}
+    assert {"hot", None} < heavy and len(heavy) <= skewed.count() // 6
+
+
 def test_filtering_between_steps_keeps_the_order_right(skewed):
     plain = KeyedOrder.bounded(skewed, ["k"], ["o"])
     split = KeyedOrder.of(skewed, ["k"], ["o"], floor=100)

@@ -15,18 +15,23 @@ _SKETCH_GROUPS = 64
 _ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def has_quantiles(df: DataFrame, column: str) -> bool:
+    """Whether quantiles order a column as a sort does, which they do not for texts."""
+    return isinstance(df.schema[column].dataType, _ORDERED)
+
+
 def require_quantiles(df: DataFrame, columns: Iterable[str]) -> None:
-    """Refuse columns that quantiles would order differently from a sort, such as texts."""
+    """Refuse columns that quantiles would order differently from a sort."""
     for c in columns:
-        kind = df.schema[c].dataType
-        if not isinstance(kind, _ORDERED):
-            raise TypeError(f"column {c} is {kind.simpleString()}; it has to be a number, date or timestamp")
+        if not has_quantiles(df, c):
+            kind = df.schema[c].dataType.simpleString()
+            raise TypeError(f"column {c} is {kind}; it has to be a number, date or timestamp")
 
 
 def bound_bits(spark: SparkSession) -> int:
     """Bits b so that 2**b - 1 bounds make about one interval per shuffle partition."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(12, max(4, partitions.bit_length()))
+    return min(16, max(4, partitions.bit_length()))
 
 
 def quantile_bounds(df: DataFrame, columns: Mapping[str, Column], bits: int) -> Column:

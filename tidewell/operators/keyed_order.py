@@ -2,7 +2,7 @@
 
 A window partitioned by key puts all rows of a key into one task. Where a key can
 hold a large part of the table, its rows are cut into chunks along the order
-column first. The window then runs per (key, chunk), and what crosses a chunk edge
+columns first. The window then runs per (key, chunk), and what crosses a chunk edge
 is carried over from a table with one row per (key, chunk).
 """
 
@@ -14,10 +14,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.bounds import bound_bits, bounds_below, quantile_bounds, require_quantiles
+from tidewell.operators.bounds import (
+    bound_bits,
+    bounds_below,
+    has_quantiles,
+    quantile_bounds,
+    require_quantiles,
+)
 
 # a key below this many rows is never split: one task sorts it in about a second
 SPLIT_FLOOR = 1_000_000
+# a key above this many rows is always split, however large a share of one task is
+SPLIT_CEILING = 16_000_000
 
 _CHUNK = "__chunk"
 _HOT = "__hot"
@@ -38,24 +46,45 @@ def join_same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str)
 def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = SPLIT_FLOOR) -> DataFrame | None:
     """Keys with more rows than a fair share of one task, or None if there are none.
 
-    At most ``spark.sql.shuffle.partitions`` keys can hold more than
-    1 / partitions of the rows, so the result is small whatever the data is.
-    Only two numbers come to the driver.
+    At most ``spark.sql.shuffle.partitions`` keys can hold more than 1 / partitions of the
+    rows, and one for every SPLIT_CEILING rows more than that, so the result is small
+    whatever the data is. Only two numbers come to the driver.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
     total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(floor, (total or 0) // partitions)
+    limit = max(floor, min((total or 0) // partitions, SPLIT_CEILING))
     if largest is None or largest <= limit:
         return None
     return counts.filter(F.col("n") > limit).select(*keys)
 
 
+def _chunk_number(cut: Mapping[str, Column], bits: int) -> Column:
+    """Ascending numbers: NULL, then by turns the gaps between bounds and the bounds themselves.
+
+    A value that stands 2**j times among the bounds has about that share of the rows. It is cut
+    in 2**j by the tie-break, so there are never more than about two chunks per bound.
+    """
+    value, below = cut["cut"], F.col("__below_cut")
+
+    def is_bound(further: int) -> Column:
+        return F.coalesce(F.get(F.col("__bounds")["cut"], below + further) == value, F.lit(False))
+
+    place = F.when(value.isNull(), 0).otherwise(1 + 2 * below + is_bound(0).cast("int")).cast("bigint")
+    if "tie" not in cut:
+        return place
+    part = F.when(value.isNull(), F.col("__below_tie")).otherwise(0)
+    for j in range(1, bits):
+        part = F.when(is_bound(2**j - 1), F.shiftright("__below_tie", bits - j)).otherwise(part)
+    return place * 2**bits + part
+
+
 class KeyedOrder:
     """Rows of each key in ascending order of ``order``.
 
     ``order`` must be unique within a key apart from its later columns acting as
-    tie-breaks; chunks are cut on its first column, so ties never straddle an edge.
+    tie-breaks. Chunks are cut on its first column; rows of a frequent value are cut on the
+    second one if quantiles can order it. Ties never straddle an edge.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], split: bool):
@@ -96,11 +125,13 @@ class KeyedOrder:
 
         bits = bound_bits(df.sparkSession)
         cut = {"cut": F.col(order[0])}
+        if len(order) > 1 and has_quantiles(df, order[1]):
+            cut["tie"] = F.col(order[1])
         hot_rows = join_same(df, F.broadcast(hot), keys, "left_semi")
         marked = join_same(df, F.broadcast(hot.withColumn(_HOT, F.lit(True))), keys, "left")
         marked = bounds_below(marked, cut, quantile_bounds(hot_rows, cut, bits), bits)
         # chunk 0 is the whole of a key that is not split
-        chunk = F.when(F.col(_HOT), F.col("__below_cut") + 1).otherwise(F.lit(0))
+        chunk = F.when(F.col(_HOT), _chunk_number(cut, bits) + 1).otherwise(F.lit(0))
         return cls(marked.select(*df.columns, _HOT, chunk.alias(_CHUNK)), keys, order, split=True)
 
     def _group(self) -> list[str]:

@@ -467,6 +467,44 @@ def scd2_apply_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     return history.apply_snapshot(past, source, ["user_id"], updated_at="ts").select(*_VERSION)
 
 
+# ---------------------------------------------------------------- hot keys
+
+# rows from which a key counts as hot here, far below the usual bound
+_FLOOR = 100
+
+
+def _crowded_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events, those of every third user under one key."""
+    user = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    return _events(spark, sf).withColumn("user_id", user)
+
+
+@query
+def streaks_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaks with a hot key, in the order of months and then of ids: few stamps, many ties."""
+    events = _crowded_events(spark, sf).select(
+        "user_id", F.trunc("ts", "month").alias("month"), "event_id", "event_type"
+    )
+    return numbered_streaks(events, "user_id", ["month", "event_id"], ["event_type"], floor=_FLOOR)
+
+
+@query
+def scd2_check_split(spark: SparkSession, sf: str) -> DataFrame:
+    versions = history.versions_from_log(
+        _crowded_events(spark, sf), ["user_id"], "ts", check=["event_type"], tie="event_id", floor=_FLOOR
+    )
+    return versions.select(*_VERSION)
+
+
+@query
+def membership_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the supplier has money, where one supplier has a third of the lines."""
+    supplier = F.when(F.col("l_suppkey") % 3 == 0, 1).otherwise(F.col("l_suppkey"))
+    lines = t.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", supplier.alias("s_suppkey"))
+    solvent = t.read(spark, sf, "supplier").filter("s_acctbal > 0")
+    return membership_flag(lines, solvent, ["s_suppkey"], "is_solvent", unique=False, floor=_FLOOR)
+
+
 # ---------------------------------------------------------------- models and cards
 
 _RAW: dict[str, Query] = {
