@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_landed import GAMES, SAMPLE_PAGE, game, libraries, page, players
 
 from tidewell import __main__ as jobs
@@ -119,9 +120,9 @@ def test_build_report_export_and_restore(spark, place):
 
 def test_load_of_one_table_writes_no_other(spark, place):
     names = releases.release_names(spark, str(place / "root" / "tables"))
-    written = {p.name for p in (place / "root" / "tables" / "data" / names[1]).iterdir()}
-    assert "games_catalog" not in written and "friends" not in written
-    assert {"games", "games_snapshot_open", "games_snapshot_closed"} <= written
+    # each day's games are a release of their own, before that day's players
+    written = {p.name for p in (place / "root" / "tables" / "data" / names[2]).iterdir()}
+    assert written == {"games", "games_snapshot_open", "games_snapshot_closed"}
 
 
 def test_repeating_a_load_adds_no_version(spark, place, tables):
@@ -136,6 +137,49 @@ def test_repeating_a_load_adds_no_version(spark, place, tables):
     assert (len(before[0]), before[1]) == (3, now["games_snapshot"].count())
 
 
+def test_load_that_another_one_came_between_is_done_anew(spark, tmp_path):
+    root, read = str(tmp_path), []
+
+    def friends(*ids):
+        return lambda tables: loads.load_profiles(
+            tables, spark.createDataFrame([(players(*ids), "f")], "value string, file string"), None, stamp
+        )
+
+    stamp = F.lit("2026-10-01 09:00:00").cast("timestamp_ntz")
+
+    def slow(tables):
+        read.append(tables["friends"].count())
+        if len(read) == 1:
+            loads.load_and_publish(spark, root, "n2", friends("1", "2"), stamp)
+        return friends("3")(tables)
+
+    loads.load_and_publish(spark, root, "n1", slow, stamp)
+    assert read == [0, 2]
+    assert releases.release_names(spark, root) == ["n2", "n2+"]
+    assert rows(loads.current_tables(spark, root)["friends"].select("steamid")) == [("1",), ("2",), ("3",)]
+
+
+def test_games_are_published_although_profiles_fail(spark, tmp_path):
+    (tmp_path / "games.json").write_text(SAMPLE_PAGE)
+    (tmp_path / "profiles.json").write_text(players("1").replace('"1"', "null"))
+    root = str(tmp_path / "root")
+    with pytest.raises(Exception, match="steamid"):
+        jobs.daily(spark, root, DAY1, str(tmp_path / "games.json"), str(tmp_path / "profiles.json"))
+    now = loads.current_tables(spark, f"{root}/tables")
+    assert (now["games"].count(), now["friends"].count()) == (5, 0)
+
+
+def test_null_in_a_required_column_fails_the_load(spark):
+    base = loads.empty_tables(spark)
+    status = [("1", None, 1, True, 1)]
+    batch = spark.createDataFrame(
+        status, "steamid string, owned_visible boolean, owned_game_count int, recent_visible boolean, recent_game_count int"
+    )
+    stamp = F.lit("2026-10-01 09:00:00").cast("timestamp_ntz")
+    with pytest.raises(Exception, match="player_library_status: owned_visible is NULL"):
+        loads._load(base, "player_library_status", batch, stamp).collect()
+
+
 def test_command_line(spark, tmp_path, capsys):
     root = ["--root", str(tmp_path / "root")]
     jobs.main([*root, "start-run"])
@@ -150,16 +194,13 @@ def test_command_line(spark, tmp_path, capsys):
     jobs.main([*root, "daily", "--games", str(tmp_path / "games.json")])
     at = ["--now", "2100-01-02T00:00:00"]
     jobs.main([*root, *at, "build"])
+    with pytest.raises(checks.ChecksFailed, match="rankings_at_most_100_games"):
+        jobs.main([*root, *at, "build", "--max-ranked", "4"])
     jobs.main([*root, *at, "report"])
     assert spark.table("game_rankings").count() == 5
 
 
 def test_last_row_of_a_key_wins_in_profiles_and_libraries(spark, tmp_path):
-    import json
-
-    from pyspark.sql import functions as F
-
-    from tidewell.plans import loads
     from tidewell.sources import landed
 
     def profile(name):

@@ -274,6 +274,29 @@ def test_unchanged_tables_are_carried_over(spark, tmp_path):
     assert set(releases.read_release(spark, root)) == {"a"}
 
 
+def test_release_made_from_an_older_one_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    releases.write_release({"a": spark.range(1)}, root, "r1", parent=None)
+    releases.write_release({"a": spark.range(2)}, root, "r2", parent="r1")
+    for parent in ("r1", None):
+        with pytest.raises(releases.StaleError):
+            releases.write_release({"a": spark.range(9)}, root, "r3", parent=parent)
+    assert releases.read_release(spark, root)["a"].count() == 2
+
+
+def test_of_two_releases_published_at_once_one_is_refused(spark, tmp_path, monkeypatch):
+    root, names = str(tmp_path), releases.release_names
+    releases.write_release({"a": spark.range(1)}, root, "r1")
+    releases.write_release({"a": spark.range(2)}, root, "r2")
+    # the other release was not there yet when this one looked
+    monkeypatch.setattr(releases, "release_names", lambda *at: names(*at)[:1])
+    with pytest.raises(releases.StaleError):
+        releases.write_release({"a": spark.range(9)}, root, "r3", parent="r1")
+    monkeypatch.undo()
+    assert releases.release_names(spark, root) == ["r1", "r2"]
+    assert releases.read_release(spark, root)["a"].count() == 2
+
+
 def test_export_is_a_checked_copy(spark, tmp_path):
     root, target = f"{tmp_path}/root", f"{tmp_path}/target"
     releases.write_release({"a": spark.range(3)}, root, "r1", appended={"b": spark.range(2)})

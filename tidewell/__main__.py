@@ -37,19 +37,25 @@ def daily(
     libraries: str | None = None,
     self_id: str | None = None,
 ) -> None:
-    """Load the landed documents that are given and publish them as one release."""
-    tables = loads.current_tables(spark, _tables(root))
-    changed: dict[str, DataFrame] = {}
+    """Load the landed documents that are given, games first: they do not wait for players."""
+
+    def top_list(tables: loads.Tables) -> loads.Tables:
+        return loads.load_top_list(tables, landed.read_documents(spark, games), _stamp(now))
+
+    def players(tables: loads.Tables) -> loads.Tables:
+        changed: dict[str, DataFrame] = {}
+        if profiles:
+            documents = landed.read_documents(spark, profiles)
+            changed |= loads.load_profiles(tables, documents, self_id, _stamp(now))
+        if libraries:
+            responses = landed.read_libraries(spark, libraries)
+            changed |= loads.load_libraries(tables, responses, _stamp(now))
+        return changed
+
     if games:
-        documents = landed.read_documents(spark, games)
-        changed |= loads.load_top_list(tables, documents, _stamp(now))
-    if profiles:
-        documents = landed.read_documents(spark, profiles)
-        changed |= loads.load_profiles(tables, documents, self_id, _stamp(now))
-    if libraries:
-        responses = landed.read_libraries(spark, libraries)
-        changed |= loads.load_libraries(tables, responses, _stamp(now))
-    loads.publish(spark, _tables(root), _name(now), changed, _stamp(now))
+        loads.load_and_publish(spark, _tables(root), _name(now), top_list, _stamp(now))
+    if profiles or libraries:
+        loads.load_and_publish(spark, _tables(root), _name(now), players, _stamp(now))
 
 
 def catalog(
@@ -60,27 +66,30 @@ def catalog(
     pages.stream_pages(spark, landing, store, checkpoint).awaitTermination()
     if not paths.exists(spark, store):
         return  # nothing has landed yet, the run stays open
-    tables = loads.current_tables(spark, _tables(root))
     stored = pages.read_store(spark, store)
-    changed = loads.load_catalog(tables, stored, _stamp(now), page_size)
-    loads.publish(spark, _tables(root), _name(now), changed, _stamp(now))
+    loads.load_and_publish(
+        spark, _tables(root), _name(now),
+        lambda tables: loads.load_catalog(tables, stored, _stamp(now), page_size), _stamp(now),
+    )
 
 
 def start_run(spark: SparkSession, root: str, now: datetime) -> tuple[int, int, bool]:
     """Open a catalogue run, or find the one to resume: run id, next page, resumed."""
+    newest = (releases.release_names(spark, _tables(root)) or [None])[-1]
     tables = loads.current_tables(spark, _tables(root))
     point = ledger.resume_point(tables["catalog_runs"]).first()
     if not point["resumed"]:
         changed = {"catalog_runs": ledger.start_run(tables["catalog_runs"], _stamp(now))}
-        loads.publish(spark, _tables(root), _name(now), changed, _stamp(now))
+        # two runs opened at once would have one number, so the later one fails
+        loads.publish(spark, _tables(root), _name(now), changed, _stamp(now), newest)
     return tuple(point)
 
 
-def build(spark: SparkSession, root: str, now: datetime, min_catalog_games: int = 10_000) -> None:
+def build(spark: SparkSession, root: str, now: datetime, **thresholds: float) -> None:
     """Store the marts, run every check, and fail if one of severity error found rows."""
     tables = loads.with_histories(loads.current_tables(spark, _tables(root)))
     models = materialize(spark, tables, f"{root}/marts/{_name(now)}")
-    found = checks.check_results(models, checks.table_checks(min_catalog_games=min_catalog_games))
+    found = checks.check_results(models, checks.table_checks(**thresholds))
     results = f"{root}/results/{_name(now)}"
     found.write.mode("overwrite").parquet(f"{results}/checks")
     raw = {n: t for n, t in tables.items() if n in loads.RAW_TABLES}
@@ -125,7 +134,8 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--page-size", type=int, default=ledger.PAGE_SIZE)
     jobs.add_parser("start-run", help=start_run.__doc__)
     job = jobs.add_parser("build", help=build.__doc__)
-    job.add_argument("--min-catalog-games", type=int, default=10_000)
+    for option, default in checks.THRESHOLDS.items():
+        job.add_argument("--" + option.replace("_", "-"), type=type(default), default=default)
     jobs.add_parser("report", help=report.__doc__)
     job = jobs.add_parser("export", help=export.__doc__)
     job.add_argument("--target", required=True)

@@ -61,12 +61,22 @@ class TableCheck:
     severity: str = ERROR
 
 
+#: Of the checks of whole tables; every one is an option of the build.
+THRESHOLDS: dict[str, int | float] = {
+    "min_catalog_games": 10_000,
+    "min_catalog_coverage": 0.9,
+    "max_days_unchanged": 3,
+    "max_stale_share": 0.5,
+    "max_ranked": 100,
+}
+
+
 def table_checks(
-    min_catalog_games: int = 10_000,
-    min_catalog_coverage: float = 0.9,
-    max_days_unchanged: int = 3,
-    max_stale_share: float = 0.5,
-    max_ranked: int = 100,
+    min_catalog_games: int = THRESHOLDS["min_catalog_games"],
+    min_catalog_coverage: float = THRESHOLDS["min_catalog_coverage"],
+    max_days_unchanged: int = THRESHOLDS["max_days_unchanged"],
+    max_stale_share: float = THRESHOLDS["max_stale_share"],
+    max_ranked: int = THRESHOLDS["max_ranked"],
 ) -> dict[str, TableCheck]:
     """The checks of whole tables, with their thresholds."""
     owners = ["appid", "owners_bucket", "owners_min", "owners_max"]

@@ -5,7 +5,7 @@ Functions take the current raw tables by name and return the tables they changed
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +45,17 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
 def _load(
     tables: Tables, name: str, rows: DataFrame, load_ts: Column | None, seq: tuple[str, ...] = ()
 ) -> DataFrame:
-    base = conform(tables[name], name)
-    return upsert(base, rows, RAW_TABLES[name].keys, seq, load_ts, stamp="loaded_at")
+    base, spec = conform(tables[name], name), RAW_TABLES[name]
+    must = list(dict.fromkeys([*spec.keys, *spec.required]))
+    return upsert(base, _filled(rows, name, must), spec.keys, seq, load_ts, stamp="loaded_at")
+
+
+def _filled(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """``rows``, or a failure when it runs if one has NULL in ``columns``."""
+    for c in columns:
+        failure = F.raise_error(F.lit(f"{name}: {c} is NULL")).cast("boolean")
+        rows = rows.filter(F.when(F.col(c).isNotNull(), True).otherwise(failure))
+    return rows
 
 
 def load_top_list(tables: Tables, documents: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
@@ -131,14 +140,43 @@ def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def publish(
-    spark: SparkSession, root: str, name: str, changed: Tables, taken_at: Column
+    spark: SparkSession,
+    root: str,
+    name: str,
+    changed: Tables,
+    taken_at: Column,
+    parent: str | None = releases.NEWEST,
 ) -> dict[str, DataFrame]:
     """Publish the changed raw tables with their snapshots as one release.
 
     Tables that did not change are referred to. Of the histories only the open versions are
-    rewritten, closed ones are appended.
+    rewritten, closed ones are appended. ``parent`` is the release that ``changed`` was made
+    from; if it is no longer the newest one, nothing is published.
     """
     tables = {**current_tables(spark, root), **changed}
     still_open, closed = take_snapshots(tables, taken_at, changed)
-    releases.write_release({**changed, **still_open}, root, name, appended=closed)
+    releases.write_release({**changed, **still_open}, root, name, appended=closed, parent=parent)
     return current_tables(spark, root)
+
+
+def load_and_publish(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    load: Callable[[Tables], Tables],
+    taken_at: Column,
+    attempts: int = 3,
+) -> dict[str, DataFrame]:
+    """Publish what ``load`` makes of the current tables, anew if another load came between.
+
+    A name that does not come after the newest release is appended to that one's.
+    """
+    for attempt in range(attempts):
+        newest = (releases.release_names(spark, root) or [None])[-1]
+        own = name if newest is None or name > newest else f"{newest}+"
+        try:
+            return publish(spark, root, own, load(current_tables(spark, root)), taken_at, newest)
+        except releases.StaleError:
+            if attempt == attempts - 1:
+                raise
+    raise ValueError("attempts has to be positive")

@@ -7,6 +7,7 @@ none. No path that a plan may still be reading is overwritten.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,10 +19,18 @@ from tidewell.sources import paths
 _MANIFEST = "release string, table string, path string, rows bigint, checksum decimal(38,0)"
 
 
+#: Take the newest release as the one before.
+NEWEST = "newest"
+
+
 class ReleaseError(RuntimeError):
     pass
 
 
+class StaleError(ReleaseError):
+    """Another release was published since the tables were read."""
+
+
 def _measures() -> list[Column]:
     hashes = F.xxhash64(F.struct("*")).cast("decimal(38,0)")
     return [F.count("*").alias("rows"), F.coalesce(F.sum(hashes), F.lit(0)).alias("checksum")]
@@ -45,6 +54,7 @@ def write_release(
     name: str,
     appended: Mapping[str, DataFrame] | None = None,
     carry: bool = True,
+    parent: str | None = NEWEST,
 ) -> None:
     """Write ``tables`` as release ``name``; it counts only once everything is written.
 
@@ -53,12 +63,19 @@ def write_release(
     before are referred to and not copied, so a release costs what has changed.
 
     Count and content hash are observed while a table is written; it is then read back
-    and must show the same. Names must sort by age, such as a date and time, and are used
+    and must show the same.
+
+    Say as ``parent`` which release the tables were made from, None if there was none. A release
+    has one successor: if another one was published meanwhile, this one fails and changes
+    nothing. Names must sort by age, such as a date and time, and are used
     once: a published release may have readers.
     """
     appended = appended or {}
     spark = next(iter({**tables, **appended}.values())).sparkSession
     names = release_names(spark, root)
+    newest = names[-1] if names else None
+    if parent not in (NEWEST, newest):
+        raise StaleError(f"release {newest!r} was published after {parent!r} was read")
     if name in names:
         raise ReleaseError(f"release {name!r} is already published in {root}")
     if names and name < names[-1]:
@@ -79,8 +96,12 @@ def write_release(
             raise ReleaseError(f"{table}: wrote {observed.get}, read back {found}")
         entries.append((name, table, path, found["rows"], found["checksum"]))
     manifest = spark.createDataFrame(entries, T.StructType.fromDDL(_MANIFEST))
-    # one file, so the release appears at once
-    manifest.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    # one file, named after the release before, so the release appears at once or not at all
+    draft = f"{root}/drafts/{name}-{uuid.uuid4().hex}"
+    manifest.coalesce(1).write.parquet(draft)
+    if not paths.move_new(spark, draft, f"{root}/manifest/after-{newest or 'nothing'}.parquet"):
+        raise StaleError(f"another release was published after {newest!r}")
+    paths.delete(spark, draft)
 
 
 def release_names(spark: SparkSession, root: str) -> list[str]:
