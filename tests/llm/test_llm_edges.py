@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import hashlib
 import random
 import re
 
@@ -21,6 +22,7 @@ from tidewell.llm import (
     vector_forest,
     warc,
 )
+from tidewell.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, source string, row int, doc int, key string, run string, n int, score double, spans string"
 LONG = " ".join(f"word{k % 977}" for k in range(20_000))
@@ -243,6 +245,31 @@ def test_base_spans_by_plain_patterns(spark):
         assert row.base == _plain_spans(texts[row.doc_id] or "")
 
 
+def test_addresses_may_have_parts_of_zero(spark):
+    bits = ["10.0.0.1", "0.0.0.0", "000.1.2.3", "127.0.0.1", "8.8.8.0", "0.256.0.1", "0000.00.0.255", "0300.0.0.0"]
+    texts = [f"{a} and {b}" for a in bits for b in bits] + ["0" * 4_000 + ".1.2.3", "1." + "0" * 4_000 + ".999.3"]
+    got = pii_bootstrap.find_spans(docs(spark, [(k, t, "s") for k, t in enumerate(texts)]))
+    for row in got.select("doc_id", pii_bootstrap.as_text(F.col("base")).alias("base")).collect():
+        assert row.base == _plain_spans(texts[row.doc_id])
+    masked = pii_bootstrap.masked(docs(spark, [(1, "at 10.0.0.1 and 300.0.0.1", "s")])).collect()
+    assert masked[0].text == "at <IP> and 300.0.0.1"
+
+
+def test_the_whole_query_by_plain_patterns(spark, sf, tmp_path):
+    given = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    zero = spark.createDataFrame([(10**9, "from 192.168.0.1 to 256.0.0.1"), (10**9 + 1, None)], given.schema)
+    given.union(zero).write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in given.union(zero).collect()}
+    got = QUERIES["op7_contextual_pii"](spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for row in got:
+        base = _plain_spans(texts[row.doc_id])
+        assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        kinds = [x.split(":")[0] for x in base.split(",")]
+        assert [row[f"n_{k}"] for k in pii_bootstrap.KINDS] == [kinds.count(k) for k in pii_bootstrap.KINDS]
+        assert set(filter(None, base.split(","))) <= set(row.spans.split(","))
+
+
 def test_contexts_discover_identifiers(spark):
     rows = [(k, f"x{k} please call number +1 (310) 555-{1000 + k} today thanks", "s") for k in range(30)]
     rows += [(100, "x please call number 310 555 9999 today thanks", "s"), (101, "some other figure 310 555 8888 stands here", "s"),

@@ -20,7 +20,7 @@ _EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 #: What an identifier that no pattern knows may look like: digits in groups, or text around an at.
 _NUMBER = r"(?<![0-9A-Za-z.@-])[(+]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z@])"
