@@ -298,6 +298,35 @@ def test_first_place_of_a_passage_stays(spark):
     assert got[2].text[span.start : span.end].strip() == passage
 
 
+def test_any_passage_of_51_words_is_found(spark):
+    rng = random.Random(11)
+
+    def words(n, tag, marks):
+        return [f"{tag}{rng.randrange(10**6)}" + rng.choice(["", "", "", "", "", ".", "!", ","] if marks else [""]) for _ in range(n)]
+
+    rows = []
+    for k in range(400):
+        passage = words(rng.choice([51, 60, 80]), "p", k % 2)
+        for doc in (2 * k, 2 * k + 1):
+            before, after = words(rng.randrange(60), "b", k % 2), words(rng.randrange(60), "a", k % 2)
+            rows.append((doc, " ".join(before + passage + after), "s"))
+    rows.append((9_000, " ".join(["same"] * 70), "s"))
+    rows.append((9_001, " ".join(["other", *["same"] * 60]), "s"))
+    texts = {doc: text for doc, text, _ in rows}
+    got = {r.doc_id: r for r in sentence_spans.remove_repeated_spans(docs(spark, rows)).collect()}
+    for doc in range(1, 800, 2):
+        first, own = texts[doc - 1].split(), texts[doc].split()
+        grams = {tuple(first[k : k + 12]) for k in range(len(first) - 11)}
+        shared = set()
+        for k in range(len(own) - 11):
+            shared.update(own[k : k + 12] if tuple(own[k : k + 12]) in grams else ())
+        gone = "".join(texts[doc][x.start : x.end] for x in got[doc].removed_spans).split()
+        assert len(shared) >= 51 and 12 <= len(gone) and set(gone) <= shared
+        assert len(shared) - len(gone) <= 4 * sentence_spans.GAP
+        assert got[doc - 1].n_removed == 0
+    assert got[9_001].n_removed > 0
+
+
 def test_marginals_by_all_labellings():
     rng = np.random.default_rng(7)
     emission, moves = rng.standard_normal((4, 5)), rng.standard_normal((2, 2))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -15,34 +16,46 @@ from tidewell.llm.storage import ship, stored
 
 #: A run has at least so many sentences and so many words.
 SENTENCES, WORDS = 2, 12
-#: Sentences of more words are cut after words whose hash is divisible by CUT.
-LONG, CUT = 20, 8
+#: Among so many words on end there is a cut: the end of a sentence or, where there is none, the
+#: word of least hash. That makes 4 * GAP + 10 words on end hold a run wherever they stand.
+GAP = 10
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _WORD = re.compile(r"\S+\s*")
 _RUNS = "doc long, runs array<long>"
 
 
+@lru_cache(1 << 16)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh32_intdigest(word.strip().lower().encode())
+
+
 def _pieces(sentence: str) -> Iterator[str]:
     """A sentence, or if it is long, its parts between content-defined cuts.
 
-    A cut depends on one word only, so a shared passage is cut alike wherever it stands.
+    Of any GAP words before the last, a cut follows the one of least hash, of equal ones the last.
+    Whether a word is cut after depends on fewer than GAP words on each side of it, so a shared
+    passage is cut alike wherever it stands, but for that many words at its edges.
     """
     words = _WORD.findall(sentence)
-    if len(words) <= LONG:
+    if len(words) <= GAP:
         yield sentence
         return
-    at = 0
+    hashed = [_word_hash(word) for word in words[:-1]]
     lead = len(sentence) - sum(map(len, words))
-    held = sentence[:lead]
-    for word in words:
-        held += word
-        at += 1
-        if xxhash.xxh32_intdigest(word.strip().lower().encode()) % CUT == 0:
-            yield held
-            held = ""
-    if held:
-        yield held
+    held, begin, least = sentence[:lead], 0, -1
+    for upto in range(GAP, len(words)):
+        low = upto - GAP
+        if least < low:
+            own = hashed[upto - 1 : low - 1 if low else None : -1]
+            new = upto - 1 - own.index(min(own))
+        elif hashed[upto - 1] <= hashed[least]:
+            new = upto - 1
+        else:
+            continue
+        yield held + "".join(words[begin : new + 1])
+        held, begin, least = "", new + 1, new
+    yield "".join(words[begin:])
 
 
 def sentences(text: str) -> list[str]:
@@ -50,7 +63,8 @@ def sentences(text: str) -> list[str]:
     out = []
     for found in _SENTENCE.findall(text):
         if found:
-            if len(found) > 2 * LONG:  # characters; shorter ones cannot have more than LONG words
+            # More than 2 * GAP characters, as shorter ones cannot have more than GAP words.
+            if len(found) > 2 * GAP and len(found.split()) > GAP:
                 out.extend(_pieces(found))
             else:
                 out.append(found)
@@ -144,7 +158,10 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     A run is the shortest stretch of whole sentences, two at least, with twelve words or more,
     from each sentence on. Of all places of a run in all texts, the first by (doc_id, position)
     stays; sentences covered by a run at any other place are removed, wherever the run's first
-    place is. A passage of over 50 words holds several runs.
+    place is. A sentence of over GAP words counts as several, between cuts that its words determine.
+    Any 4 * GAP + 10 words on end, 50, hold a run wherever they begin and end. What is removed of a
+    passage are whole pieces, so words at its edges, before its first common cut and after its
+    last run, may stay.
 
     Each text gives its different runs once; a later place in the same text is not the first
     whatever other texts hold. Over all texts a run is aggregated to the number of documents and
