@@ -358,6 +358,30 @@ def test_without_labels_nothing_is_toxic(spark, odd):
     assert toxic_crf.score(docs(spark, []), model).count() == 0
 
 
+def test_copies_of_a_toxic_text_hide_no_words(spark):
+    rng = random.Random(12)
+    plain, bad = [f"ordinary{k}" for k in range(300)], ["scumbag", "vermin", "filthy", "moronic"]
+
+    def text(toxic):
+        words = rng.choices(plain, k=40)
+        for word in rng.sample(bad, 2) if toxic else ():
+            words.insert(rng.randrange(len(words)), word)
+        return " ".join(words)
+
+    copied = " ".join(w for k in range(4) for w in [*rng.choices(plain, k=8), bad[k]])
+    rows = [(k, text(False), "s") for k in range(300)] + [(1_000 + k, text(True), "s") for k in range(90)]
+    rows += [(2_000 + k, copied, "s") for k in range(90)]
+    labels = spark.createDataFrame([(k, int(k >= 1_000)) for k, _, _ in rows], "doc_id long, toxic int")
+    model = toxic_crf.train(docs(spark, rows), labels)
+    got = toxic_crf.score(docs(spark, rows), model).where(toxic_crf.held_out(F.col("doc_id"))).collect()
+    texts = {doc: t for doc, t, _ in rows}
+    for row in got:
+        assert (row.score >= toxic_crf.THRESHOLD) == (row.doc_id >= 1_000)
+        if row.doc_id >= 1_000:
+            found = " ".join(texts[row.doc_id][x.start : x.end] for x in row.spans).split()
+            assert sorted(found) == sorted(w for w in texts[row.doc_id].split() if w in bad)
+
+
 def test_preferences_share_the_longest_prefix(spark):
     pair = "array<struct<role:string,text:string>>"
     rows = [

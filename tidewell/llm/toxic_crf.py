@@ -20,7 +20,7 @@ SAMPLE_DOCS, SAMPLE_CHAINS = 4_000, 6_000
 #: Units that mark toxic tokens: share of toxic documents that have one, how many times as
 #: frequent they are there as in the others, and their number at most.
 SUPPORT, LIFT, UNITS = 0.005, 20.0, 2_000
-#: Different neighbours that a unit needs for each toxic document that has it.
+#: Different neighbours that a unit needs for each different toxic text that has it.
 CONTEXTS = 0.7
 #: Tokens of a chain, hashed weights, steps of the fit.
 CHAIN, WEIGHTS, STEPS = 32, 1 << 18, 80
@@ -284,20 +284,29 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
 
     Labels are of documents. Words and beginnings of words that are far more frequent in toxic
     documents label the tokens of these; the field learns to tag such tokens by what they are and
-    what is next to them. The score is fitted on the marginals of whole documents. SAMPLE_DOCS
-    documents of each class, those of least hash, and SAMPLE_CHAINS chains of each kind bound what
-    is fitted on. Without documents of both classes the model gives every text score 0.
+    what is next to them. The score is fitted on the marginals of whole documents. Copies of a
+    text are one document, toxic if any of them is. SAMPLE_DOCS documents of each class, those of
+    least hash, and SAMPLE_CHAINS chains of each kind bound what is fitted on. Without documents
+    of both classes the model gives every text score 0.
     """
     ship(docs.sparkSession)
     labelled = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     labelled = labelled.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    # Copies of a text count once, with the least id.
+    distinct = stored(
+        rows.select("doc_id", "text_key").join(labelled, "doc_id")
+        .groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")),
+        "distinct",
+    )
     chosen = None
     for kind in (0, 1):
-        own = some_rows(labelled.where(F.col("toxic") == kind), SAMPLE_DOCS, "doc_id")
+        own = some_rows(distinct.where(F.col("toxic") == kind), SAMPLE_DOCS, "text_key")
         chosen = own if chosen is None else chosen.union(own)
-    # SAMPLE_DOCS rows of two numbers for each class: a proven bound.
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = stored(sample.join(F.broadcast(stored(chosen, "chosen")), "doc_id"), "sample")
+    # SAMPLE_DOCS rows of three numbers for each class: a proven bound.
+    sample = rows.join(F.broadcast(stored(chosen, "chosen")), ["doc_id", "text_key"]).dropDuplicates(["text_key"])
+    sample = stored(sample, "sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     nothing = Crf(np.zeros(WEIGHTS, np.float32), np.zeros((2, 2)))
     if not (n.get(0) and n.get(1)):
@@ -309,9 +318,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     often = (
         counted.where(F.col("toxic") >= least)
         .where(F.col("toxic") / n[1] >= LIFT * (F.col("clean") + 1) / n[0])
-        .orderBy(F.desc("toxic"), "unit").limit(UNITS).collect()
+        .orderBy(F.desc("toxic"), "unit").collect()
     )
-    # Copies of a toxic text repeat its ordinary words too, but always with the same neighbours.
+    # Near copies of a toxic text repeat its ordinary words too, but always with the same neighbours.
     apart = texts.where("toxic = 1").mapInPandas(
         _contexts(frozenset(r["unit"] for r in often)), "unit string, context long"
     )
@@ -320,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     marks = [
         r["unit"] for r in often
         if apart.get(r["unit"], 0) >= max(least, CONTEXTS * r["toxic"])
-    ]
+    ][:UNITS]
     if not marks:
         return nothing
     chains = stored(
