@@ -57,12 +57,16 @@ class ByteBpe:
         raw = {s: bytes([b]) for b, s in enumerate(byte_symbols())}
         special = {t["content"] for t in file["added_tokens"]}
         vocab = {t: k for t, k in file["model"]["vocab"].items() if t not in special}
-        ranks = {b"".join(map(raw.__getitem__, t)): k for t, k in vocab.items()}
-        self._fast = tiktoken.Encoding(path, pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = {b"".join(map(raw.__getitem__, t)): k for t, k in vocab.items()}
+        self._fast = tiktoken.Encoding(path, pat_str=_WORDS, mergeable_ranks=self.ranks, special_tokens={})
         self._library = Tokenizer.from_file(path)
         self._special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self._ids = _Remembered(self._encode)
 
+    def ordinary(self, text: str) -> list[int]:
+        """Ids of a text in which special tokens are plain text."""
+        return self._fast.encode_ordinary(text)
+
     def _encode(self, text: str) -> bytes:
         return array("I", self._fast.encode_ordinary(text)).tobytes()
 

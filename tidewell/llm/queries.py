@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import (
+    alignment,
     bpe,
     jaccard_join,
     line_quality,
@@ -123,6 +124,13 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths)
+
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 _PREFERENCE = """
