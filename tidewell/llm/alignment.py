@@ -231,10 +231,15 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 def _frame(**columns: list) -> pd.DataFrame:
     n = len(next(iter(columns.values())))
-    names = [part.split()[0] for part in _ALIGNED.split(", ")]
-    out = {name: columns.get(name, [None] * n) for name in names}
-    for name in ("row", "doc_id", "n_a", "n_b", "n_groups"):
-        out[name] = pd.array(out[name], dtype="Int64")
+    out = {}
+    for name, kind in map(str.split, _ALIGNED.split(", ")):
+        own = columns.get(name, [None] * n)
+        if kind == "long":
+            out[name] = pd.array(own, dtype="Int64")
+        else:  # arrays stay apart, also if all are of one length
+            out[name] = np.empty(n, object)
+            for k, x in enumerate(own):
+                out[name][k] = x
     return pd.DataFrame(out)
 
 
