@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from tidewell.llm.packing import byte_bpe
 from tidewell.llm.storage import ship, stored
 
 #: Chunks of text that a worker remembers; a full memory is dropped.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Code points of the texts that are aligned together.
 TOGETHER = 1_000_000
 #: The most frequent irregular groups, and pairs, that are sent to all tasks: at most so many.
@@ -76,45 +77,51 @@ class Aligner:
         self.same = np.array([by_bytes.get(own, -1) if own else -1 for own in self.a_bytes], np.int64)
         self._a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self._b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self._a_text = [f"{k}{end}" for end in ",|" for k in range(len(self.a_bytes))]
-        self._b_text = [f"{k}{end}" for end in ",;" for k in range(n)]
+        a_text = [f"{k}{end}" for end in ",|" for k in range(len(self.a_bytes))]
+        b_text = [f"{k}{end}" for end in (",", ";", "\n") for k in range(n)]
+        self._texts = a_text + b_text
         self.forget()
 
     def forget(self) -> None:
-        self._code: dict[str, int] = {}
+        self._code: dict[str, int] = {}  # -1 where the bytes differ
         self._text: list[str] = []  # the groups of each chunk as text
-        self._counts: list[np.ndarray] = []  # tokens of A, of B, groups, single groups, others; -1 if bytes differ
-        self._single: list[np.ndarray] = []
-        self._keys: list[np.ndarray] = []
+        self._counts = np.empty((0, 5), np.int64)  # tokens of A, of B, groups, single groups, others
+        self._single, self._keys = np.empty(0, np.int32), np.empty(0, np.int64)  # chunk after chunk
         self._pairs: dict[int, np.ndarray] = {}
-        self._flat: tuple[np.ndarray, ...] | None = None
 
     def chunks(self, text: str) -> list[str]:
         return _CHUNK.findall(" " + text) if self._chunked else [" " + text]
 
-    def _ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [self._a.ordinary(c) for c in chunks]
-        b = self._b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        return a, [
-            ids[1:] if c[0] != " " else ids if len(c) > 1 else [self._lone] for c, ids in zip(chunks, b, strict=True)
-        ]
+    def _ids(self, chunks: list[str], raw: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Chunks whose bytes both give, the ids of A and B one after the other, and their numbers."""
+        # A cuts before white space that follows a character, so one call does for all such chunks.
+        joined = [k for k, c in enumerate(chunks) if not c[-1].isspace()]
+        apart = [k for k, c in enumerate(chunks) if c[-1].isspace()]
+        a = [self._a.ordinary("".join(chunks[k] for k in joined)), *(self._a.ordinary(chunks[k]) for k in apart)]
+        chunks, raw = [chunks[k] for k in joined + apart], [raw[k] for k in joined + apart]
+        a = np.fromiter(chain.from_iterable(a), np.int64)
+        size = np.array([*map(len, raw)], np.int64)
+        n_a = np.diff(np.searchsorted(np.cumsum(self._a_size[a]), np.cumsum(size), "right"), prepend=0)
+        b_ids = self._b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        b_ids = [ids[1:] if c[0] != " " else ids if len(c) > 1 else [self._lone] for c, ids in zip(chunks, b_ids, strict=True)]
+        n_b = np.array([*map(len, b_ids)], np.int64)
+        b = np.fromiter(chain.from_iterable(b_ids), np.int64)
+        own = np.bincount(np.repeat(np.arange(len(chunks)), n_b), self._b_size[b], len(chunks))
+        if (own == size).all() and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == b"".join(raw):
+            return chunks, a, b, n_a, n_b
+        ok = np.array([b"".join(map(self.b_bytes.__getitem__, ids)) == r for ids, r in zip(b_ids, raw, strict=True)])
+        for k in np.flatnonzero(~ok).tolist():
+            self._code[chunks[k]] = -1
+        chunks = [chunks[k] for k in np.flatnonzero(ok).tolist()]
+        return chunks, a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)], n_a[ok], n_b[ok]
 
     def _learn(self, chunks: list[str]) -> None:
         """Align chunks not met before."""
-        a_ids, b_ids = self._ids(chunks)
-        sound = []
-        for c, a, b in zip(chunks, a_ids, b_ids, strict=True):
-            raw = c.encode()
-            sound.append(
-                b"".join(map(self.a_bytes.__getitem__, a)) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
-            )
-        kept = [k for k, ok in enumerate(sound) if ok]
-        n_a = np.array([len(a_ids[k]) for k in kept], np.int64)
-        n_b = np.array([len(b_ids[k]) for k in kept], np.int64)
-        a = np.array([x for k in kept for x in a_ids[k]], np.int64)
-        b = np.array([x for k in kept for x in b_ids[k]], np.int64)
+        chunks, a, b, n_a, n_b = self._ids(chunks, [c.encode() for c in chunks])
+        if not chunks:
+            return
         a_end, b_end = np.cumsum(self._a_size[a]), np.cumsum(self._b_size[b])
-        total = int(a_end[-1]) if len(a) else 0
+        total = int(a_end[-1])
         at_a, at_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
         at_a[a_end], at_b[b_end] = True, True
         # A token's group is the number of common ends before it.
@@ -128,8 +135,10 @@ class Aligner:
         # Text: of each group the ids of A, then those of B.
         order = np.empty(len(a) + len(b), np.int64)
         order[np.arange(len(a)) + b_first[a_group]] = a + len(self.a_bytes) * a_last
-        order[np.arange(len(b)) + (a_first + a_in)[b_group]] = 2 * len(self.a_bytes) + b + len(self.b_bytes) * b_last
-        words = [*map((self._a_text + self._b_text).__getitem__, order.tolist())]
+        end = 2 * len(self.a_bytes) + len(self.b_bytes) * b_last
+        end[np.cumsum(n_b) - 1] += len(self.b_bytes)
+        order[np.arange(len(b)) + (a_first + a_in)[b_group]] = b + end
+        text = "".join(map(self._texts.__getitem__, order.tolist())).split("\n")
         # Links: at every end of a token, the two tokens that lie before it.
         ends = np.flatnonzero(at_a | at_b)
         link_a, link_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
@@ -138,35 +147,19 @@ class Aligner:
         link_first = np.cumsum(links) - links
         place = np.arange(len(pair)) - link_first[link_group]
         hashed = _mixed(_mixed(pair.astype(np.uint64)) + place.astype(np.uint64) * _MIX[0])
-        key = np.add.reduceat(hashed, link_first) if groups else hashed
-        key = _mixed(key).view(np.int64)
-        # What each chunk holds.
-        owner = np.repeat(np.arange(len(kept)), n_a)
-        of_chunk = owner[a_first] if groups else np.empty(0, np.int64)
-        n_groups = np.bincount(of_chunk, minlength=len(kept))
-        n_one = np.bincount(of_chunk[one], minlength=len(kept))
-        single = np.split(a[a_first[one]].astype(np.int32), np.cumsum(n_one)[:-1])
-        others = np.split(key[~one], np.cumsum(n_groups - n_one)[:-1])
-        for g in np.flatnonzero(~one).tolist():
-            k = int(key[g])
-            if k not in self._pairs:
+        key = _mixed(np.add.reduceat(hashed, link_first)).view(np.int64)
+        for k, g in zip(*(x.tolist() for x in np.unique(np.where(one, 0, key), return_index=True)), strict=True):
+            if not one[g] and k not in self._pairs:
                 self._pairs[k] = pair[link_first[g] : link_first[g] + links[g]].copy()
-        upto = np.cumsum(n_a + n_b)
-        at = dict(zip(kept, range(len(kept)), strict=True))
-        for k, c in enumerate(chunks):
-            self._code[c] = len(self._text)
-            if k not in at:
-                self._text.append("")
-                self._counts.append((-1, 0, 0, 0, 0))
-                self._single.append(np.empty(0, np.int32))
-                self._keys.append(np.empty(0, np.int64))
-                continue
-            i = at[k]
-            self._text.append("".join(words[upto[i] - n_a[i] - n_b[i] : upto[i]]))
-            self._counts.append((n_a[i], n_b[i], n_groups[i], n_one[i], n_groups[i] - n_one[i]))
-            self._single.append(single[i])
-            self._keys.append(others[i])
-        self._flat = None
+        # What each chunk holds.
+        of_chunk = np.repeat(np.arange(len(chunks)), n_a)[a_first]
+        n_groups = np.bincount(of_chunk, minlength=len(chunks))
+        n_one = np.bincount(of_chunk[one], minlength=len(chunks))
+        self._code.update(zip(chunks, range(len(self._text), len(self._text) + len(chunks)), strict=True))
+        self._text += text[:-1]
+        self._counts = np.concatenate([self._counts, np.stack([n_a, n_b, n_groups, n_one, n_groups - n_one], axis=1)])
+        self._single = np.concatenate([self._single, a[a_first[one]].astype(np.int32)])
+        self._keys = np.concatenate([self._keys, key[~one]])
 
     def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, digest, single ids, their numbers, keys, their numbers) for each text.
@@ -177,24 +170,17 @@ class Aligner:
         new = {c for own in split for c in own if c not in self._code}
         if new:
             self._learn(list(new))
-        if self._flat is None:
-            self._flat = (
-                np.array(self._counts, np.int64).reshape(-1, 5),
-                np.concatenate([*self._single, np.empty(0, np.int32)]),
-                np.concatenate([*self._keys, np.empty(0, np.int64)]),
-            )
-        counts, single, keys = self._flat
+        counts, single, keys = self._counts, self._single, self._keys
         first = np.cumsum(counts[:, 3:], axis=0) - counts[:, 3:]
         vector = np.zeros(len(self.a_bytes), np.int64)
         seen_keys, out = [], []
         get = self._code.__getitem__
         for own in split:
             codes = np.fromiter(map(get, own), np.int64, len(own))
-            mine = counts[codes]
-            if not len(own) or (mine[:, 0] < 0).any():
+            if not len(own) or codes.min() < 0:
                 out.append((0, 0, 0, "", [], [], [], []))
                 continue
-            digest = hashlib.sha256("".join(map(self._text.__getitem__, codes.tolist()))[:-1].encode()).hexdigest()
+            digest = hashlib.sha256(";".join(map(self._text.__getitem__, codes.tolist())).encode()).hexdigest()
             code, times = np.unique(codes, return_counts=True)
             held = counts[code]
             ids = single[_spread(first[code, 0], held[:, 3])]
@@ -203,7 +189,7 @@ class Aligner:
             own_keys = keys[_spread(first[code, 1], held[:, 4])]
             own_keys, n_keys = _summed(own_keys, np.repeat(times, held[:, 4]))
             seen_keys.append((own_keys, n_keys))
-            out.append((*mine[:, :3].sum(axis=0).tolist(), digest, ids, n_ids, own_keys, n_keys))
+            out.append((*(times @ held[:, :3]).tolist(), digest, ids, n_ids, own_keys, n_keys))
         if seen_keys:
             seen, n_seen = _summed(*map(np.concatenate, zip(*seen_keys, strict=True)))
         else:
