@@ -17,6 +17,7 @@ from tidewell.llm import (
     pii_bootstrap,
     preference,
     sentence_spans,
+    spelling,
     toxic_crf,
     vector_forest,
     warc,
@@ -124,6 +125,12 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent word that each is a variant of."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers in every document."""
