@@ -12,6 +12,7 @@ from tidewell.llm import (
     alignment,
     bpe,
     jaccard_join,
+    license_scan,
     line_quality,
     packing,
     pii_bootstrap,
@@ -138,6 +139,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents"), *paths)
 
 
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 _PREFERENCE = """
@@ -262,10 +269,85 @@ select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id as ke
 from v join least_id on least_id.a = rid left join counted on counted.a = rid
 """
 
+_LETTERS = "[A-Za-z\u00c0-\u00ff]+"
+_SMALL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# A checksum is folded over the bytes of a run; the table of a byte's remainders comes from its polynomial.
+_SPELLING = f"""
+with recursive remainder as (
+  select list(list_reduce(list_prepend(b, range(8)), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end) order by b) t
+  from (select unnest(range(256)) b)
+), runs as (
+  select doc_id, unnest(regexp_extract_all({_SMALL.format("coalesce(text, '')")}, '{_LETTERS}')) run from documents
+), counted as (select coalesce(doc_id::varchar, '') || ':' || run as named, run, count(*) n from runs group by all),
+codes as (
+  select run, n, list_prepend(4294967295::bigint, flatten(list_transform(string_split(named, ''), lambda c:
+    case when unicode(c) < 128 then [unicode(c)::bigint] else [(192 + unicode(c) // 64)::bigint, (128 + unicode(c) % 64)::bigint] end))) b
+  from counted
+), summed as (
+  select run, n, xor(list_reduce(b, lambda x, y: xor(x // 256, t[xor(x % 256, y) + 1])), 4294967295) h from codes, remainder
+), cut as (
+  select case when h % {spelling.DROPPED} <> 0 then run
+    else substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) end word, n from summed
+), words as (
+  select word, sum(n)::bigint n from cut where length(word) >= {spelling.LENGTH} group by word having sum(n) >= {spelling.OCCURRENCES}
+), less as (
+  select word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) x from (select *, unnest(range(1, length(word) + 1)) k from words)
+), near as (
+  select a.word, b.word near, b.n near_n from less a join less b on a.x = b.x and a.k = b.k and a.word <> b.word
+  union select l.word, w.word, w.n from less l join words w on l.x = w.word
+  union select w.word, l.word, l.n from less l join words w on l.x = w.word
+), best as (
+  select word, count(*) n_near, arg_min(near, (-near_n, near)) near, max(near_n) near_n from near group by word
+), forms as (
+  select words.word, n, coalesce(n_near, 0) n_near, case when near_n >= {spelling.TIMES} * n then near end form,
+    case when near_n >= {spelling.TIMES} * n then near_n end form_n
+  from words left join best using (word)
+), way(word, root) as (
+  select word, word from forms union select way.word, forms.form from way join forms on forms.word = way.root where form is not null
+), ends as (select way.word, root from way join forms on forms.word = way.root where form is null)
+select word, form, root, n, n_near, form_n from forms join ends using (word)
+"""
+
+_PLACES = ", ".join(
+    f"list_filter(range(0, len(w) - {len(words) - 1}), lambda i: w[i + 1:i + {len(words)}] = {words}) as p{k}"
+    for k, words in enumerate(phrase.split() for phrase in license_scan.PHRASES.values())
+)
+_SCAN = rf"""
+with d as (
+  select row_number() over () rid, doc_id,
+    regexp_extract_all({_SMALL.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents
+), placed as (select rid, doc_id, len(w)::bigint n_words, {_PLACES} from d),
+notices(id, label, words) as (
+  values {", ".join(f"({k}, '{label}', {text.split()})" for k, (label, text) in enumerate(license_scan.TEMPLATES))}
+), wanted as (
+  select distinct id, label, words[i] || ' ' || words[i + 1] as x from (select *, unnest(range(1, len(words))) i from notices)
+), sized as (select id, label, count(*) size from wanted group by all),
+pairs as (
+  select rid, i - 1 as place, w[i] || ' ' || w[i + 1] as x from (select rid, w, unnest(range(1, len(w))) i from d)
+), held as (
+  select distinct rid, place // {license_scan.STEP} - back as block, x from pairs, (values (0), (1)) v(back)
+  where x in (select x from wanted) and place // {license_scan.STEP} >= back
+), shares as (
+  select rid, label, count(*) / size as share from held join wanted using (x) join sized using (id, label)
+  group by rid, block, id, label, size having count(*) >= ceil({license_scan.THRESHOLD} * size - 1e-9)
+), found as (select rid, list(distinct label) more, max(share) most from shares group by rid),
+based as (
+  select *, list_filter([{", ".join(f"case when len(p{k}) > 0 then '{label}' end" for k, label in enumerate(license_scan.PHRASES))}],
+    lambda x: x is not null) base, flatten([{", ".join(f"p{k}" for k in range(len(license_scan.PHRASES)))}]) p from placed
+)
+select doc_id, n_words, len(p)::bigint n_base, list_min(p) first_word, list_max(p) last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ','), '') as labels,
+  case when len(p) > 0 then 1.0::double else coalesce(most, 0) end score
+from based left join found using (rid)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_preference_formatting": _PREFERENCE.format(turn=_TURN, chosen=_mask("c"), rejected=_mask("r")),
     "op4_ngram_jaccard_join": _JACCARD,
     "op5_warc_round_trip": _WARC,
     "op6_line_frequency_rules": _QUALITY,
     "op10_projection_forest": _VECTORS,
+    "op11_spelling_variants": _SPELLING,
+    "op13_license_scan": _SCAN,
 }
