@@ -13,9 +13,10 @@ from tidewell.llm.storage import stored
 #: Share of a template's tokens that a block has to hold.
 THRESHOLD = 0.8
 
-# What separates words, the phrases of the base, and the wording of notices.
+# What separates words, the phrases of the base, and the wording of notices. Letters are
+# all other characters once A-Z are lower-cased; Java is ten times slower on a class that negates.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
-_LETTER = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_LETTER = r"[0-9a-z\x80-\x{10FFFF}]"
 PHRASES = {
     "mit": "under the mit license",
     "apache-2": "apache license version 2",
