@@ -61,7 +61,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(total) > COUNTED:
                 yield out()
                 total.clear()
-    yield out()
+    if total:
+        yield out()
 
 
 def words(docs: DataFrame) -> DataFrame:
@@ -87,7 +88,8 @@ def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(total) > COUNTED:
                 yield pd.DataFrame({"gram": [*total], "n": [*total.values()]})
                 total.clear()
-    yield pd.DataFrame({"gram": [*total], "n": [*total.values()]})
+    if total:
+        yield pd.DataFrame({"gram": [*total], "n": [*total.values()]})
 
 
 def dictionary(found: DataFrame) -> dict[str, int]:
@@ -155,7 +157,8 @@ def _posted(grams):
                 if free:
                     less = {word, *(word[:k] + word[k + 1 :] for k in free)}
                     rows.extend((key(b"w", x), word, n, -1, 0) for x in less)
-            yield pd.DataFrame(rows, columns=["key", "word", "n", "place", "size"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "word", "n", "place", "size"])
 
     return run
 
@@ -186,7 +189,7 @@ def _together(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _compared(words_: list[str]):
     """A function that says which pairs of rows are one edit apart."""
-    size = np.array([*map(len, words_)])
+    size = np.array([*map(len, words_)], np.int64)
     short = np.where(size <= WIDE, size, 0)
     wide = int(short.max(initial=1)) or 1
     raw = [w.encode("latin-1") if len(w) <= WIDE else b"" for w in words_]
@@ -245,9 +248,11 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         last = rows["key"].to_numpy() == rows["key"].iloc[-1] if len(rows) else np.empty(0, bool)
         held = rows[last]
-        yield _merged(rows[~last])
-    if held is not None:
-        yield _merged(held)
+        found = _merged(rows[~last])
+        if len(found):
+            yield found
+    if held is not None and len(found := _merged(held)):
+        yield found
 
 
 def near_words(found: DataFrame) -> DataFrame:
