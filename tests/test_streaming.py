@@ -58,7 +58,7 @@ def test_game_on_two_pages_keeps_the_later_one(spark, landing):
     land(landing, 0, [1, 2])
     land(landing, 1, [2], ccu=77)
     catalog = pages.current_catalog(load(spark, landing))
-    assert sorted((r.appid, r.concurrent_users) for r in catalog.collect()) == [(1, 1013936), (2, 77)]
+    assert sorted((r.appid, r.concurrent_users) for r in catalog.collect()) == [(1, GAMES[0][-1]), (2, 77)]
 
 
 def test_second_run_replaces_rows_of_the_first(spark, landing):
@@ -69,7 +69,7 @@ def test_second_run_replaces_rows_of_the_first(spark, landing):
     assert log(stored) == [(1, 0, 2), (2, 0, 2)]
     catalog = pages.current_catalog(stored)
     assert sorted((r.appid, r.concurrent_users) for r in catalog.collect()) == [
-        (1, 1013936),
+        (1, GAMES[0][-1]),
         (2, 5),
         (3, 5),
     ]

@@ -113,6 +113,15 @@ def export(spark: SparkSession, root: str, target: str, keep: int = 14) -> str:
     return name
 
 
+def prune(spark: SparkSession, root: str, keep: int = 14) -> list[str]:
+    """Keep the newest releases, marts and results of the working folder; returns the releases that went."""
+    old = releases.prune_releases(spark, _tables(root), keep)
+    for folder in (f"{root}/marts", f"{root}/results"):
+        for name in paths.children(spark, folder)[:-keep]:
+            paths.delete(spark, f"{folder}/{name}")
+    return old
+
+
 def restore(
     spark: SparkSession, root: str, now: datetime, source: str, name: str | None = None
 ) -> None:
@@ -140,6 +149,8 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("export", help=export.__doc__)
     job.add_argument("--target", required=True)
     job.add_argument("--keep", type=int, default=14)
+    job = jobs.add_parser("prune", help=prune.__doc__)
+    job.add_argument("--keep", type=int, default=14)
     job = jobs.add_parser("restore", help=restore.__doc__)
     job.add_argument("--source", required=True)
     job.add_argument("--name")
@@ -151,6 +162,8 @@ def main(argv: list[str] | None = None) -> None:
     now = args.pop("now") or spark.sql("select localtimestamp()").first()[0]
     if name == "export":
         print(export(spark, root, **args))
+    elif name == "prune":
+        print(*prune(spark, root, **{k: v for k, v in args.items() if k == "keep"}))
     elif name == "report":
         for row in report(spark, root, now).toLocalIterator():
             print(row["warning"])

@@ -27,12 +27,19 @@ def upsert(
     small by Spark's own measure is broadcast and then the base is not shuffled at
     all; otherwise each side is shuffled once by key.
     """
-    if seq:
-        batch = last_per_group(batch, keys, seq)
-    else:
-        batch = _once(batch, keys)
+    batch = one_per_key(batch, keys, seq)
     if load_ts is not None:
         batch = batch.withColumn(stamp, load_ts)
+    return replace_keys(base, batch, keys)
+
+
+def one_per_key(batch: DataFrame, keys: Sequence[str], seq: Sequence[str] = ()) -> DataFrame:
+    """The last row of each key by ``seq``; without it a repeated key fails the job."""
+    return last_per_group(batch, keys, seq) if seq else _once(batch, keys)
+
+
+def replace_keys(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``base`` with the rows of ``batch``, one per key, in place of its own."""
     batch = batch.select(*base.columns)
     kept = base.join(batch.select(*keys).distinct(), list(keys), "left_anti")
     return kept.unionByName(batch)

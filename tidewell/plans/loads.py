@@ -5,7 +5,7 @@ Functions take the current raw tables by name and return the tables they changed
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidewell.operators.history import snapshot_step
 from tidewell.operators.ledger import PAGE_SIZE, page_log, run_ledger
-from tidewell.operators.upsert import upsert
+from tidewell.operators.upsert import one_per_key, replace_keys
 from tidewell.schemas import RAW_TABLES, conform
 from tidewell.session import reusable
 from tidewell.sources import landed, releases
@@ -27,6 +27,22 @@ SNAPSHOTS: dict[str, tuple[str, dict]] = {
 }
 
 
+class Changes(dict):
+    """Changed tables by name, with the rows that changed them where these replace by key.
+
+    A table with a batch need not be written whole: the buckets of the batch's keys are enough.
+    """
+
+    def __init__(self, tables: Tables = (), batches: Mapping[str, DataFrame] = ()):  # type: ignore[assignment]
+        super().__init__(tables)
+        self.batches = {**getattr(tables, "batches", {}), **dict(batches)}
+
+    def __or__(self, other: Tables) -> Changes:
+        return Changes({**self, **other}, {**self.batches, **getattr(other, "batches", {})})
+
+    __ior__ = __or__
+
+
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """Raw tables and histories before the first load."""
     out = {name: spark.createDataFrame([], spec.schema()) for name, spec in RAW_TABLES.items()}
@@ -42,12 +58,29 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return out
 
 
+def _batch(name: str, rows: DataFrame, load_ts: Column | None, seq: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key, checked and stamped, with the declared columns of the raw table."""
+    spec = RAW_TABLES[name]
+    must = list(dict.fromkeys([*spec.keys, *spec.required]))
+    batch = one_per_key(_filled(rows, name, must), spec.keys, seq)
+    return conform(batch if load_ts is None else batch.withColumn("loaded_at", load_ts), name)
+
+
 def _load(
     tables: Tables, name: str, rows: DataFrame, load_ts: Column | None, seq: tuple[str, ...] = ()
 ) -> DataFrame:
-    base, spec = conform(tables[name], name), RAW_TABLES[name]
-    must = list(dict.fromkeys([*spec.keys, *spec.required]))
-    return upsert(base, _filled(rows, name, must), spec.keys, seq, load_ts, stamp="loaded_at")
+    return replace_keys(conform(tables[name], name), _batch(name, rows, load_ts, seq), RAW_TABLES[name].keys)
+
+
+def _changes(
+    tables: Tables, load_ts: Column | None, rows: Mapping[str, tuple[DataFrame, tuple[str, ...]]]
+) -> Changes:
+    batches = {name: _batch(name, own, load_ts, seq) for name, (own, seq) in rows.items()}
+    whole = {
+        name: replace_keys(conform(tables[name], name), batch, RAW_TABLES[name].keys)
+        for name, batch in batches.items()
+    }
+    return Changes(whole, batches)
 
 
 def _filled(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
@@ -58,20 +91,20 @@ def _filled(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
     return rows
 
 
-def load_top_list(tables: Tables, documents: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
+def load_top_list(tables: Tables, documents: DataFrame, load_ts: Column) -> Changes:
     rows = landed.game_rows(documents, keep=["file"])
-    return {"games": _load(tables, "games", rows, load_ts, ("file", "seq"))}
+    return _changes(tables, load_ts, {"games": (rows, ("file", "seq"))})
 
 
 def load_profiles(
     tables: Tables, documents: DataFrame, self_id: str | None, load_ts: Column
-) -> dict[str, DataFrame]:
+) -> Changes:
     """A profile that comes again, in the same or a later file by name, keeps its last row."""
     rows = landed.player_rows(documents, self_id, position=["file"])
-    return {"friends": _load(tables, "friends", rows, load_ts, ("file", "seq"))}
+    return _changes(tables, load_ts, {"friends": (rows, ("file", "seq"))})
 
 
-def load_libraries(tables: Tables, libraries: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
+def load_libraries(tables: Tables, libraries: DataFrame, load_ts: Column) -> Changes:
     """Status, owned and recent games of all players, sharing one stamp.
 
     Of rows with the same key the last one in reading order stays.
@@ -80,16 +113,19 @@ def load_libraries(tables: Tables, libraries: DataFrame, load_ts: Column) -> dic
     status = landed.library_status(libraries, position=at)
     owned = landed.owned_game_rows(libraries, position=at)
     recent = landed.recent_game_rows(libraries, position=at)
-    return {
-        "player_library_status": _load(tables, "player_library_status", status, load_ts, at),
-        "player_owned_games": _load(tables, "player_owned_games", owned, load_ts, (*at, "seq")),
-        "player_recent_games": _load(tables, "player_recent_games", recent, load_ts, (*at, "seq")),
-    }
+    return _changes(
+        tables, load_ts,
+        {
+            "player_library_status": (status, at),
+            "player_owned_games": (owned, (*at, "seq")),
+            "player_recent_games": (recent, (*at, "seq")),
+        },
+    )
 
 
 def load_catalog(
     tables: Tables, stored: DataFrame, finished_at: Column, page_size: int = PAGE_SIZE
-) -> dict[str, DataFrame]:
+) -> Changes:
     """Fold the page store of the stream into the catalogue and the run ledger.
 
     Only pages of open runs are read: finished ones were folded in before. A page of a run that
@@ -103,26 +139,65 @@ def load_catalog(
         raise ValueError(f"pages of run {first['run_id']} have landed, which the ledger does not have")
     fresh = stored.join(runs.filter("finished_at is null").select("run_id"), "run_id", "left_semi")
     games = fresh.filter(F.col("appid").isNotNull())
-    return {
-        "games_catalog": _load(tables, "games_catalog", games, None, ("run_id", "page", "seq")),
-        "catalog_runs": run_ledger(runs, page_log(fresh, "appid"), finished_at, page_size),
-    }
+    ledger = run_ledger(runs, page_log(fresh, "appid"), finished_at, page_size)
+    return _changes(tables, None, {"games_catalog": (games, ("run_id", "page", "seq"))}) | {"catalog_runs": ledger}
 
 
-def take_snapshots(
-    tables: Tables, taken_at: Column, sources: Collection[str] = tuple(RAW_TABLES)
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Open versions of the histories of ``sources``, and those that this snapshot closed."""
-    still_open, closed = {}, {}
-    for name, (source, strategy) in SNAPSHOTS.items():
-        if source in sources:
-            extra = {"taken_at": taken_at} if "check" in strategy else {}
-            open_before, keys = tables[f"{name}_open"], RAW_TABLES[source].keys
-            step = snapshot_step(open_before, tables[source], keys, **strategy, **extra)
-            step = reusable(step)
-            still_open[f"{name}_open"] = step.filter("valid_to is null")
-            closed[f"{name}_closed"] = step.filter("valid_to is not null")
-    return still_open, closed
+def _write_raw(
+    draft: releases.Draft, tables: Tables, changed: Tables, name: str
+) -> tuple[DataFrame, list[int] | None, int]:
+    """The table's changed buckets as written, their numbers (None: all of them), and how many it has.
+
+    A table gets twice the buckets, and is written whole, when its rows have outgrown them; between
+    two such times only the buckets that the batch has keys of are read and written.
+    """
+    spark, root, spec = draft.spark, draft.root, RAW_TABLES[name]
+    batch = getattr(changed, "batches", {}).get(name)
+    if batch is None:
+        return draft.write(name, changed[name]), None, 0
+    # The load is evaluated once: what follows reads the rows it came to.
+    staged = draft.stage(name, batch)
+    buckets, held = releases.bucketing(spark, root, name)
+    most = held + staged.count()
+    if buckets is None or most > 2 * buckets * releases.BUCKET_ROWS:
+        buckets = max(buckets or 1, releases.buckets_for(most))
+        base = conform(tables[name], name)
+        return draft.write_buckets(name, replace_keys(base, staged, spec.keys), spec.keys, buckets, whole=True), None, buckets
+    number = releases.bucket_of(spec.keys, buckets) if buckets > 1 else F.lit(0)
+    hit = sorted(r[0] for r in staged.select(number.alias("b")).distinct().collect())  # at most all buckets
+    if not hit:
+        return staged, [], buckets
+    base = releases.read_buckets(spark, root, name, hit, tables[name].schema)
+    rows = replace_keys(conform(base, name), staged, spec.keys)
+    return draft.write_buckets(name, rows, spec.keys, buckets, whole=False), hit, buckets
+
+
+def _write_snapshot(
+    draft: releases.Draft, tables: Tables, name: str, source: DataFrame, hit: list[int] | None, buckets: int, taken_at: Column
+) -> None:
+    """Open versions of the changed buckets, and rows for the versions that this snapshot closed."""
+    spark, root = draft.spark, draft.root
+    raw, strategy = SNAPSHOTS[name]
+    keys = RAW_TABLES[raw].keys
+    extra = {"taken_at": taken_at} if "check" in strategy else {}
+    table = f"{name}_open"
+    if hit == []:
+        return
+    whole = hit is None or releases.bucketing(spark, root, table)[0] != buckets
+    before = tables[table]
+    if whole and hit is not None:  # the open versions are in other buckets: read the source whole too
+        number = releases.bucket_of(keys, buckets) if buckets > 1 else F.lit(0)
+        rest = conform(tables[raw], raw).where(~number.isin(*hit))
+        source = source.unionByName(rest)
+    elif not whole:
+        before = releases.read_buckets(spark, root, table, hit, before.schema)
+    step = reusable(snapshot_step(before, source, keys, **strategy, **extra))
+    still_open, closed = step.filter("valid_to is null"), step.filter("valid_to is not null")
+    if buckets:
+        draft.write_buckets(table, still_open, keys, buckets, whole)
+    else:
+        draft.write(table, still_open)
+    draft.write(f"{name}_closed", closed, releases.MORE)
 
 
 def with_histories(tables: Tables) -> dict[str, DataFrame]:
@@ -149,13 +224,19 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Publish the changed raw tables with their snapshots as one release.
 
-    Tables that did not change are referred to. Of the histories only the open versions are
-    rewritten, closed ones are appended. ``parent`` is the release that ``changed`` was made
+    Tables that did not change are referred to. Of a table that was loaded by key only the buckets of
+    those keys are written anew, and the snapshot compares what was written in them with the open
+    versions of the same buckets; closed versions are appended. ``parent`` is the release that ``changed`` was made
     from; if it is no longer the newest one, nothing is published.
     """
-    tables = {**current_tables(spark, root), **changed}
-    still_open, closed = take_snapshots(tables, taken_at, changed)
-    releases.write_release({**changed, **still_open}, root, name, appended=closed, parent=parent)
+    draft = releases.Draft(spark, root, name, parent)
+    tables = current_tables(spark, root)
+    for table in changed:
+        rows, hit, buckets = _write_raw(draft, tables, changed, table)
+        for history, (source, _) in SNAPSHOTS.items():
+            if source == table:
+                _write_snapshot(draft, tables, history, rows, hit, buckets, taken_at)
+    draft.publish()
     return current_tables(spark, root)
 
 

@@ -36,6 +36,12 @@ def move_new(spark: SparkSession, folder: str, target: str) -> bool:
     return True
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder in ascending order; none if there is no such folder."""
+    fs, hadoop = _resolve(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop = _resolve(spark, path)
     fs.delete(hadoop, True)
