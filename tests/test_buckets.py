@@ -71,7 +71,7 @@ def test_loads_write_their_buckets_and_histories_equal_the_full_step(spark, tmp_
         names = ["appid", "playtime_forever", "valid_from", "valid_to"]
         assert rows(found["player_games_snapshot_open"].select(*names)) == rows(open_.select(*names))
         assert rows(found["player_games_snapshot_closed"].select(*names)) == sorted(((r.appid, r.playtime_forever, r.valid_from, r.valid_to) for r in closed), key=repr)
-        sizes.append(releases.bucketing(spark, root, "player_owned_games")[0])
+        sizes.append(releases.Draft(spark, root, "x").bucketing("player_owned_games")[0])
 
     assert sizes == sorted(sizes) and sizes[-1] > sizes[0]
     last = written(spark, root, "r5")
@@ -85,9 +85,9 @@ def test_few_keys_read_only_their_buckets(spark, tmp_path, small):
     root = str(tmp_path)
     every = {k: 1 for k in range(640)}
     loads.load_and_publish(spark, root, "r0", owned(spark, every, stamp(0)), stamp(0))
-    buckets = releases.bucketing(spark, root, "player_owned_games")[0]
+    buckets = releases.Draft(spark, root, "x").bucketing("player_owned_games")[0]
     assert buckets == 32
-    base = releases.read_buckets(spark, root, "player_owned_games", [3], RAW_TABLES["player_owned_games"].schema())
+    base = releases.Draft(spark, root, "x").read_buckets("player_owned_games", [3], RAW_TABLES["player_owned_games"].schema())
     assert {p.rsplit("bucket=", 1)[1].split("/")[0] for p in base.inputFiles()} == {"3"}
     number = releases.bucket_of(KEYS, buckets)
     assert base.select(number.alias("b")).distinct().collect() == [(3,)]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import ledger, quality
 from tidewell.plans import checks, loads
+from tidewell.plans import daily as daily_marts
 from tidewell.plans.models import materialize
 from tidewell.session import session
 from tidewell.sources import landed, paths, releases
@@ -24,6 +25,12 @@ def _name(when: datetime) -> str:
     return when.strftime("%Y-%m-%d_%H%M%S")
 
 
+def _state_name(spark: SparkSession, root: str, when: datetime) -> str:
+    """A name after that of the newest state, which a build of the same or an earlier time may follow."""
+    newest = (releases.release_names(spark, f"{root}/state") or [""])[-1]
+    return _name(when) if _name(when) > newest else f"{newest}+"
+
+
 def _tables(root: str) -> str:
     return f"{root}/tables"
 
@@ -88,7 +95,8 @@ def start_run(spark: SparkSession, root: str, now: datetime) -> tuple[int, int,
 def build(spark: SparkSession, root: str, now: datetime, **thresholds: float) -> None:
     """Store the marts, run every check, and fail if one of severity error found rows."""
     tables = loads.with_histories(loads.current_tables(spark, _tables(root)))
-    models = materialize(spark, tables, f"{root}/marts/{_name(now)}")
+    kept = daily_marts.update(spark, f"{root}/state", _state_name(spark, root, now), tables["games_snapshot"])
+    models = materialize(spark, tables, f"{root}/marts/{_name(now)}", kept)
     found = checks.check_results(models, checks.table_checks(**thresholds))
     results = f"{root}/results/{_name(now)}"
     found.write.mode("overwrite").parquet(f"{results}/checks")
@@ -116,6 +124,7 @@ def export(spark: SparkSession, root: str, target: str, keep: int = 14) -> str:
 def prune(spark: SparkSession, root: str, keep: int = 14) -> list[str]:
     """Keep the newest releases, marts and results of the working folder; returns the releases that went."""
     old = releases.prune_releases(spark, _tables(root), keep)
+    releases.prune_releases(spark, f"{root}/state", keep)
     for folder in (f"{root}/marts", f"{root}/results"):
         for name in paths.children(spark, folder)[:-keep]:
             paths.delete(spark, f"{folder}/{name}")

@@ -151,13 +151,13 @@ def _write_raw(
     A table gets twice the buckets, and is written whole, when its rows have outgrown them; between
     two such times only the buckets that the batch has keys of are read and written.
     """
-    spark, root, spec = draft.spark, draft.root, RAW_TABLES[name]
+    spec = RAW_TABLES[name]
     batch = getattr(changed, "batches", {}).get(name)
     if batch is None:
         return draft.write(name, changed[name]), None, 0
     # The load is evaluated once: what follows reads the rows it came to.
     staged = draft.stage(name, batch)
-    buckets, held = releases.bucketing(spark, root, name)
+    buckets, held = draft.bucketing(name)
     most = held + staged.count()
     if buckets is None or most > 2 * buckets * releases.BUCKET_ROWS:
         buckets = max(buckets or 1, releases.buckets_for(most))
@@ -167,7 +167,7 @@ def _write_raw(
     hit = sorted(r[0] for r in staged.select(number.alias("b")).distinct().collect())  # at most all buckets
     if not hit:
         return staged, [], buckets
-    base = releases.read_buckets(spark, root, name, hit, tables[name].schema)
+    base = draft.read_buckets(name, hit, tables[name].schema)
     rows = replace_keys(conform(base, name), staged, spec.keys)
     return draft.write_buckets(name, rows, spec.keys, buckets, whole=False), hit, buckets
 
@@ -176,21 +176,20 @@ def _write_snapshot(
     draft: releases.Draft, tables: Tables, name: str, source: DataFrame, hit: list[int] | None, buckets: int, taken_at: Column
 ) -> None:
     """Open versions of the changed buckets, and rows for the versions that this snapshot closed."""
-    spark, root = draft.spark, draft.root
     raw, strategy = SNAPSHOTS[name]
     keys = RAW_TABLES[raw].keys
     extra = {"taken_at": taken_at} if "check" in strategy else {}
     table = f"{name}_open"
     if hit == []:
         return
-    whole = hit is None or releases.bucketing(spark, root, table)[0] != buckets
+    whole = hit is None or draft.bucketing(table)[0] != buckets
     before = tables[table]
     if whole and hit is not None:  # the open versions are in other buckets: read the source whole too
         number = releases.bucket_of(keys, buckets) if buckets > 1 else F.lit(0)
         rest = conform(tables[raw], raw).where(~number.isin(*hit))
         source = source.unionByName(rest)
     elif not whole:
-        before = releases.read_buckets(spark, root, table, hit, before.schema)
+        before = draft.read_buckets(table, hit, before.schema)
     step = reusable(snapshot_step(before, source, keys, **strategy, **extra))
     still_open, closed = step.filter("valid_to is null"), step.filter("valid_to is not null")
     if buckets:
@@ -210,7 +209,8 @@ def with_histories(tables: Tables) -> dict[str, DataFrame]:
 
 def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Tables of the newest release below ``root``, or empty ones before the first."""
-    found = releases.read_release(spark, root) if releases.release_names(spark, root) else {}
+    names = releases.release_names(spark, root)
+    found = releases.read_release(spark, root, names=names) if names else {}
     return {**empty_tables(spark), **found}
 
 

@@ -58,18 +58,25 @@ def build(tables: Mapping[str, DataFrame], *names: str) -> dict[str, DataFrame]:
 
 
 def materialize(
-    spark: SparkSession, tables: Mapping[str, DataFrame], root: str
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    kept: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Write every mart below ``root`` and register views for the staging models.
 
+    Marts that are ``kept`` up to date elsewhere are taken from there as they are.
+
     Later models read the written marts, so each one is computed once. The daily series
     is laid out by day, which prunes a chart of a few days to their folders.
     """
     out = dict(tables)
     built = {}
     for name, model in MODELS.items():
-        df = model.build(*[out[i] for i in model.inputs])
-        if model.stored:
+        df = (kept or {}).get(name)
+        if df is None:
+            df = model.build(*[out[i] for i in model.inputs])
+        if model.stored and name not in (kept or {}):
             path = f"{root}/{name}"
             writer = df.write.mode("overwrite")
             if name == "game_daily_stats":

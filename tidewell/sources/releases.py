@@ -95,6 +95,7 @@ class Draft:
             raise ReleaseError(f"release {name!r} does not come after {names[-1]!r} in {root}")
         self._entries: list[tuple] = []
         self._id = uuid.uuid4().hex
+        self._held: dict[str, list] = {}
 
     def _written(self, table: str, df: DataFrame, by: Sequence[str] = ()) -> tuple[str, dict]:
         path = f"{self.root}/data/{self.name}/{table}"
@@ -103,6 +104,24 @@ class Draft:
         (writer.partitionBy(*by) if by else writer).parquet(path)
         return path, observed.get
 
+    def entries(self, table: str) -> list:
+        """Entries of what the release before holds of a table: one, or one for each bucket."""
+        if table not in self._held:
+            own = [] if self.newest is None else _held(_manifest(self.spark, self.root), self.newest)
+            self._held[table] = own and own.filter(F.col("table") == table).collect()
+        return self._held[table]
+
+    def bucketing(self, table: str) -> tuple[int | None, int]:
+        """Buckets of a table in the release before, None if it has none, and its rows."""
+        own = self.entries(table)
+        buckets = {e["buckets"] for e in own}
+        return (max(buckets) if buckets and None not in buckets else None), sum(e["rows"] for e in own)
+
+    def read_buckets(self, table: str, numbers: Collection[int], schema: T.StructType) -> DataFrame:
+        """Rows of some buckets of a table in the release before; the files of others are not touched."""
+        files = [e["path"] for e in self.entries(table) if e["bucket"] in numbers and e["rows"]]
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+
     def stage(self, table: str, df: DataFrame) -> DataFrame:
         """Rows for more than one use, written once beside the release; they go when it is published."""
         path = f"{self._drafts()}/{table}"
@@ -128,9 +147,16 @@ class Draft:
 
         A bucket is a folder of its own, so that the next change of one reads and writes no other.
         """
-        numbered = df.withColumn(BUCKET, bucket_of(keys, buckets) if buckets > 1 else F.lit(0))
+        number = bucket_of(keys, buckets) if buckets > 1 else F.lit(0)
+        return self.write_parts(table, df, number, buckets, whole)
+
+    def write_parts(
+        self, table: str, df: DataFrame, number: Column, buckets: int, whole: bool
+    ) -> DataFrame:
+        """As :meth:`write_buckets`, with parts by any number, such as that of a day."""
+        numbered = df.withColumn(BUCKET, number)
         # few files per bucket, while one too large for a task is still split
-        dealt = numbered.hint("rebalance", BUCKET) if buckets > 1 else numbered
+        dealt = numbered.hint("rebalance", BUCKET) if buckets != 1 else numbered
         path, observed = self._written(table, dealt, [BUCKET])
         back = self.spark.read.schema(numbered.schema).parquet(path)
         each = {r[BUCKET]: r for r in back.groupBy(BUCKET).agg(*_measures()).collect()}  # a row per bucket
@@ -223,32 +249,17 @@ def held(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
     return _held(_manifest(spark, root), name)
 
 
-def read_release(spark: SparkSession, root: str, name: str | None = None) -> dict[str, DataFrame]:
-    """Tables of a release, the newest one by default."""
+def read_release(
+    spark: SparkSession, root: str, name: str | None = None, names: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Tables of a release, the newest one by default; ``names`` if they were looked up before."""
     files: dict[str, list[str]] = {}
-    for r in held(spark, root, name).orderBy("path").toLocalIterator():
+    own = _held(_manifest(spark, root), name or names[-1]) if names else held(spark, root, name)
+    for r in own.select("table", "path").orderBy("path").collect():  # a row per table or bucket
         files.setdefault(r["table"], []).append(r["path"])
     return {table: spark.read.parquet(*found) for table, found in files.items()}
 
 
-def bucketing(spark: SparkSession, root: str, table: str) -> tuple[int | None, int]:
-    """Buckets of a table in the newest release, None if it has none, and its rows."""
-    if not release_names(spark, root):
-        return None, 0
-    own = held(spark, root).filter(F.col("table") == table)
-    found = own.agg(F.max("buckets"), F.sum("rows"), F.count_if(F.col("buckets").isNull())).first()
-    return (None if found[2] else found[0]), found[1] or 0
-
-
-def read_buckets(
-    spark: SparkSession, root: str, table: str, numbers: Collection[int], schema: T.StructType
-) -> DataFrame:
-    """Rows of some buckets of a table in the newest release; the files of others are not touched."""
-    own = held(spark, root).filter((F.col("table") == table) & F.col("bucket").isin(*numbers) & (F.col("rows") > 0))
-    files = [r["path"] for r in own.select("path").toLocalIterator()]
-    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
-
-
 def copy_release(spark: SparkSession, root: str, target: str, name: str | None = None) -> str:
     """Export a release to another root, checked like any release; returns its name."""
     name = name or release_names(spark, root)[-1]

@@ -34,7 +34,13 @@ from tidewell.operators.ranking import (
     last_per_group,
     share_of_total,
 )
-from tidewell.operators.streaks import numbered_streaks
+from tidewell.operators.streaks import (
+    advance_streaks,
+    late_keys,
+    numbered_streaks,
+    open_streaks,
+    unchanged_for,
+)
 from tidewell.operators.upsert import upsert
 from tidewell.plans.cards import CARDS
 from tidewell.plans.marts import PRICE_TIERS, price_tier
@@ -42,6 +48,7 @@ from tidewell.plans.models import MODELS, build
 from tidewell.plans.staging import PERSONA_STATES
 from tidewell.schemas import add_columns
 from tidewell.sources import landed
+from tidewell.session import reusable
 from tidewell.workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -479,6 +486,21 @@ def _crowded_events(spark: SparkSession, sf: str) -> DataFrame:
     return _events(spark, sf).withColumn("user_id", user)
 
 
+@query
+def streaks_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Freshness from the first half of the days, then the other half, then rows that come late."""
+    at, watched = ("appid", "game_name", "snapshot_date"), ["concurrent_users", "total_reviews"]
+    daily = reusable(models(spark, sf, "game_daily_stats")["game_daily_stats"].select(*at, *watched))
+    first, last = daily.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    half = F.lit(first + (last - first) / 2)
+    late = (F.col("appid") % 5 == 0) & (F.dayofmonth("snapshot_date") % 3 == 0)
+    state = open_streaks(daily.filter((F.col("snapshot_date") <= half) & ~late), *at, watched)
+    state = advance_streaks(state, daily.filter((F.col("snapshot_date") > half) & ~late), *at, watched)
+    fresh = daily.filter(late)
+    series = daily.join(late_keys(state, fresh, "appid", "snapshot_date"), "appid", "left_semi")
+    return unchanged_for(advance_streaks(state, fresh, *at, watched, series), "appid", "game_name")
+
+
 @query
 def streaks_split(spark: SparkSession, sf: str) -> DataFrame:
     """Streaks with a hot key, in the order of months and then of ids: few stamps, many ties."""
