@@ -122,8 +122,21 @@ def test_copies_and_near_copies_are_one_class(odd):
     assert list(kept.columns) == odd.columns
 
 
+def test_leaders_stand_for_what_is_near_to_them():
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 10**6, (3, jaccard_join.TOKENS))
+    tokens = np.repeat(centre, 40, axis=0)
+    for row in tokens:  # up to three of 64 tokens differ
+        row[rng.integers(0, jaccard_join.TOKENS, rng.integers(0, 4))] = -1 - rng.integers(0, 10**6)
+    rows = jaccard_join.pd.DataFrame({"key": 1, "path": 1, "more": True, "set_id": np.arange(120), "tokens": [*tokens]})
+    got = jaccard_join._near(rows, 0.55)
+    assert dict(zip(got["set_id"], got["root"], strict=True)) == {k: k // 40 * 40 for k in range(120)}
+    assert got["leads"].sum() < 30
+
+
 def test_large_buckets_split_and_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BUCKET", 10)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 20)
     monkeypatch.setattr(jaccard_join, "BLOCK", 2_000)
     rng = random.Random(9)
     words = [f"w{k}" for k in range(5_000)]

@@ -18,17 +18,22 @@ from tidewell.llm.storage import ship, stored
 TOKENS = 64
 #: Buckets up to this size are compared without another split.
 BUCKET = 200
-#: Members of buckets up to this size all become candidates of each other.
-TINY = 8
+#: Larger ones that no split made small are compared in chunks of this size.
+CHUNK = 2_000
+#: Buckets up to this size are compared pair by pair, larger ones with leaders.
+PAIRWISE = 32
+#: Estimate from which on a set stands for another one: what links with the one is near the other.
+SETTLED = 0.9
 #: Splits below the first one, and sampled tokens by which each of them splits.
 DEEPER, BRANCHES = 2, 2
 #: How far below the threshold an estimate from sampled tokens may lie: five deviations.
 SLACK = 0.25
-#: Shingles in a block of candidates compared exactly in one task.
-BLOCK = 200_000
+#: Shingles, and sets, in a block of candidates compared exactly in one task.
+BLOCK, SETS = 200_000, 2_000
 
 _ODD = np.random.default_rng(20_011).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FEATURES = "doc_id long, text_key long, set_id long, n_shingles int, tokens array<int>"
+_NEAR = "path long, more boolean, set_id long, root long, leads boolean"
 _LINKS = "set_id long, root long, n_docs long, n_texts long"
 
 
@@ -104,8 +109,82 @@ def _forest(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the least one that links between ``a`` and ``b`` lead to."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        moved = label.copy()
+        np.minimum.at(moved, a, low)
+        np.minimum.at(moved, b, low)
+        moved = moved[moved]
+        if (moved == label).all():
+            break
+        label = moved
+    return label
+
+
+def _near(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Roots of the candidates in whole buckets, and which sets lead.
+
+    In a small bucket all pairs are estimated. In a larger one, sets are taken in turn: one that none
+    before stands for leads, and is compared with all that are left; those near to it are candidates, and
+    those so near that it stands for them are left out from then on. All sets of a small bucket lead.
+    """
+    bucket = rows["key"].to_numpy()
+    tokens = np.stack(rows["tokens"].to_list())
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    size = np.diff(np.append(begin, len(bucket)))
+    a, b = [], []
+    at, step = np.flatnonzero(np.repeat(size <= PAIRWISE, size)), 1
+    while len(at):
+        at = at[at + step < len(bucket)]
+        at = at[bucket[at] == bucket[at + step]]
+        for k in range(0, len(at), 65_536):
+            part = at[k : k + 65_536]
+            part = part[(tokens[part] == tokens[part + step]).mean(axis=1) >= least]
+            a.append(part)
+            b.append(part + step)
+        step += 1
+    leads = np.ones(len(bucket), bool)
+    for first, n in zip(begin[size > PAIRWISE].tolist(), size[size > PAIRWISE].tolist(), strict=True):
+        left = np.arange(first, first + n)
+        while len(left):
+            one, left = left[0], left[1:]
+            like = (tokens[left] == tokens[one]).mean(axis=1)
+            near = left[like >= least]
+            a.append(np.full(len(near), one))
+            b.append(near)
+            leads[left[like >= SETTLED]] = False
+            left = left[like < SETTLED]
+    ends = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (a, b))
+    root = _least_linked(len(bucket), *ends)
+    out = rows[["path", "more", "set_id"]].copy()
+    out["root"], out["leads"] = rows["set_id"].to_numpy()[root], leads
+    return out[(out["root"] != out["set_id"]) | (out["more"] & leads)]
+
+
+def _near_buckets(least: float):
+    """Buckets come one after the other; the last one of a batch may go on in the next."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(rows):
+                continue
+            last = rows["key"].to_numpy() == rows["key"].iloc[-1]
+            held = rows[last]
+            if not last.all():
+                yield _near(rows[~last].reset_index(drop=True), least)
+        if held is not None and len(held):
+            yield _near(held.reset_index(drop=True), least)
+
+    return run
+
+
 def _estimated(least: float):
-    """Candidates within a bucket, or between two blocks of it, as edges to a root."""
+    """Candidates between two blocks of the sets that lead in a bucket, as edges to a root."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("set_id").sort_values("set_id")
@@ -120,6 +199,44 @@ def _estimated(least: float):
     return run
 
 
+def _candidates(buckets: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): edges from sets to a root of those near to them in some bucket.
+
+    A bucket above CHUNK is cut into chunks by a hash. What leads in its chunks is a bucket again, of
+    which near copies make up little; only where most sets of a bucket lead are its blocks
+    compared two by two. Sets that stand for others may each be that far from those they stand
+    for, so between them the bound is lower by as much.
+    """
+    edges, rows = None, buckets.select("path", "set_id", "size")
+    tokens = sets.select("set_id", "tokens")
+    while True:
+        chunks = F.ceil(F.col("size") / CHUNK)
+        chunk = F.when(F.col("size") > CHUNK, F.xxhash64("path", F.pmod(F.xxhash64("set_id", F.lit(7)), chunks)))
+        dealt = rows.select(
+            F.coalesce(chunk, "path").alias("key"), "path", (F.col("size") > CHUNK).alias("more"), "set_id"
+        ).join(tokens, "set_id")
+        near = dealt.repartition("key").sortWithinPartitions("key").mapInPandas(_near_buckets(least), _NEAR)
+        near = stored(near, "near")
+        found = near.where("set_id != root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+        edges = found if edges is None else edges.union(found)
+        leaders = near.where("more and leads")
+        before = rows.where(F.col("size") > CHUNK).select("path", F.col("size").alias("was")).distinct()
+        sizes = leaders.groupBy("path").agg(F.count("*").alias("size"))
+        sizes = stored(sizes.join(before, "path"), "leaders")
+        if sizes.isEmpty():
+            return edges
+        least -= 1 - SETTLED
+        many = (F.col("size") > CHUNK) & (F.col("size") > F.col("was") / 2)
+        if not sizes.where(many).isEmpty():
+            crowded = leaders.join(sizes.where(many), "path").withColumn("n", F.ceil(F.col("size") / CHUNK))
+            compared = (
+                _blocked(crowded.select("path", "set_id", "n"), "path", "n")
+                .join(tokens, "set_id").groupBy("path", "i", "j").applyInPandas(_estimated(least), "a long, b long")
+            )
+            edges = edges.union(stored(compared, "crowded"))
+        rows = leaders.select("path", "set_id").join(sizes.where(~many).select("path", "size"), "path")
+
+
 def _shared_counts(rows: list[np.ndarray]) -> np.ndarray:
     """Numbers of tokens that each two of the sets share.
 
@@ -243,8 +360,9 @@ def jaccard_classes(
 
     Chosen-path join: rows with equal sets are one set. In each run a set falls in a bucket by
     a sampled token; large buckets are split again by tokens sampled for their path; small
-    ones are compared by brute force on the sampled tokens, and buckets that no split made
-    small in blocks. Runs repeat up to ``recall``. Candidates connected this way are then
+    ones are compared by brute force on the sampled tokens, and in buckets that no split made
+    small sets are compared with those that lead. Runs repeat up to ``recall``, which has to
+    take no more runs than a set has sampled tokens. Candidates connected this way are then
     compared exactly on their whole texts, block by block, each pair once, so no false link
     stays and none between candidates is lost. No pairs are emitted, only counts and edges to
     roots.
@@ -271,30 +389,19 @@ def jaccard_classes(
         ),
         "sets",
     )
-    buckets = stored(_buckets(sets, min(TOKENS, runs_for(recall, threshold))), "buckets")
-    tiny = buckets.where(F.col("size") <= TINY)
-    tiny = (
-        tiny.join(tiny.groupBy("path").agg(F.min("set_id").alias("b")), "path")
-        .select(F.col("set_id").alias("a"), "b")
-        .where("a != b")
-    )
-    compared = (
-        _blocked(
-            buckets.where(F.col("size") > TINY).withColumn("n", F.ceil(F.col("size") / BUCKET)),
-            "path",
-            "n",
-        )
-        .join(sets.select("set_id", "tokens"), "set_id")
-        .groupBy("path", "i", "j")
-        .applyInPandas(_estimated(threshold - SLACK), "a long, b long")
-    )
-    groups = stored(components(tiny.union(compared), "a", "b"), "groups")
+    runs = runs_for(recall, threshold)
+    if runs > TOKENS:
+        raise ValueError(f"a recall of {recall} takes {runs} runs, and a set has {TOKENS} sampled tokens")
+    buckets = stored(_buckets(sets, runs), "buckets")
+    groups = stored(components(_candidates(buckets, sets, threshold - SLACK), "a", "b"), "groups")
     members = groups.join(
         sets.select(F.col("set_id").alias("node"), "rep", "copies", "n_shingles"), "node"
     )
     weights = groups.join(
         sets.select(F.col("set_id").alias("node"), "n_shingles"), "node"
-    ).groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("n"))
+    ).groupBy("root").agg(
+        F.ceil(F.greatest(F.sum("n_shingles") / BLOCK, F.count("*") / SETS)).alias("n")
+    )
     members = _blocked(
         members.join(weights, "root").select(
             F.col("node").alias("set_id"), "root", "copies", "n",
@@ -355,20 +462,25 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     classes = stored(
         jaccard_classes(docs, **options).select("doc_id", "text_key", "class_key"), "classes"
     )
-    kept = stored(
+    kept = (
         classes.where("class_key is not null")
         .groupBy("class_key")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("rep"))
-        .select(F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__kept")),
-        "kept",
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_key") == F.col("rep.text_key"))
+    # Fewer rows go than stay, so these are the ones to meet the texts.
+    gone = stored(
+        classes.where("class_key is not null").join(kept, "class_key").where(~same)
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__gone")).distinct(),
+        "gone",
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     worded = text.rlike(r"[^\x20\x09-\x0D]")
     named = docs.withColumn("__key", F.xxhash64(text))
     out = named.where(worded).join(
-        kept,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__kept")),
-        "left_semi",
+        gone,
+        F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__gone")),
+        "left_anti",
     )
     repeated = classes.groupBy("doc_id", "text_key").count().where("count > 1")
     if not repeated.isEmpty():
