@@ -414,3 +414,39 @@ def test_preferences_share_the_longest_prefix(spark):
     assert got[4].chosen_completion == "" and got[4].rejected_mask
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert preference.preference_pairs(preference.with_swapped_reply(none)).count() == 0
+
+
+def test_levels_below_the_sample_split_on():
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((4_000, 16))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    near = rows[:300] + 0.04 * rng.standard_normal((300, 16))
+    both = np.concatenate([rows, near / np.linalg.norm(near, axis=1, keepdims=True)])
+    trees = [vector_forest.Tree(rows[:500], 6, rng) for _ in range(8)]
+    met = np.zeros(300, bool)
+    for tree in trees:
+        assert 0 < tree.levels <= 6
+        at, leaf = tree.route(both)
+        assert set(at) == set(range(len(both)))
+        assert np.unique(leaf, return_counts=True)[1].max() < len(both) / 8
+        own = [set() for _ in both]
+        for r, x in zip(at.tolist(), leaf.tolist(), strict=True):
+            own[r].add(x)
+        met |= [bool(own[k] & own[4_000 + k]) for k in range(300)]
+    assert met.mean() > 0.99
+
+
+def test_planted_pairs_are_linked_at_production_parameters(spark):
+    rng = np.random.default_rng(5)
+    rows = rng.standard_normal((6_000, 32))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    off = rng.standard_normal((400, 32))
+    off -= (off * rows[:400]).sum(axis=1, keepdims=True) * rows[:400]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cos = rng.uniform(0.9, 0.92, (400, 1))
+    both = np.concatenate([rows, cos * rows[:400] + np.sqrt(1 - cos**2) * off])
+    want = np.argwhere(np.triu(both @ both.T >= 0.9, 1))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(both)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_forest.near_vectors(frame).where("n_links > 0").collect()}
+    assert len(want) >= 400
+    assert sum(got.values()) >= 0.98 * 2 * len(want)

@@ -411,8 +411,9 @@ def jaccard_classes(
         "n",
     )
     members = stored(members, "members")
+    # Merged at any size, so that what is shuffled grows as the texts do.
     texts = docs.join(
-        members,
+        members.hint("merge"),
         F.col("doc_id").eqNullSafe(F.col("rep_doc")) & (F.col("text_key") == F.col("rep_key")),
     ).select("root", "i", "j", "block", "set_id", "copies", "text")
     links = stored(

@@ -18,44 +18,74 @@ TREES, LEAF, SPILL = 12, 512, 0.12
 SAMPLE, NODE = 20_000, 32
 #: A larger leaf is compared in blocks of this size.
 BLOCK = 1_024
+#: Vectors that are routed together.
+TOGETHER = 500
 
-_ROUTED = "key long, tree int, leaf int, leaves array<int>, vector {vector}, copies long"
+_ROUTED = "key long, tree int, leaf long"
 _LINKS = "key long, root long, n_rows long, n_vectors long"
 
 
 class Tree:
-    """Splits of one tree: a direction and the bounds of the overlap around the median."""
+    """Splits of one tree: a direction and the bounds of the overlap around the median.
+
+    Where the sample gets too small to be split, each further level has one direction for the
+    whole tree, and every node of the fitted part has bounds of its own for it, the quantiles of its
+    sample. So the depth follows the table, while a tree's size follows the sample.
+    """
 
     def __init__(self, sample: np.ndarray, depth: int, rng: np.random.Generator):
         self.nodes: list[tuple[np.ndarray, float, float, int, int] | None] = []
+        self.more = rng.standard_normal((depth, sample.shape[1]))
+        self.bounds: list[np.ndarray | None] = []  # of a node that the sample does not split: (level, low and high)
         self._grow(sample, depth, rng)
+        self.levels = max((len(x) for x in self.bounds if x is not None), default=0)
 
     def _grow(self, sample: np.ndarray, depth: int, rng: np.random.Generator) -> int:
         here = len(self.nodes)
         self.nodes.append(None)
+        self.bounds.append(None)
+        around = (0.5 - SPILL / 2, 0.5 + SPILL / 2)
         if depth == 0 or len(sample) < 2 * NODE:
+            self.bounds[here] = np.quantile(sample @ self.more[:depth].T, around, axis=0).T.reshape(depth, 2)
             return here
         way = rng.standard_normal(sample.shape[1])
         at = sample @ way
-        low, high = np.quantile(at, (0.5 - SPILL / 2, 0.5 + SPILL / 2))
+        low, high = np.quantile(at, around)
         left = self._grow(sample[at <= high], depth - 1, rng)
         right = self._grow(sample[at >= low], depth - 1, rng)
         self.nodes[here] = (way, low, high, left, right)
         return here
 
-    def route(self, vectors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Leaves and the rows that fall in each; a row may fall in several."""
-        todo = [(0, np.arange(len(vectors)))]
+    def route(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and the leaves they fall in; a row may fall in several."""
+        todo, rows, nodes = [(0, np.arange(len(vectors)))], [], []
         while todo:
-            node, rows = todo.pop()
+            node, own = todo.pop()
             split = self.nodes[node]
             if split is None:
-                yield node, rows
+                rows.append(own)
+                nodes.append(np.full(len(own), node))
                 continue
             way, low, high, left, right = split
-            at = vectors[rows] @ way
-            todo.append((left, rows[at <= high]))
-            todo.append((right, rows[at >= low]))
+            at = vectors[own] @ way
+            todo.append((left, own[at <= high]))
+            todo.append((right, own[at >= low]))
+        rows, nodes = np.concatenate(rows), np.concatenate(nodes)
+        code = nodes.astype(np.int64)
+        if self.levels:
+            side = vectors @ self.more[: self.levels].T
+            table = np.full((len(self.nodes), self.levels, 2), np.nan)
+            for k, own in enumerate(self.bounds):
+                if own is not None:
+                    table[k, : len(own)] = own
+            for level in range(self.levels):
+                low, high = table[nodes, level].T
+                at = side[rows, level]
+                # a node that ends above this level keeps its rows on one side
+                left, right = ~(at > high), at >= low
+                rows, nodes = np.concatenate([rows[left], rows[right]]), np.concatenate([nodes[left], nodes[right]])
+                code = np.concatenate([2 * code[left], 2 * code[right] + 1])
+        return rows, code
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -65,54 +95,52 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
-def _route(trees: list[Tree]):
+def _leaves(trees: list[Tree], unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, trees and leaves, in this order."""
+    found = [tree.route(unit) for tree in trees]
+    rows = np.concatenate([r for r, _ in found])
+    tree = np.repeat(np.arange(len(trees)), [len(r) for r, _ in found])
+    leaf = np.concatenate([x for _, x in found])
+    order = np.lexsort((leaf, tree, rows))
+    return rows[order], tree[order], leaf[order]
+
+
+def _route(trees):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            unit = _unit(np.stack(batch["vector"].to_list()))
-            rows, tree, leaf = [], [], []
-            for t, grown in enumerate(trees):
-                for node, found in grown.route(unit):
-                    rows.append(found)
-                    tree.append(np.full(len(found), t))
-                    leaf.append(np.full(len(found), node))
-            rows, tree, leaf = map(np.concatenate, (rows, tree, leaf))
-            order = np.lexsort((leaf, tree, rows))
-            rows, tree, leaf = rows[order], tree[order], leaf[order]
-            code = (tree << 24 | leaf).astype(np.int32)
-            each = np.split(code, np.flatnonzero(np.diff(rows)) + 1)
-            out = batch.iloc[rows]
-            yield pd.DataFrame(
-                {
-                    "key": out["key"].to_numpy(),
-                    "tree": tree,
-                    "leaf": leaf,
-                    "leaves": [each[r] for r in rows],
-                    "vector": out["vector"].to_numpy(),
-                    "copies": out["copies"].to_numpy(),
-                }
-            )
+            for at in range(0, len(batch), TOGETHER):
+                part = batch.iloc[at : at + TOGETHER]
+                rows, tree, leaf = _leaves(trees.value, _unit(np.stack(part["vector"].to_list())))
+                yield pd.DataFrame({"key": part["key"].to_numpy()[rows], "tree": tree, "leaf": leaf})
 
     return run
 
 
-def _met_before(leaves: np.ndarray, a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
-    """Whether the vectors of each pair share a leaf with a lower code than this one."""
+def _met_before(trees: list[Tree], unit: np.ndarray, a: np.ndarray, b: np.ndarray, here: tuple[int, int]) -> np.ndarray:
+    """Whether the vectors of each pair share a leaf that comes before this one.
+
+    Only linked vectors are routed again, so a row carries none of its other leaves.
+    """
     out = np.zeros(len(a), bool)
-    for at in range(0, len(a), 65_536):
-        x, y = leaves[a[at : at + 65_536]], leaves[b[at : at + 65_536]]
-        for k in range(x.shape[1]):
-            mine = x[:, k, None]
-            out[at : at + 65_536] |= ((mine == y) & (mine < here)).any(axis=1)
+    linked = np.unique(np.concatenate([a, b]))
+    leaves = {}
+    for at in range(0, len(linked), TOGETHER):
+        part = linked[at : at + TOGETHER]
+        rows, tree, leaf = _leaves(trees, unit[part])
+        before = (tree < here[0]) | ((tree == here[0]) & (leaf < here[1]))
+        for row, t, x in zip(part[rows[before]].tolist(), tree[before].tolist(), leaf[before].tolist(), strict=True):
+            leaves.setdefault(row, set()).add((t, x))
+    none: set[tuple[int, int]] = set()
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        out[k] = not leaves.get(x, none).isdisjoint(leaves.get(y, none))
     return out
 
 
-def _compare(threshold: float):
+def _compare(trees, threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key")
         key, block = group["key"].to_numpy(), group["block"].to_numpy()
-        here = int(group["tree"].iloc[0]) << 24 | int(group["leaf"].iloc[0])
+        here = int(group["tree"].iloc[0]), int(group["leaf"].iloc[0])
         i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
         unit = _unit(np.stack(group["vector"].to_list()))
         close = unit @ unit.T >= threshold
@@ -120,13 +148,7 @@ def _compare(threshold: float):
         if i != j:
             close &= block[:, None] != block[None, :]
         a, b = np.nonzero(np.triu(close))
-        # Leaves that end before this one decide nothing here; the rest is padding.
-        most = max(map(len, group["leaves"]))
-        leaves = np.full((len(key), most), 2**31 - 1, np.int64)
-        for k, own in enumerate(group["leaves"]):
-            leaves[k, : len(own)] = own
-        leaves = leaves[:, (leaves < here).any(axis=0)]
-        new = ~_met_before(leaves, a, b, here)
+        new = ~_met_before(trees.value, unit, a, b, here)
         a, b = a[new], b[new]
         n, copies = len(key), group["copies"].to_numpy()
         label = np.arange(n)
@@ -158,7 +180,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     sides. Splits are fitted on SAMPLE vectors (those of least hash); every vector is routed by
     every tree. Vectors that share a leaf are compared exactly, a large leaf in blocks. A pair is
     counted in the first leaf both fall in, so no pairs are emitted, only counts and edges to roots.
-    A pair parted by all trees is missed; README has the recall.
+    A pair parted by all trees is missed; the README has the recall that was measured.
 
     Embeddings that are null, empty, zero, or hold null or non-finite parts link with nothing, and
     vectors of different lengths do not link with each other. Null ids rank last for
@@ -228,10 +250,9 @@ def forest(sample: np.ndarray, rows: int, seed: int = 17) -> list[Tree]:
 def _links(distinct: DataFrame, threshold: float) -> DataFrame:
     n = distinct.count()
     chosen = some_rows(distinct, SAMPLE, "key").select("vector").toPandas()
-    trees = forest(_unit(np.stack(chosen["vector"].to_list())), n)
-    schema = _ROUTED.format(vector=distinct.schema["vector"].dataType.simpleString())
-    routed = distinct.select("key", "vector", "copies").mapInPandas(_route(trees), schema)
-    routed = stored(routed, "routed")
+    grown = forest(_unit(np.stack(chosen["vector"].to_list())), n)
+    trees = distinct.sparkSession.sparkContext.broadcast(grown)  # bounded by the sample
+    routed = stored(distinct.select("key", "vector").mapInPandas(_route(trees), _ROUTED), "routed")
     blocks = routed.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where("n > 1")
     routed = routed.join(stored(blocks, "blocks"), ["tree", "leaf"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
     block = F.pmod(F.xxhash64("key", F.lit(5)), F.col("n")).cast("int")
@@ -241,4 +262,5 @@ def _links(distinct: DataFrame, threshold: float) -> DataFrame:
         .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
         .drop("other", "n")
     )
-    return dealt.groupBy("tree", "leaf", "i", "j").applyInPandas(_compare(threshold), _LINKS)
+    dealt = dealt.join(distinct.select("key", "vector", "copies"), "key")
+    return dealt.groupBy("tree", "leaf", "i", "j").applyInPandas(_compare(trees, threshold), _LINKS)
