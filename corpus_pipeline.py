@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import jaccard_join, packing, pii_bootstrap, sentence_spans, toxic_crf
-from tidewell.llm.storage import stored
+from tidewell.llm.storage import dropped_after, stored
 
 _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,5 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's result is written and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*_COLUMNS)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with dropped_after(spark) as kept:
+            docs = stored(stage(spark, docs, sf_dir), name)
+            kept += docs.inputFiles() and [docs.inputFiles()[0].rsplit("/", 1)[0]]
     return docs

@@ -246,8 +246,9 @@ def masked(docs: DataFrame) -> DataFrame:
     )
     found = stored(found, "masks").dropDuplicates(["__id", "__key"])
     named = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    # Merged at any size, so that what is shuffled grows as the texts do.
     joined = named.join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left"
+        found.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left"
     )
     text = F.col("text")
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))

@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from tidewell.llm.storage import ship, stored
 
 #: A run has at least so many sentences and so many words.
-SENTENCES, WORDS = 2, 12
+SENTENCES, WORDS = 2, 20
 #: Among so many words on end there is a cut: the end of a sentence or, where there is none, the
-#: word of least hash. That makes 4 * GAP + 10 words on end hold a run wherever they stand.
-GAP = 10
+#: word of least hash. That makes 4 * GAP + WORDS - 2 words on end hold a run wherever they stand.
+GAP = 8
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _WORD = re.compile(r"\S+\s*")
-_RUNS = "doc long, runs array<long>"
+_RUNS = "doc long, text_key long, n int, own boolean, runs array<long>"
+#: Bits of the map that tells runs that may repeat; 8 MB whatever the table is.
+BITS = 2**26
 
 
 @lru_cache(1 << 16)
@@ -107,8 +109,45 @@ def runs(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [np.unique(runs(sentences(text))[2]) for text in batch["text"]]
-        yield pd.DataFrame({"doc": batch["doc"], "runs": found})
+        parts = [sentences(text) for text in batch["text"]]
+        keys = [runs(own)[2] for own in parts]
+        found = [np.unique(key) for key in keys]
+        yield pd.DataFrame(
+            {
+                "doc": batch["doc"],
+                "text_key": batch["text_key"],
+                "n": [*map(len, parts)],
+                "own": [len(a) < len(b) for a, b in zip(found, keys, strict=True)],
+                "runs": found,
+            }
+        )
+
+
+def _may_repeat(bits):
+    """Places of runs whose bit is set, out of the runs of each document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            held = batch["runs"].map(len).to_numpy()
+            key = np.concatenate([*batch["runs"], np.empty(0, np.int64)]).astype(np.int64)
+            slot = key & (BITS - 1)
+            hit = (known[slot >> 3] >> (slot & 7)) & 1 == 1
+            yield pd.DataFrame({"doc": np.repeat(batch["doc"].to_numpy(), held)[hit], "run": key[hit]})
+
+    return run
+
+
+def _bit_map(runs_: DataFrame) -> bytes:
+    """The bits of all runs; put together by Spark in pieces of 4 KB, of which there are BITS / 2**15."""
+    slot = F.col("run").bitwiseAND(F.lit(BITS - 1))
+    pieces = runs_.groupBy(F.shiftright(slot, 15).alias("piece")).agg(
+        F.bitmap_construct_agg(slot.bitwiseAND(F.lit(2**15 - 1))).alias("bits")
+    )
+    out = bytearray(BITS // 8)
+    for r in pieces.toLocalIterator():
+        out[4096 * r["piece"] : 4096 * (r["piece"] + 1)] = r["bits"]
+    return bytes(out)
 
 
 def _without(text: str, repeated) -> tuple[str, int, int, list[tuple[int, int]]]:
@@ -139,8 +178,13 @@ def _removed(names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, parts, gone, spans = [], [], [], []
-            for text, repeated in zip(batch["__text"], batch["__repeated"], strict=True):
-                kept, n, k, found = _without(text, [] if repeated is None else repeated)
+            for text, repeated, own, parts_ in zip(
+                batch["__text"], batch["__repeated"], batch["__own"], batch["__parts"], strict=True
+            ):
+                if repeated is None and not own:  # no run of it is removed
+                    kept, n, k, found = text, parts_, 0, []
+                else:
+                    kept, n, k, found = _without(text, [] if repeated is None else repeated)
                 texts.append(kept)
                 parts.append(n)
                 gone.append(k)
@@ -155,41 +199,57 @@ def _removed(names: list[str]):
 def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     """``docs`` and kept_text, n_sentences, n_removed, removed_spans (code points, end exclusive).
 
-    A run is the shortest stretch of whole sentences, two at least, with twelve words or more,
+    A run is the shortest stretch of whole sentences, two at least, with WORDS words or more,
     from each sentence on. Of all places of a run in all texts, the first by (doc_id, position)
     stays; sentences covered by a run at any other place are removed, wherever the run's first
     place is. A sentence of over GAP words counts as several, between cuts that its words determine.
-    Any 4 * GAP + 10 words on end, 50, hold a run wherever they begin and end. What is removed of a
+    Any 4 * GAP + WORDS - 2 words on end, 50, hold a run wherever they begin and end. What is removed of a
     passage are whole pieces, so words at its edges, before its first common cut and after its
     last run, may stay.
 
     Each text gives its different runs once; a later place in the same text is not the first
     whatever other texts hold. Over all texts a run is aggregated to the number of documents and
-    the first one, which is reduced before the shuffle, and repeated runs are joined back.
+    the first one, which is reduced before the shuffle, and repeated runs are joined back. Only
+    runs whose bit is set in a map of the repeated ones meet them, and only texts that lose something
+    are cut again.
 
     A null text counts as empty and gives an empty ``kept_text``. Texts of one sentence or of
-    fewer than twelve words have no runs and stay. Rows that repeat an id are one document: what
+    fewer than WORDS words have no runs and stay. Rows that repeat an id are one document: what
     they share stays in all of them. A row with a null id is a document by its text and comes after
     those with ids. Other columns are kept.
     """
     ship(docs.sparkSession)
+    spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     by_text = F.lit(2**62) + F.pmod(F.xxhash64(text), F.lit(2**62))
-    keyed = docs.withColumn("__text", text).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    keyed = (
+        docs.withColumn("__text", text)
+        .withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
+        .withColumn("__key", F.xxhash64("__text"))
+    )
     spans = stored(
-        keyed.select(F.col("__id").alias("doc"), F.col("__text").alias("text")).mapInPandas(_run_batches, _RUNS),
+        keyed.select(F.col("__id").alias("doc"), F.col("__key").alias("text_key"), F.col("__text").alias("text"))
+        .mapInPandas(_run_batches, _RUNS),
         "runs",
     )
     places = spans.select("doc", F.explode("runs").alias("run"))
     repeated = places.groupBy("run").agg(F.count("*").alias("n"), F.min("doc").alias("first_doc"))
     repeated = stored(repeated.where("n > 1").select("run", "first_doc"), "repeated")
-    flagged = stored(
+    # Most runs stand in one document: they need not be moved again.
+    bits = spark.sparkContext.broadcast(_bit_map(repeated))
+    places = spans.select("doc", "runs").mapInPandas(_may_repeat(bits), "doc long, run long")
+    flagged = (
         places.join(repeated, "run").where("doc != first_doc")
-        .groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("run").alias("__repeated")),
-        "flagged",
+        .groupBy("doc").agg(F.collect_set("run").alias("repeated"))
     )
+    states = stored(spans.select("doc", "text_key", "n", "own").distinct().join(flagged, "doc", "left"), "states")
+    states = states.toDF(*(f"__{c}" for c in ("doc", "text_key", "parts", "own", "repeated")))
     names = [f.name for f in docs.schema if f.name != "__text"]
-    joined = keyed.join(flagged, F.col("__id") == F.col("__doc"), "left").drop("__doc", "__id")
+    # Merged at any size, so that what is shuffled grows as the texts do.
+    joined = keyed.join(
+        states.hint("merge"), (F.col("__id") == F.col("__doc")) & (F.col("__key") == F.col("__text_key"))
+    )
+    joined = joined.drop("__doc", "__id", "__key", "__text_key")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     out = joined.mapInPandas(
         _removed(names),

@@ -6,19 +6,24 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_WRITTEN: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set and one machine does all."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidewell-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -35,10 +40,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     that depend on how rows were dealt out stay as they were written.
     """
     path = new_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that were stored inside, but for paths that are put in the list."""
+    kept: list[str] = []
+    before = len(_WRITTEN)
+    yield kept
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _WRITTEN[before:]:
+        if path not in kept:
+            at = files.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN[before:] = []
+
+
 def some_rows(df: DataFrame, n: int, *key: str | Column) -> DataFrame:
     """At most ``n`` rows, those whose ``key`` has the least hashes; all rows where there are fewer.
 
