@@ -27,6 +27,8 @@ CHAIN, WEIGHTS, STEPS = 32, 1 << 18, 80
 #: Marginal from which a token is offending; smaller ones do not count for the document.
 OFFENDING, LEAST = 0.5, 0.05
 THRESHOLD = 0.7
+#: Code points of the texts that are scored together, and words that a worker remembers.
+TOGETHER, REMEMBERED = 500_000, 200_000
 
 _WORD = re.compile(r"\w+")
 
@@ -133,6 +135,19 @@ class Crf:
         return Scorer(self)
 
 
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """Texts of about TOGETHER code points at a time; a longer one stands alone."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > TOGETHER:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 class Scorer:
     """Marginals of the tokens of many texts; what words contribute is remembered."""
 
@@ -158,7 +173,7 @@ class Scorer:
 
     def tokens(self, texts: list[str]) -> list[np.ndarray]:
         """The probability of "toxic" for every word of each text."""
-        if len(self._parts) > 200_000:
+        if len(self._parts) > REMEMBERED:
             self._index.clear()
             self._parts.clear()
         known, index = self._known, self._index
@@ -180,17 +195,17 @@ class Scorer:
         grid[chain, place % CHAIN] = emission
         length = np.bincount(chain, minlength=len(grid))
         out = np.empty(len(code))
-        for at in range(0, len(grid), 8_192):  # bounded memory
-            upto = min(at + 8_192, len(grid))
+        for at in range(0, len(grid), 4_096):  # bounded memory
+            upto = min(at + 4_096, len(grid))
             toxic, _ = marginals(grid[at:upto], length[at:upto], self._model.moves)
-            own = (chain >= at) & (chain < upto) if len(grid) > 8_192 else slice(None)
+            own = slice(*np.searchsorted(chain, (at, upto)))
             out[own] = toxic[chain[own] - at, place[own] % CHAIN]
         return np.split(out, np.cumsum(size)[:-1]) if len(size) else []
 
     def documents(self, texts: list[str]) -> np.ndarray:
         """For each text, the log-odds of its most toxic word and the log of expected toxic words."""
         out = np.zeros((len(texts), 2))
-        for k, toxic in enumerate(self.tokens(texts)):
+        for k, toxic in enumerate(x for part in slices(texts) for x in self.tokens(part)):
             most = float(toxic.max()) if len(toxic) else 0.0
             most = min(max(most, 1e-4), 1 - 1e-4)
             out[k] = np.log(most / (1 - most)), np.log1p(toxic[toxic >= LEAST].sum())
@@ -354,8 +369,7 @@ def _scored(model: Crf):
         scorer = model.scorer()
         for batch in batches:
             scores, found = [], []
-            for at in range(0, len(batch), 500):
-                texts = batch["text"].iloc[at : at + 500].tolist()
+            for texts in slices(batch["text"].tolist()):
                 for text, toxic in zip(texts, scorer.tokens(texts), strict=True):
                     most = float(toxic.max()) if len(toxic) else 0.0
                     if model.scale is None:
