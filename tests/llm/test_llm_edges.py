@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -110,6 +111,36 @@ def test_search_exchanges_until_bins_empty():
     assert all(sum(sizes[k] for k in m) <= 1024 for m in kept)
 
 
+def test_best_fit_takes_the_tightest_bin():
+    rng = np.random.default_rng(4)
+    for low, high in ((1, 1024), (300, 600), (1, 40)):
+        sizes = rng.integers(low, high, 400)
+        free: list[int] = []
+        for size in sorted(sizes, reverse=True):
+            room = min((f for f in free if f >= size), default=None)
+            if room is None:
+                free.append(1024 - size)
+            else:
+                free[free.index(room)] -= size
+        assert sorted(packing.Bins(sizes, 1024).free) == sorted(free)
+
+
+def test_search_leaves_no_exchange():
+    """All moves, exchanges and two-for-one exchanges of all bins, tried one by one."""
+    rng = np.random.default_rng(5)
+    for low, high in ((200, 480), (100, 900), (10, 300)):
+        bins = packing.Bins(rng.integers(low, high, 120), 1024)
+        bins.search()
+        kept = [(f, [bins.sizes[i] for i in m]) for m, f in zip(bins.members, bins.free, strict=True) if m and f]
+        for g, (free, own) in enumerate(kept):
+            for b, (room, held) in enumerate(kept):
+                given = [0, *held, *(x + y for x, y in itertools.combinations(held, 2))]
+                for size, x in itertools.product(own, given):
+                    less = size - x
+                    better = less * (free - (room - less)) > 0
+                    assert b == g or not (0 < less <= room and better)
+
+
 def test_copies_and_near_copies_are_one_class(odd):
     got = jaccard_join.jaccard_classes(odd).toPandas()
     own = got[got["class_id"] == 4]

@@ -9,6 +9,7 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations, pairwise
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,6 @@ from tidewell.llm.storage import ship, stored
 
 #: Pieces packed together in one task; more of them make more groups.
 GROUP = 100_000
-#: Rounds of the local search, and bins that give in a round or are looked at for two members.
-ROUNDS, LOOK = 20, 200
 #: Pieces of text whose ids a worker remembers; a full memory is dropped.
 REMEMBERED = 300_000
 
@@ -145,91 +144,87 @@ class Bins:
     def search(self) -> None:
         """Exchanges between underfull bins that increase the sum of squared fills.
 
-        The emptiest bins give. A member moves to a fuller bin with room for it, or is exchanged for
-        a smaller member, found by its size, that leaves a fuller bin with least room; where neither
-        is there, for two members of one of the LOOK fullest that are smaller together. A bin
-        without members is gone. The search ends when no giver finds an exchange.
+        The emptiest bins give first. A member goes to another bin in exchange for none, one or two
+        members that are smaller together, wherever that leaves the other bin with less room
+        than the giver had; of all such exchanges the one that adds most is made. A bin without
+        members is gone. The search ends when all underfull bins in turn find no exchange.
         """
-        for _ in range(ROUNDS):
-            givers = [b for b, free in enumerate(self.free) if free and self.members[b]]
-            givers.sort(key=self.free.__getitem__, reverse=True)
-            self._index(givers)
+        # A bin can hold a member instead of members of size x if that is at most x and its room
+        # together. So bins are listed by this total and by x; a bit is set for each x of a total.
+        self._holders: list[dict[int, set[int]]] = [defaultdict(set) for _ in range(self.capacity + 1)]
+        self._given = [0] * (self.capacity + 1)
+        givers = [b for b, free in enumerate(self.free) if free]
+        for b in givers:
+            self._list(b, True)
+        changed = True
+        while changed:
             changed = False
-            for giver in givers[:LOOK]:
-                while self.members[giver] and self._improved(giver, givers):
+            givers = [b for b in givers if self.free[b] and self.members[b]]
+            for giver in sorted(givers, key=self.free.__getitem__, reverse=True):
+                self._list(giver, False)
+                while self._improved(giver):
                     changed = True
-            if not changed:
-                return
-
-    def _index(self, bins: list[int]) -> None:
-        """Underfull bins by their room and by the sizes of their members."""
-        self._rooms: dict[int, set[int]] = defaultdict(set)
-        self._holders: dict[int, set[int]] = defaultdict(set)
-        for b in bins:
-            self._listed(b, True)
-
-    def _listed(self, b: int, there: bool) -> None:
-        change = set.add if there else set.discard
-        if self.members[b] and (self.free[b] or not there):
-            change(self._rooms[self.free[b]], b)
-            for item in self.members[b]:
-                change(self._holders[self.sizes[item]], b)
-
-    def _improved(self, giver: int, givers: list[int]) -> bool:
-        fill = self.capacity - self.free[giver]
-        room_of = self.free
-        most = max((r for r, bins in self._rooms.items() if bins - {giver}), default=0)
-        for item in sorted(self.members[giver], key=self.sizes.__getitem__, reverse=True):
-            size = self.sizes[item]
-            for room in range(size, most + 1):  # the tightest place
-                for b in self._rooms.get(room, ()):
-                    if b != giver and self.capacity - room + size > fill:
-                        return self._exchange(giver, item, b, ())
-            for less in range(min(most, size - 1), 0, -1):
-                for b in self._holders.get(size - less, ()):
-                    if b != giver and room_of[b] >= less and self.capacity - room_of[b] + less > fill:
-                        got = next(x for x in self.members[b] if self.sizes[x] == size - less)
-                        return self._exchange(giver, item, b, (got,))
-        for item in self.members[giver]:
-            size = self.sizes[item]
-            for b in givers[: -LOOK - 1 : -1]:
-                if b != giver and room_of[b] and self.members[b]:
-                    got = self._smaller(b, size, room_of[b])
-                    less = size - sum(map(self.sizes.__getitem__, got))
-                    if got and less * (self.capacity - room_of[b] - fill + less) > 0:
-                        return self._exchange(giver, item, b, got)
-        return False
-
-    def _exchange(self, giver: int, item: int, b: int, got: tuple[int, ...]) -> bool:
-        for x in (giver, b):
-            self._listed(x, False)
-        for source, target, moved in ((giver, b, (item,)), (b, giver, got)):
-            for x in moved:
-                self.members[source].remove(x)
-                self.members[target].append(x)
-                self.free[source] += self.sizes[x]
-                self.free[target] -= self.sizes[x]
-        for x in (giver, b):
-            self._listed(x, True)
-        return True
-
-    def _smaller(self, b: int, size: int, room: int) -> tuple[int, ...]:
-        """One or two members of a bin, smaller than ``size`` by as much of ``room`` as can be."""
-        least = size - room
-        best, most = (), size
-        items = sorted(self.members[b], key=self.sizes.__getitem__)
-        for k, x in enumerate(items):
-            s = self.sizes[x]
-            if least <= s < most:
-                best, most = (x,), s
-            for y in items[k + 1 :]:
-                two = s + self.sizes[y]
-                if two >= most:
-                    break
-                if two >= least:
-                    best, most = (x, y), two
-                    break
-        return best
+                self._list(giver, True)
+
+    def _list(self, b: int, there: bool) -> None:
+        """Put an underfull bin on the lists, or take it off before it changes."""
+        room = self.free[b]
+        if not room or not self.members[b]:
+            return
+        sizes = sorted(self.sizes[item] for item in self.members[b])
+        sums = {0, *sizes, *(x + y for x, y in combinations(sorted({*sizes}), 2))}
+        sums.update(2 * x for x, y in pairwise(sizes) if x == y)
+        for x in sums:
+            holders = self._holders[x + room]
+            if there:
+                holders[x].add(b)
+                self._given[x + room] |= 1 << x
+            else:
+                holders[x].discard(b)
+                if not holders[x]:
+                    self._given[x + room] ^= 1 << x
+
+    def _improved(self, giver: int) -> bool:
+        """The exchange of this giver that adds most to the squares, if one adds to them."""
+        free, best = self.free[giver], (0, 0, 0, 0)
+        for size in {self.sizes[item] for item in self.members[giver]}:
+            smaller = (1 << size) - 1
+            for total in range(size, min(size + free, self.capacity + 1)):
+                given = self._given[total] & smaller
+                if given:
+                    x = (given & -given).bit_length() - 1
+                    gain = (size - x) * (free - (total - size))
+                    best = max(best, (gain, size, total, x))
+        gain, size, total, x = best
+        if gain:
+            self._exchange(giver, size, next(iter(self._holders[total][x])), x)
+        return gain > 0
+
+    def _exchange(self, giver: int, size: int, b: int, x: int) -> None:
+        """A member of ``size`` for none, one or two members of ``b`` with size ``x`` in all."""
+        self._list(b, False)
+        item = next(i for i in self.members[giver] if self.sizes[i] == size)
+        for source, target, moved in ((giver, b, (item,)), (b, giver, self._of_size(b, x))):
+            for i in moved:
+                self.members[source].remove(i)
+                self.members[target].append(i)
+                self.free[source] += self.sizes[i]
+                self.free[target] -= self.sizes[i]
+        self._list(b, True)
+
+    def _of_size(self, b: int, x: int) -> tuple[int, ...]:
+        if not x:
+            return ()
+        seen: dict[int, int] = {}
+        pair: tuple[int, ...] = ()
+        for i in self.members[b]:
+            size = self.sizes[i]
+            if size == x:
+                return (i,)
+            if x - size in seen:
+                pair = (seen[x - size], i)
+            seen[size] = i
+        return pair
 
 
 def _packed(length: int):
