@@ -17,9 +17,9 @@ from tidewell.llm.storage import ship, some_rows, stored
 
 #: Labelled documents of each class, and chains of each kind, that the model is fitted on at most.
 SAMPLE_DOCS, SAMPLE_CHAINS = 4_000, 6_000
-#: Units that mark toxic tokens: share of toxic documents that have one, how many times as
-#: frequent they are there as in the others, and their number at most.
-SUPPORT, LIFT, UNITS = 0.005, 20.0, 2_000
+#: Units that mark toxic tokens: share of toxic documents that have one, and how many times as
+#: frequent they are there as in the others.
+SUPPORT, LIFT = 0.005, 20.0
 #: Different neighbours that a unit needs for each different toxic text that has it.
 CONTEXTS = 0.7
 #: Tokens of a chain, hashed weights, steps of the fit.
@@ -333,7 +333,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     often = (
         counted.where(F.col("toxic") >= least)
         .where(F.col("toxic") / n[1] >= LIFT * (F.col("clean") + 1) / n[0])
-        .orderBy(F.desc("toxic"), "unit").collect()
+        .collect()
     )
     # Near copies of a toxic text repeat its ordinary words too, but always with the same neighbours.
     apart = texts.where("toxic = 1").mapInPandas(
@@ -341,10 +341,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     )
     apart = apart.groupBy("unit").agg(F.countDistinct("context").alias("contexts")).collect()
     apart = {r["unit"]: r["contexts"] for r in apart}
-    marks = [
-        r["unit"] for r in often
-        if apart.get(r["unit"], 0) >= max(least, CONTEXTS * r["toxic"])
-    ][:UNITS]
+    marks = [r["unit"] for r in often if apart.get(r["unit"], 0) >= max(least, CONTEXTS * r["toxic"])]
     if not marks:
         return nothing
     chains = stored(
