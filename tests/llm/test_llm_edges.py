@@ -481,3 +481,14 @@ def test_planted_pairs_are_linked_at_production_parameters(spark):
     got = {r.vec_id: r.n_links for r in vector_forest.near_vectors(frame).where("n_links > 0").collect()}
     assert len(want) >= 400
     assert sum(got.values()) >= 0.98 * 2 * len(want)
+
+
+def test_turns_without_an_id_are_conversations_of_their_own(spark):
+    turns = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 1, "assistant", "b"), (4, 0, "user", "c")]
+    turns += [(4, 1, "assistant", "d"), (5, 0, "assistant", "e")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    got = preference.with_swapped_reply(frame.withColumn("last", F.lit(1))).collect()
+    alone = sorted((r.chosen[0].text, len(r.chosen), len(r.rejected)) for r in got if r.conv_id is None)
+    assert alone == [("a", 1, 1), ("b", 1, 0), ("b", 1, 0)]
+    lent = {r.conv_id: [t.text for t in r.rejected] for r in got if r.conv_id is not None}
+    assert lent == {4: ["c", "e"], 5: ["d"]}

@@ -88,33 +88,41 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     """(conv_id, turns): the turns of each conversation by turn number.
 
     Turns that repeat a number are ordered by role and text; a null number comes first. A
-    conversation is one row of the result, so its turns meet in one task by definition.
+    conversation is one row of the result, so its turns meet in one task by definition. A turn
+    without an id is a conversation of its own.
     """
     turn = F.struct("turn", "role", "text")
-    return conversations.groupBy("conv_id").agg(
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("__alone")
+    return conversations.select("conv_id", "turn", "role", "text", alone).groupBy("conv_id", "__alone").agg(
         F.transform(
             F.sort_array(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))
         ).alias("turns")
-    )
+    ).drop("__alone")
 
 
 def with_swapped_reply(conversations: DataFrame) -> DataFrame:
     """(conv_id, chosen, rejected): each conversation, and the same with another one's last reply.
 
     Conversations with ids 2k and 2k + 1 lend each other the last assistant turn. Without such a
-    turn on either side, the rejected conversation just lacks its own. Conversations without an
-    id are left out of no result: they get no partner.
+    turn on either side, the rejected conversation just lacks its own. Turns without an id are
+    conversations of one turn without a partner, and do not go through the join.
     """
-    turns = turns_of(conversations)
+    turns = turns_of(conversations.where("conv_id is not null"))
+    single = turns_of(conversations.where("conv_id is null"))
     numbered = F.transform("turns", lambda t, k: F.when(t["role"] == "assistant", k))
     last = F.array_max(F.filter(numbered, lambda k: k.isNotNull()))
-    own = turns.withColumn("last", last).withColumn("reply", F.get("turns", F.col("last")))
+    own, single = (
+        df.withColumn("last", last).withColumn("reply", F.get("turns", F.col("last"))) for df in (turns, single)
+    )
     partner = own.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
     before = F.when(F.col("last").isNull(), F.col("turns")).otherwise(F.slice("turns", F.lit(1), F.col("last")))
     after = F.when(F.col("last").isNotNull(), F.slice("turns", F.col("last") + 2, F.size("turns")))
     none = F.array().cast("array<struct<role:string,text:string>>")
     lent = F.when(F.col("last").isNotNull() & F.col("other").isNotNull(), F.array("other"))
-    return own.join(partner.where("conv_id is not null"), "conv_id", "left").select(
+    both = own.join(partner, "conv_id", "left").unionByName(
+        single.withColumn("other", F.lit(None).cast("struct<role:string,text:string>"))
+    )
+    return both.select(
         "conv_id",
         F.col("turns").alias("chosen"),
         F.concat(before, F.coalesce(lent, none), F.coalesce(after, none)).alias("rejected"),

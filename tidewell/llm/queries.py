@@ -150,7 +150,7 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
 _PREFERENCE = """
 with turns as (
   select conv_id, list(struct_pack(role := role, text := text) order by turn, role, text) t
-  from conversations group by conv_id
+  from (select *, case when conv_id is null then row_number() over () end alone from conversations) group by conv_id, alone
 ), last_reply as (
   select conv_id, t, list_max(list_filter(list_transform(range(1, len(t) + 1), lambda i: case when t[i].role = 'assistant' then i end), lambda i: i is not null)) k
   from turns
