@@ -2,7 +2,6 @@
 
 import json
 import os
-import re
 
 import pytest
 from conftest import rows
@@ -75,17 +74,92 @@ def test_second_run_replaces_rows_of_the_first(spark, landing):
     ]
 
 
-def test_broken_page_fails_and_is_tried_again(spark, landing):
-    land(landing, 0, [1, 2])
-    load(spark, landing)
-    path = landing / "landing" / "run-1" / "page-00001.json"
-    path.write_text('{"3": {"appid": ')
-    with pytest.raises(Exception, match=re.compile("malformed|foreachBatch|failed", re.I)):
-        load(spark, landing)
-    assert log(pages.read_store(spark, str(landing / "store"))) == [(1, 0, 2)]
+@pytest.fixture
+def broken(landing):
+    """Five pages, three of which cannot be loaded."""
+    for page in (0, 2):
+        land(landing, page, [3 * page + 1, 3 * page + 2, 3 * page + 3])
+    folder = landing / "landing" / "run-1"
+    (folder / "page-00001.json").write_text('{"4": {"appid": ')
+    odd = {"10": game((10, *GAMES[0][1:])), "11": game((11, *GAMES[0][1:]))}
+    del odd["11"]["owners"]
+    (folder / "page-00003.json").write_text(json.dumps(odd))
+    (folder / "page-00004.json").write_text(json.dumps({"12": game((12, *GAMES[0][1:]), price="much")}))
+    return landing
+
+
+def rejected(spark, landing):
+    found = pages.open_rejects(spark, str(landing / "store")).orderBy("page").collect()
+    return [(r.run_id, r.page, r.error) for r in found]
+
+
+def load_together(spark, landing):
+    pages.replay_rejects(spark, str(landing / "store"), 2)
+    query = pages.stream_pages(spark, str(landing / "landing"), str(landing / "store"), str(landing / "check"))
+    query.awaitTermination()
+    return pages.read_store(spark, str(landing / "store"))
 
-    land(landing, 1, [3])
-    assert log(load(spark, landing)) == [(1, 0, 2), (1, 1, 1)]
+
+def test_broken_page_costs_only_itself(spark, broken):
+    assert log(load_together(spark, broken)) == [(1, 0, 3), (1, 2, 3)]
+    assert rejected(spark, broken) == [
+        (1, 1, "not a map of objects"),
+        (1, 3, "11: required field missing: owners"),
+        (1, 4, "12: malformed"),
+    ]
+    # nothing was mended: nothing changes
+    assert log(load_together(spark, broken)) == [(1, 0, 3), (1, 2, 3)]
+    assert len(rejected(spark, broken)) == 3
+
+    land(broken, 1, [4, 5, 6])
+    (broken / "landing" / "run-1" / "page-00003.json").write_text('{"10": 1}')
+    stored = load_together(spark, broken)
+    assert log(stored) == [(1, 0, 3), (1, 1, 3), (1, 2, 3)]
+    assert rejected(spark, broken) == [(1, 3, "10: malformed"), (1, 4, "12: malformed")]
+    os.remove(broken / "landing" / "run-1" / "page-00003.json")
+    land(broken, 4, [12])
+    stored = load_together(spark, broken)
+    assert log(stored)[-1] == (1, 4, 1)
+    assert rejected(spark, broken) == []
+    # a file that is gone is a gap of the run
+    faults = rows(ledger.page_faults(pages.committed_pages(stored), page_size=3))
+    assert faults == [(1, 3, 3, "missing")]
+
+
+def test_replay_that_was_cut_off_is_done_again(spark, broken):
+    load_together(spark, broken)
+    land(broken, 1, [4, 5, 6])
+    before = log(load_together(spark, broken))
+    [again] = [n for n in os.listdir(broken / "store") if n.startswith("batch=again-")]
+    os.remove(broken / "store" / again / "_SUCCESS")
+    assert log(load_together(spark, broken)) == before
+    assert sorted(r.appid for r in pages.current_catalog(pages.read_store(spark, str(broken / "store"))).collect()) == [
+        *range(1, 10)
+    ]
+
+
+def test_store_of_rejects_only(spark, landing):
+    land(landing, 0, [1])
+    folder = landing / "landing" / "run-1"
+    (folder / "page-00000.json").write_text("[]")
+    (folder / "page-x.json").write_text("{}")
+    assert log(load_together(spark, landing)) == []
+    assert rejected(spark, landing) == [
+        (1, None, "not named run-<id>/page-<n>.json"), (1, 0, "not a map of objects")
+    ]
+
+
+def test_batch_cut_off_between_both_writes(spark, broken):
+    first = log(load_together(spark, broken))
+    kept = rejected(spark, broken)
+    # as after a crash behind the rejects: no pages, no commit
+    for folder, _, names in os.walk(broken / "store" / "batch=0"):
+        for name in names:
+            os.remove(os.path.join(folder, name))
+    for name in ("0", ".0.crc"):
+        os.remove(broken / "check" / "commits" / name)
+    assert log(load_together(spark, broken)) == first
+    assert rejected(spark, broken) == kept
 
 
 def test_replayed_batch_counts_its_rows_once(spark, landing):
@@ -123,3 +197,13 @@ def test_pages_with_old_time_stamps_are_loaded(spark, landing):
     old = os.stat(path).st_mtime - 100 * 86_400
     os.utime(path, (old, old))
     assert log(load(spark, landing)) == [(1, 0, 3), (1, 1, 3)]
+
+
+def test_early_short_page_keeps_a_run_open(spark, landing):
+    for page, n in enumerate((3, 1, 3, 2)):
+        land(landing, page, range(10 * page, 10 * page + n))
+    log_ = pages.committed_pages(load_together(spark, landing))
+    assert rows(ledger.run_progress(log_, page_size=3)) == [(1, 3, 9, False, None)]
+    assert rows(ledger.page_faults(log_, page_size=3)) == [
+        (1, 1, 1, "short"), (1, 2, 2, "after the end"), (1, 3, 3, "after the end")
+    ]

@@ -68,8 +68,13 @@ def daily(
 def catalog(
     spark: SparkSession, root: str, now: datetime, landing: str, page_size: int = ledger.PAGE_SIZE
 ) -> None:
-    """Load new catalogue pages of the open run and bring its ledger up to date."""
+    """Load new catalogue pages of the open run and bring its ledger up to date.
+
+    Pages that cannot be loaded are set aside; while there are some the job fails, after all
+    others were loaded. They are tried again by the next job that finds their files changed.
+    """
     store, checkpoint = f"{root}/pages", f"{root}/checkpoints/pages"
+    pages.replay_rejects(spark, store)
     pages.stream_pages(spark, landing, store, checkpoint).awaitTermination()
     if not paths.exists(spark, store):
         return  # nothing has landed yet, the run stays open
@@ -78,17 +83,26 @@ def catalog(
         spark, _tables(root), _name(now),
         lambda tables: loads.load_catalog(tables, stored, _stamp(now), page_size), _stamp(now),
     )
+    rejects = pages.open_rejects(spark, store)
+    first = rejects.orderBy("run_id", "page", "file").first()
+    if first is not None:
+        raise ValueError(f"{rejects.count()} pages could not be loaded, the first: {first['file']}: {first['error']}")
+
 
+def start_run(spark: SparkSession, root: str, now: datetime, anew: bool = False) -> tuple[int, int, bool]:
+    """Open a catalogue run, or find the one to resume: run id, next page, resumed.
 
-def start_run(spark: SparkSession, root: str, now: datetime) -> tuple[int, int, bool]:
-    """Open a catalogue run, or find the one to resume: run id, next page, resumed."""
+    ``anew`` opens one even if another is open, such as one with a short page in the middle.
+    """
     newest = (releases.release_names(spark, _tables(root)) or [None])[-1]
     tables = loads.current_tables(spark, _tables(root))
     point = ledger.resume_point(tables["catalog_runs"]).first()
-    if not point["resumed"]:
-        changed = {"catalog_runs": ledger.start_run(tables["catalog_runs"], _stamp(now))}
+    if anew or not point["resumed"]:
+        changed = {"catalog_runs": ledger.start_run(tables["catalog_runs"], _stamp(now), anew)}
         # two runs opened at once would have one number, so the later one fails
-        loads.publish(spark, _tables(root), _name(now), changed, _stamp(now), newest)
+        tables = loads.publish(spark, _tables(root), _name(now), changed, _stamp(now), newest)
+        point = ledger.resume_point(tables["catalog_runs"]).first()
+        return point["run_id"], point["next_page"], False
     return tuple(point)
 
 
@@ -150,7 +164,8 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("catalog", help=catalog.__doc__)
     job.add_argument("--landing", required=True)
     job.add_argument("--page-size", type=int, default=ledger.PAGE_SIZE)
-    jobs.add_parser("start-run", help=start_run.__doc__)
+    job = jobs.add_parser("start-run", help=start_run.__doc__)
+    job.add_argument("--anew", action="store_true")
     job = jobs.add_parser("build", help=build.__doc__)
     for option, default in checks.THRESHOLDS.items():
         job.add_argument("--" + option.replace("_", "-"), type=type(default), default=default)
@@ -177,7 +192,7 @@ def main(argv: list[str] | None = None) -> None:
         for row in report(spark, root, now).toLocalIterator():
             print(row["warning"])
     elif name == "start-run":
-        print(*start_run(spark, root, now))
+        print(*start_run(spark, root, now, **args))
     else:
         {"daily": daily, "catalog": catalog, "build": build, "restore": restore}[name](
             spark, root, now, **args

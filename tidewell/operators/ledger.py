@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE_SIZE = 1000
@@ -20,9 +20,10 @@ def run_progress(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Last page, rows loaded and, once the list is whole, its size.
 
     ``last_page`` is the last one with rows before the first page that is missing, so the page
-    behind it is where a run goes on. A run is complete if no page is missing and its last
-    one is short; every page before is full, so the last page with rows decides the size of the
-    list. The size is NULL for other runs, and for a list without rows.
+    behind it is where a run goes on. A run is complete if no page is missing, its last
+    one is short and every page before is full, so the last page with rows decides the size of the
+    list. The size is NULL for other runs, and for a list without rows. ``page_faults`` says why
+    a run with a short page is not complete.
 
     The pages of a run meet in one row: one number pair for each ``page_size`` games.
     """
@@ -33,7 +34,9 @@ def run_progress(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     # Pages are distinct, so one stands at its own number only if none before it is missing.
     whole = F.filter("pages", lambda x, k: x["page"] == k)
     filled = F.element_at(F.filter(whole, lambda x: x["n"] > 0), -1)
-    short = F.element_at("pages", -1)["n"] < page_size
+    # a short page ends a list, so there is one and it is the last
+    short = F.exists(F.slice("pages", -1, 1), lambda x: x["n"] < page_size)
+    short &= F.size(F.filter("pages", lambda x: x["n"] < page_size)) == 1
     progress = runs.select(
         "run_id",
         F.when(F.exists(whole, lambda x: x["n"] > 0), filled).alias("filled"),
@@ -50,6 +53,36 @@ def run_progress(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     )
 
 
+def page_faults(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``(run_id, page, upto, fault)``: what keeps the committed pages from being one whole list.
+
+    - "missing": pages ``page`` to ``upto`` are not there, but a later one is;
+    - "short": a page that is not full, though it is not the last one;
+    - "after the end": a page behind a short one, where the list had ended.
+
+    One shuffle by run. An open run whose pages so far are all full has no faults.
+    """
+    by_page = Window.partitionBy("run_id").orderBy("page")
+    before = by_page.rowsBetween(Window.unboundedPreceding, -1)
+    short = F.col("n") < page_size
+    seen = pages.select(
+        "run_id", "page",
+        (F.coalesce(F.lag("page").over(by_page), F.lit(-1)) + 1).alias("due"),
+        (short & F.lead("page").over(by_page).isNotNull()).alias("short"),
+        F.coalesce(F.max(short).over(before), F.lit(False)).alias("ended"),
+    )
+
+    def fault(when: Column, first: str, last: Column, name: str) -> Column:
+        return F.when(when, F.struct(F.col(first).alias("page"), last.alias("upto"), F.lit(name).alias("fault")))
+
+    found = F.array(
+        fault(F.col("due") < F.col("page"), "due", F.col("page") - 1, "missing"),
+        fault(F.col("short"), "page", F.col("page"), "short"),
+        fault(F.col("ended"), "page", F.col("page"), "after the end"),
+    )
+    return seen.select("run_id", F.inline(F.array_compact(found)))
+
+
 def resume_point(runs: DataFrame) -> DataFrame:
     """One row ``(run_id, next_page, resumed)``: the newest open run, else a new one.
 
@@ -66,9 +99,15 @@ def resume_point(runs: DataFrame) -> DataFrame:
     )
 
 
-def start_run(runs: DataFrame, started_at: Column) -> DataFrame:
-    """``runs`` with a row for a new run, or unchanged if an open run is resumed."""
-    point = resume_point(runs).filter(~F.col("resumed"))
+def start_run(runs: DataFrame, started_at: Column, anew: bool = False) -> DataFrame:
+    """``runs`` with a row for a new run, or unchanged if an open run is resumed.
+
+    ``anew`` leaves an open run as it is, for one whose pages cannot become a whole list.
+    """
+    if anew:
+        point = runs.agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).cast("bigint").alias("run_id"))
+    else:
+        point = resume_point(runs).filter(~F.col("resumed"))
     new = point.select(
         "run_id",
         started_at.cast("timestamp_ntz").alias("started_at"),

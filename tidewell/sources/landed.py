@@ -52,7 +52,7 @@ RECENT_FIELDS = "appid int, name string, playtime_2weeks int, playtime_forever i
 _STRICT = {"mode": "FAILFAST"}
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per landed file: ``value`` (its text), ``file`` and ``modified``."""
     return with_file(spark.read.option("wholetext", True).text(path))
 
@@ -66,11 +66,11 @@ def with_file(texts: DataFrame) -> DataFrame:
 
 
 def page_position(file: Column | str) -> dict[str, Column]:
-    """Run and page numbers from a file name ``.../run-<id>/page-<n>.json``."""
+    """Run and page numbers from a file name ``.../run-<id>/page-<n>.json``, NULL in other names."""
     c = F.col(file) if isinstance(file, str) else file
     return {
-        "run_id": F.regexp_extract(c, r"run-(\d+)/", 1).cast("bigint"),
-        "page": F.regexp_extract(c, r"page-(\d+)\.json$", 1).cast("int"),
+        "run_id": F.regexp_extract(c, r"run-(\d+)/", 1).try_cast("bigint"),
+        "page": F.regexp_extract(c, r"page-(\d+)\.json$", 1).try_cast("int"),
     }
 
 
@@ -166,6 +166,41 @@ def game_rows(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return entries.select(*keep, "seq", *[c.alias(raw) for raw, c in out.items()])
 
 
+def page_fault(json: Column | str = "value") -> Column:
+    """Why ``game_rows`` cannot load a page document, named by its first broken object, or NULL.
+
+    A document is sound if it maps names to objects with all required keys, an id, and
+    values and optional numbers that can be read.
+    """
+    fields = T.StructType.fromDDL(GAME_FIELDS).add("broken", "string")
+    lenient = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    names = F.array(*[F.lit(c) for c in GAME_REQUIRED.values()])
+    text = F.col(json) if isinstance(json, str) else json
+    objects = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+
+    def fault(entry: Column) -> Column:
+        keys = F.coalesce(F.json_object_keys(entry["value"]), F.array().cast("array<string>"))
+        absent = F.array_except(names, keys)
+
+        def reason(row: Column) -> Column:
+            unread = row["broken"].isNotNull()
+            for c in GAME_OPTIONAL.values():
+                given = F.nullif(row[c], F.lit("")).isNotNull()
+                unread = unread | (given & optional_int(row[c], strict=False).isNull())
+            return (
+                F.when(entry["value"].isNull() | row.isNull() | unread, "malformed")
+                .when(F.size(absent) > 0, F.concat(F.lit("required field missing: "), F.array_join(absent, ", ")))
+                .when(row["appid"].isNull(), "appid is NULL")
+            )
+
+        # bound by a lambda, so that an object is parsed once and not for each field
+        parsed = F.transform(F.array(F.from_json(entry["value"], fields, lenient)), reason)
+        return F.concat(entry["key"], F.lit(": "), F.get(parsed, F.lit(0)))
+
+    found = F.filter(F.transform(F.map_entries(objects), fault), lambda x: x.isNotNull())
+    return F.when(objects.isNull(), "not a map of objects").otherwise(F.get(found, F.lit(0)))
+
+
 def friend_ids(docs: DataFrame, json: str = "value") -> DataFrame:
     return docs.select(F.inline(_parse(json, FRIENDS_DOCUMENT)["friendslist"]["friends"]))
 
