@@ -320,3 +320,13 @@ def test_reused_table_is_cut_off_where_a_checkpoint_folder_is_named(spark, tmp_p
     kept = reusable(df)
     assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert rows(kept) == rows(df)
+
+
+def test_run_opened_anew_leaves_the_open_one(spark):
+    runs = spark.createDataFrame([(9, T0, None, 3, 8, None)], RUNS)
+    assert ledger.start_run(runs, ntz(T0)).count() == 1
+    both = ledger.start_run(runs, ntz(T0), anew=True)
+    assert sorted(r.run_id for r in both.collect()) == [9, 10]
+    assert tuple(ledger.resume_point(both).first()) == (10, 0, True)
+    none = runs.limit(0)
+    assert [r.run_id for r in ledger.start_run(none, ntz(T0), anew=True).collect()] == [1]
