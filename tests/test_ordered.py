@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.keyed_order import KeyedOrder, heavy_keys
 from tidewell.operators.membership import membership_flag
-from tidewell.operators.quality import decreases
+from tidewell.operators.quality import decreases, inconsistent_history
 from tidewell.operators.ranking import RankBy, global_ranks, highest, last_per_group
 from tidewell.operators.streaks import numbered_streaks
 
@@ -34,7 +34,8 @@ def test_only_large_keys_are_heavy(skewed):
 @pytest.mark.parametrize("floor", [100, 10**6])
 def test_neighbours_and_running_sum_equal_plain_windows(skewed, floor):
     ordered = KeyedOrder.of(skewed, ["k"], ["o"], floor)
-    assert ordered.split == (floor == 100)
+    # what is split shows in the rows: the plan looks for it, not the call
+    assert {r.k for r in ordered.chunked.collect()} == ({"hot", None} if floor == 100 else set())
     got = ordered.previous(was="v").following(next_v="v", next_o="o").running_sum("total", "o").rows()
     w = Window.partitionBy("k").orderBy("o")
     want = skewed.select(
@@ -50,9 +51,40 @@ def test_neighbours_and_running_sum_equal_plain_windows(skewed, floor):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("floor", [100, 10**6])
+def test_long_chains_equal_plain_windows(skewed, floor):
+    """Sums with NULL, columns replaced on the way, filters after each kind of step."""
+
+    def steps(ordered):
+        ordered = ordered.running_sum("all_v", "v").previous(was="v", was_o="o")
+        ordered = ordered.with_columns({"v": F.col("v") + F.coalesce("was", F.lit(1))})
+        ordered = ordered.filter(F.col("v").isNull() | (F.col("v") > 2)).with_columns({"w": F.col("v") * 2})
+        ordered = ordered.running_sum("some_w", "w").following(then="w", then_sum="some_w")
+        ordered = ordered.filter("then is null or then > 2").previous(was_sum="some_w").running_sum("n", "was_o")
+        return ordered.rows()
+
+    got, want = (steps(o) for o in (KeyedOrder.of(skewed, ["k"], ["o"], floor), KeyedOrder.bounded(skewed, ["k"], ["o"])))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert rows(got) == rows(want) and got.count() > 100
+
+
+def test_chunks_that_lose_all_rows_to_a_filter(spark):
+    """One change in the middle of a hot key: most chunks keep no row at all."""
+    data = [("hot", i, i // 700) for i in range(1000)] + [("cold", 1, None), ("cold", 2, 1)]
+    df = spark.createDataFrame(data, "k string, o int, v int").repartition(5)
+    changed = ~F.col("was").eqNullSafe(F.col("v"))
+
+    def changes(ordered):
+        return rows(ordered.previous(was="v").filter(changed).following(until="o").running_sum("s", "o").rows())
+
+    got = changes(KeyedOrder.of(df, ["k"], ["o"], floor=100))
+    assert got == changes(KeyedOrder.bounded(df, ["k"], ["o"]))
+    assert ("hot", 0, 0, None, 700, 0) in got and ("hot", 700, 1, 0, None, 700) in got
+
+
 def test_split_key_is_spread_over_chunks(skewed):
     ordered = KeyedOrder.of(skewed, ["k"], ["o"], floor=100)
-    sizes = [r["count"] for r in ordered.df.groupBy("k", "__chunk").count().collect()]
+    sizes = [r["count"] for r in ordered.chunked.groupBy("k", "__chunk").count().collect()]
     assert max(sizes) < 300
 
 
@@ -64,7 +96,7 @@ def test_key_with_one_stamp_is_cut_by_the_tie_break(spark, stamp):
     data = [(k, None if o is None else type(stamp or 0)(o), t, v) for k, o, t, v in data]
     df = spark.createDataFrame(data, f"k string, o {kind}, t int, v int").repartition(5)
     split = KeyedOrder.of(df, ["k"], ["o", "t"], floor=100)
-    sizes = [r["count"] for r in split.df.groupBy("k", "__chunk").count().collect()]
+    sizes = [r["count"] for r in split.chunked.groupBy("k", "__chunk").count().collect()]
     assert max(sizes) < 300
 
     def steps(ordered):
@@ -116,6 +148,31 @@ def test_many_copies_of_a_lower_row_are_found_once(spark, floor):
     assert rows(got) == [("hot", 2, 5, 9), ("hot", 4, 2, 5)]
 
 
+@pytest.mark.parametrize("floor", [100, 10**6])
+def test_faults_of_histories_with_hot_keys_and_copies(spark, floor):
+    rng = random.Random(3)
+    data = [("hot", rng.randint(0, 400), rng.choice([None, 1, 2, 3]), i == 5) for i in range(1500)]
+    data += [("copies", 7, 4, False)] * 400 + [("copies", 8, 3, True)] * 2
+    data += [(k, o, o % 4, o == 3) for k in "abc" for o in range(rng.randint(2, 6))]
+    data += [(None, 1, 5, True), (None, None, 9, False), ("fine", 1, 1, False), ("fine", 2, 1, True)]
+    df = spark.createDataFrame(data, "k string, at int, v int, now boolean").repartition(5)
+
+    want, versions = [], {}
+    for k, at, v, now in data:
+        versions.setdefault(k, []).append((at, v, now))
+    for k, found in versions.items():
+        want += [(k, "not exactly one current version")] * (sum(now for *_, now in found) != 1)
+        times = [at for at, *_ in found]
+        want += [(k, "duplicate version") for at in set(times) if times.count(at) > 1]
+        lowest = lambda x: (x is not None, x or 0)
+        line = sorted({(at, v) for at, v, _ in found}, key=lambda row: (lowest(row[0]), lowest(row[1])))
+        for (_, was), (_, v) in zip(line, line[1:]):
+            want += [(k, "playtime went down")] * (None not in (was, v) and v < was)
+    got = inconsistent_history(df, ["k"], "at", "now", "v", floor)
+    assert rows(got) == sorted(want, key=repr)
+    assert not any(k == "fine" for k, _ in want) and len(want) > 100
+
+
 @pytest.mark.parametrize("floor", [100, 10**6])
 def test_membership_of_hot_and_null_keys(spark, skewed, floor):
     members = spark.createDataFrame([("hot",), ("hot",), ("k1",), (None,)], "k string")

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tidewell.operators.keyed_order import KeyedOrder
 from tidewell.plans import marts, staging
 from tidewell.workload import tables
 
@@ -61,3 +63,33 @@ def test_global_rank_shuffles_once_per_ranked_column(spark, sf):
     text = plan(queries()["global_rank"](spark, sf))
     # three ranks of two columns
     assert len(re.findall(r"Exchange hashpartitioning\(__bucket_\w+#\d+, __lane", text)) == 2
+
+
+def chained(spark, sf, steps: int, floor: int):
+    """One or three steps on events, where a user in three is the same, and the jobs they start."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = events.select((F.col("user_id") % 3).alias("k"), "event_id", "value")
+    context = spark.sparkContext
+    context.setJobGroup(f"building {steps}", "")
+    ordered = KeyedOrder.of(events, ["k"], ["event_id"], floor).previous(was="value")
+    if steps == 3:
+        ordered = ordered.running_sum("total", "value").following(then="value")
+    df = ordered.rows()
+    jobs = context.statusTracker().getJobIdsForGroup(f"building {steps}")
+    context.setJobGroup("", "")
+    return df, jobs
+
+
+def test_steps_share_their_reads_and_start_no_job(spark, sf):
+    one, jobs_of_one = chained(spark, sf, 1, floor=100)
+    three, jobs_of_three = chained(spark, sf, 3, floor=100)
+    assert not jobs_of_one and not jobs_of_three
+    assert len(scans(three)) == len(scans(one))
+
+
+def test_without_hot_keys_the_plan_is_the_plain_window(spark, sf):
+    df, _ = chained(spark, sf, 3, floor=10**6)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "Join" not in final and "Union" not in final
+    assert final.count("Exchange hashpartitioning") == final.count("FileScan") == 1

@@ -101,19 +101,34 @@ def inconsistent_history(
 ) -> DataFrame:
     """Three kinds of broken history: a version that occurs twice, a key without
     exactly one current version, and a measure that went down. Versions of the same
-    time are compared in the order of their measure."""
-
-    def labelled(rows: DataFrame, problem: str) -> DataFrame:
-        return rows.select(*keys, F.lit(problem).alias("problem"))
-
-    twice = df.groupBy(*keys, observed).agg(F.count("*").alias("n")).filter("n > 1")
-    current = df.groupBy(*keys).agg(F.count_if(latest).alias("n")).filter("n <> 1")
-    lower = decreases(df, keys, [observed, measure], measure, floor)
-    return (
-        labelled(twice, "duplicate version")
-        .unionByName(labelled(current, "not exactly one current version"))
-        .unionByName(labelled(lower, "playtime went down"))
+    time are compared in the order of their measure, NULL first.
+
+    The versions are first folded to one row per key and time, where copies are reduced. One pass over a
+    key's times then finds all three: a measure can only go down from the highest of the time before
+    to the lowest of this one, and the number of current versions is known on the last time.
+    """
+    folded = df.groupBy(*keys, observed).agg(
+        F.count("*").alias("__versions"),
+        F.count_if(latest).alias("__current"),
+        F.count_if(F.isnull(measure)).alias("__unknown"),
+        F.min(measure).alias("__lowest"),
+        F.max(measure).alias("__highest"),
+        F.lit(True).alias("__more"),
+    )
+    times = (
+        KeyedOrder.of(folded, keys, [observed], floor, sized_by=df)
+        .previous(__before="__highest")
+        .running_sum("__total", "__current")
+        .following(__next="__more")
+        .rows()
     )
+    problems = {
+        "duplicate version": F.col("__versions") > 1,
+        "not exactly one current version": F.isnull("__next") & (F.col("__total") != 1),
+        "playtime went down": (F.col("__unknown") == 0) & (F.col("__lowest") < F.col("__before")),
+    }
+    found = F.filter(F.array(*[F.when(c, F.lit(p)) for p, c in problems.items()]), F.isnotnull)
+    return times.select(*keys, F.explode(found).alias("problem"))
 
 
 def low_coverage(coverage: DataFrame, minimum: float = 0.9) -> DataFrame:
