@@ -68,7 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's result is written and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*_COLUMNS)
     for name, stage in STAGES:
-        with dropped_after(spark) as kept:
+        with dropped_after(spark):
             docs = stored(stage(spark, docs, sf_dir), name)
-            kept += docs.inputFiles() and [docs.inputFiles()[0].rsplit("/", 1)[0]]
     return docs

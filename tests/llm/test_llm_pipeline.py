@@ -2,8 +2,10 @@
 
 import re
 
+import pytest
+
 import corpus_pipeline
-from tidewell.llm import jaccard_join, toxic_crf
+from tidewell.llm import jaccard_join, storage, toxic_crf
 
 
 def _sets(texts):
@@ -44,3 +46,15 @@ def test_each_stage_on_its_own_input(spark, sf, tmp_path):
     packed = states[-1].toPandas()
     assert set(packed["doc_id"]) == set(private)
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_results_stay_however_the_folder_is_written(spark, sf, tmp_path, monkeypatch, scheme):
+    def stage(spark, docs, sf_dir):
+        return storage.stored(docs.select("doc_id"), "part")
+
+    monkeypatch.setattr(storage, "shared_folder", lambda spark: f"{scheme}{tmp_path}")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("second", stage)])
+    out = corpus_pipeline.run(spark, sf)
+    assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"first", "second"}

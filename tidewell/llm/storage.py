@@ -8,12 +8,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
-_WRITTEN: list[str] = []
+#: Paths of the tables stored inside ``dropped_after``; queries of other threads have their own.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,23 +42,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     that depend on how rows were dealt out stay as they were written.
     """
     path = new_path(df.sparkSession, name)
-    _WRITTEN.append(path)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 @contextmanager
-def dropped_after(spark: SparkSession) -> Iterator[list[str]]:
-    """Remove the tables that were stored inside, but for paths that are put in the list."""
-    kept: list[str] = []
-    before = len(_WRITTEN)
-    yield kept
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that were stored inside, but for the last one."""
+    written: list[str] = []
+    outer = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(outer)
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for path in _WRITTEN[before:]:
-        if path not in kept:
-            at = files.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    _WRITTEN[before:] = []
+    for path in written[:-1]:
+        at = files.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def some_rows(df: DataFrame, n: int, *key: str | Column) -> DataFrame:
