@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -342,6 +344,31 @@ def test_first_place_of_a_passage_stays(spark):
     assert got[2].text[span.start : span.end].strip() == passage
 
 
+def test_texts_are_moved_once_and_cut_one_at_a_time(spark, odd):
+    plan = sentence_spans.remove_repeated_spans(odd.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
+    [given] = re.findall(r"MapInPandas .*?\(([^)]*)\)", plan)
+    assert "text#" in given and given.count("text") == 1
+
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(5_000))
+    frame = pd.DataFrame({"doc": range(100), "text_key": range(100), "text": text})
+    peaks = []
+    for rows in (20, 100):
+        list(sentence_spans._run_batches(iter([frame[:1]])))
+        tracemalloc.start()
+        [out] = sentence_spans._run_batches(iter([frame[:rows]]))
+        peaks.append((tracemalloc.get_traced_memory()[1] - sum(r.nbytes for r in out["runs"])) / 1e6)
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 1
+
+
+def test_an_id_with_a_null_text_and_one_that_loses_a_passage(spark):
+    passage = "This passage of the text has quite a few words in it. And it goes on here for some more words. It ends now."
+    rows = [(1, passage, "s"), (3, None, "s"), (3, f"Start. {passage}", "s")]
+    got = sentence_spans.remove_repeated_spans(docs(spark, rows)).select("doc_id", "text", "kept_text").collect()
+    assert sorted(got, key=repr) == [(1, passage, passage), (3, f"Start. {passage}", "Start. "), (3, None, "")]
+
+
 def test_any_passage_of_51_words_is_found(spark):
     rng = random.Random(11)
 
@@ -492,3 +519,11 @@ def test_turns_without_an_id_are_conversations_of_their_own(spark):
     assert alone == [("a", 1, 1), ("b", 1, 0), ("b", 1, 0)]
     lent = {r.conv_id: [t.text for t in r.rejected] for r in got if r.conv_id is not None}
     assert lent == {4: ["c", "e"], 5: ["d"]}
+
+
+def test_rows_that_are_not_toxic_go_on_by_slices(monkeypatch):
+    monkeypatch.setattr(toxic_crf, "TOGETHER", 50)
+    model = toxic_crf.Crf(np.zeros(toxic_crf.WEIGHTS, np.float32), np.zeros((2, 2)))
+    batch = pd.DataFrame({"doc_id": range(6), "text": ["word " * 5, None, "word " * 30, "", "word " * 9, "word"]})
+    out = list(toxic_crf._not_toxic(model)(iter([batch])))
+    assert [len(rows) for rows in out] == [2, 1, 3] and pd.concat(out).equals(batch)

@@ -109,17 +109,15 @@ def runs(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        parts = [sentences(text) for text in batch["text"]]
-        keys = [runs(own)[2] for own in parts]
-        found = [np.unique(key) for key in keys]
+        counts, own, found = [], [], []
+        for text in batch["text"]:  # the sentences of one text at a time
+            parts = sentences(text)
+            keys = runs(parts)[2]
+            counts.append(len(parts))
+            found.append(np.unique(keys))
+            own.append(len(found[-1]) < len(keys))
         yield pd.DataFrame(
-            {
-                "doc": batch["doc"],
-                "text_key": batch["text_key"],
-                "n": [*map(len, parts)],
-                "own": [len(a) < len(b) for a, b in zip(found, keys, strict=True)],
-                "runs": found,
-            }
+            {"doc": batch["doc"], "text_key": batch["text_key"], "n": counts, "own": own, "runs": found}
         )
 
 
@@ -175,14 +173,16 @@ def _without(text: str, repeated) -> tuple[str, int, int, list[tuple[int, int]]]
 
 
 def _removed(names: list[str]):
+    """``__kept`` is null where the text stays as it is, so that no text is moved twice."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, parts, gone, spans = [], [], [], []
             for text, repeated, own, parts_ in zip(
-                batch["__text"], batch["__repeated"], batch["__own"], batch["__parts"], strict=True
+                batch["text"].fillna(""), batch["__repeated"], batch["__own"], batch["__parts"], strict=True
             ):
                 if repeated is None and not own:  # no run of it is removed
-                    kept, n, k, found = text, parts_, 0, []
+                    kept, n, k, found = None, parts_, 0, []
                 else:
                     kept, n, k, found = _without(text, [] if repeated is None else repeated)
                 texts.append(kept)
@@ -223,12 +223,11 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     by_text = F.lit(2**62) + F.pmod(F.xxhash64(text), F.lit(2**62))
     keyed = (
-        docs.withColumn("__text", text)
-        .withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
-        .withColumn("__key", F.xxhash64("__text"))
+        docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), by_text))
+        .withColumn("__key", F.xxhash64(text))
     )
     spans = stored(
-        keyed.select(F.col("__id").alias("doc"), F.col("__key").alias("text_key"), F.col("__text").alias("text"))
+        keyed.select(F.col("__id").alias("doc"), F.col("__key").alias("text_key"), text.alias("text"))
         .mapInPandas(_run_batches, _RUNS),
         "runs",
     )
@@ -244,13 +243,13 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     )
     states = stored(spans.select("doc", "text_key", "n", "own").distinct().join(flagged, "doc", "left"), "states")
     states = states.toDF(*(f"__{c}" for c in ("doc", "text_key", "parts", "own", "repeated")))
-    names = [f.name for f in docs.schema if f.name != "__text"]
+    names = docs.columns
     # Merged at any size, so that what is shuffled grows as the texts do.
     joined = keyed.join(
         states.hint("merge"), (F.col("__id") == F.col("__doc")) & (F.col("__key") == F.col("__text_key"))
     )
     joined = joined.drop("__doc", "__id", "__key", "__text_key")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = joined.mapInPandas(
         _removed(names),
         f"{schema}, __kept string, __n int, __gone int, __spans array<struct<start:int,end:int>>",
@@ -258,7 +257,7 @@ def remove_repeated_spans(docs: DataFrame) -> DataFrame:
     # Names that a caller already uses are replaced.
     return out.select(
         *(F.col(f"`{n}`") for n in names if n not in ("kept_text", "n_sentences", "n_removed", "removed_spans")),
-        F.col("__kept").alias("kept_text"),
+        F.coalesce("__kept", "text", F.lit("")).alias("kept_text"),
         F.col("__n").alias("n_sentences"),
         F.col("__gone").alias("n_removed"),
         F.col("__spans").alias("removed_spans"),

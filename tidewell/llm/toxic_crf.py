@@ -361,6 +361,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
     return model
 
 
+def _score_of(model: Crf, toxic: np.ndarray) -> float:
+    """The score of a document from the marginals of its words."""
+    if model.scale is None:
+        return 0.0
+    most = float(toxic.max()) if len(toxic) else 0.0
+    sure = min(max(most, 1e-4), 1 - 1e-4)
+    x = np.log(sure / (1 - sure)), np.log1p(toxic[toxic >= LEAST].sum()), 1.0
+    return float(1 / (1 + np.exp(-np.clip(np.dot(x, model.scale), -30, 30))))
+
+
 def _scored(model: Crf):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = model.scorer()
@@ -368,14 +378,8 @@ def _scored(model: Crf):
             scores, found = [], []
             for texts in slices(batch["text"].tolist()):
                 for text, toxic in zip(texts, scorer.tokens(texts), strict=True):
-                    most = float(toxic.max()) if len(toxic) else 0.0
-                    if model.scale is None:
-                        scores.append(0.0)
-                    else:
-                        sure = min(max(most, 1e-4), 1 - 1e-4)
-                        x = np.log(sure / (1 - sure)), np.log1p(toxic[toxic >= LEAST].sum()), 1.0
-                        scores.append(float(1 / (1 + np.exp(-np.clip(np.dot(x, model.scale), -30, 30)))))
-                    hit = model.scale is not None and most >= OFFENDING
+                    scores.append(_score_of(model, toxic))
+                    hit = model.scale is not None and len(toxic) and toxic.max() >= OFFENDING
                     found.append([{"start": a, "end": b} for a, b in spans(text, toxic)] if hit else [])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "score": scores, "spans": found})
 
@@ -397,13 +401,16 @@ def score(docs: DataFrame, model: Crf) -> DataFrame:
     ).mapInPandas(_scored(model), "doc_id long, text_key long, score double, spans array<struct<start:int,end:int>>")
 
 
-def _not_toxic(model: Crf, names: list[str]):
+def _not_toxic(model: Crf):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole = _scored(model)
+        scorer = model.scorer()
         for batch in batches:
-            texts = batch[["doc_id"]].assign(text=batch["text"].fillna(""), text_key=0)
-            found = pd.concat(whole(iter([texts])))
-            yield batch[(found["score"].to_numpy() < THRESHOLD)]
+            at = 0
+            for texts in slices(batch["text"].fillna("").tolist()):
+                rows = batch.iloc[at : at + len(texts)]
+                at += len(texts)
+                score = np.array([_score_of(model, toxic) for toxic in scorer.tokens(texts)])
+                yield rows[score < THRESHOLD]  # rows go on by slices, not by batches
 
     return run
 
@@ -411,4 +418,4 @@ def _not_toxic(model: Crf, names: list[str]):
 def without_toxic(docs: DataFrame, model: Crf) -> DataFrame:
     """``docs`` without the rows that score THRESHOLD or more; all columns and other rows stay."""
     ship(docs.sparkSession)
-    return docs.mapInPandas(_not_toxic(model, docs.columns), docs.schema)
+    return docs.mapInPandas(_not_toxic(model), docs.schema)
